@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.text import as_text
 
-# Text that means "no date" wherever it occurs in a cell.
-NO_DATE = "not going|pending|cancel|n/a|na|tbd|unknown|none|^-$"
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "MM/dd/yyyy", "M/d/yy", "MM/dd/yy")
-TIME_OF_DAY = r"([Tt]|\s+)\d{1,2}:\d{2}(:\d{2})?(\.\d+)?$"
+# The day spellings read (yyyy-MM-dd, M/d/yyyy, M/d/yy) and the time that may follow.
+DAY = r"\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/(\d{4}|\d{2})"
+TIME_OF_DAY = r"([Tt]|\s+)\d{1,2}:\d{2}(:\d{2})?(\.\d+)?"
 # Date headers that do not contain the word "date".
 DATE_HEADERS = ("ptd", "setup date", "paid to date")
 LAST_SERIAL = 295846
@@ -21,13 +20,15 @@ FIRST_SAFE_DAY = "1582-10-15"
 def flex_date(c: Column) -> Column:
     """Date from mixed spreadsheet spellings; NULL for anything else, never an error.
 
-    The placeholder words are looked for anywhere in the text, so a date with a
-    remark such as ``1/2/24 pending`` is NULL as well.
+    The whole text must be a day with an optional time, so remarks such as
+    ``pending`` or ``n/a`` anywhere in the cell give NULL.  The day is respelled
+    as yyyy-M-d and cast once; failed date parsers cost far more than patterns.
     """
     value = F.trim(as_text(c))
-    day = F.regexp_replace(value, TIME_OF_DAY, "")
-    parsed = F.coalesce(*[F.try_to_date(day, f) for f in DATE_FORMATS])
-    return F.when(~F.lower(value).rlike(NO_DATE), parsed)
+    long_year = F.regexp_replace(value, r"^(\d{1,2}/\d{1,2}/)(\d{2})(?!\d)", "$120$2")
+    iso = F.regexp_replace(long_year, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+    day = F.regexp_extract(iso, r"^[0-9-]+", 0).try_cast("date")
+    return F.when(value.rlike(f"^({DAY})({TIME_OF_DAY})?$"), day)
 
 
 def date_key(c: Column) -> Column:

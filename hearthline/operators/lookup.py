@@ -12,12 +12,16 @@ from hearthline.operators.dedupe import row_hash
 DEFAULT_SALTS = 16
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of the optimized plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Does Spark's own size estimate put the frame under the broadcast threshold?"""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(size.toString()) <= limit
+    """Does the estimate stay under the session's broadcast threshold?"""
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return estimated_bytes(df) <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
 
 
 def lookup(

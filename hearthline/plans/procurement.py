@@ -11,6 +11,7 @@ from hearthline.functions import dates, domains, numbers, text
 from hearthline.operators.calendar import month_spine
 from hearthline.operators.lookup import lookup
 from hearthline.schema import Record, first_existing, union_all
+from hearthline.session import settle
 
 EXTERNAL = "External"
 INTERNAL = "Internal Procured"
@@ -233,11 +234,12 @@ def loan_master(fact: DataFrame) -> DataFrame:
     Two aggregates with map-side combine: submissions to (loan, internal number),
     then to the loan, so counting distinct internal numbers needs no row
     expansion.  Conflicts per loan number are counted over master rows, which
-    hold every (number, lender, address) combination exactly once.
+    hold every (number, lender, address) combination exactly once.  The master
+    rows are used twice, so they are written to the shared folder in between.
     """
     source = F.upper(F.coalesce("source_type", F.lit("")))
     internal = source.startswith("INTERNAL") | source.startswith("UNIFICATION")
-    per_number = fact.filter(text.has_text(F.col("loan_key_v3"))).groupBy("loan_key_v3", "ah_loan_number_norm").agg(
+    per_number = fact.filter("loan_key_v3 <> ''").groupBy("loan_key_v3", "ah_loan_number_norm").agg(
         *[_first_entry(name) for name in MASTER_FIRST],
         F.max(internal.cast("int")).alias("has_internal_procured"),
         F.max(source.startswith("EXTERNAL").cast("int")).alias("has_external"),
@@ -264,6 +266,7 @@ def loan_master(fact: DataFrame) -> DataFrame:
         F.max("ah_loan_number_norm").alias("ah_loan_number_norm"),
         (F.min("_source_lo") < F.max("_source_hi")).alias("has_multiple_source_types"),
     )
+    masters = settle(masters, "loan-master")
     with_conflicts = lookup(
         masters, number_conflicts(masters), "loan_number_norm", spread=[F.col("loan_key_v3")]
     )

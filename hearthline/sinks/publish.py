@@ -10,6 +10,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.operators.lookup import estimated_bytes
+
 ROWS_PER_PARTITION = 10_000
 MAX_PARTITIONS = 200
 
@@ -108,8 +110,7 @@ def write_partitioned_report(df: DataFrame, path: str, columns: Sequence[str]) -
 
 def write_single_file(df: DataFrame, path: str, max_bytes: int = 128 << 20) -> None:
     """One file when Spark's estimate says the result is small, balanced files otherwise."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    out = df.coalesce(1) if size <= max_bytes else balanced(df)
+    out = df.coalesce(1) if estimated_bytes(df) <= max_bytes else balanced(df)
     out.write.mode("overwrite").parquet(path)
 
 

@@ -73,11 +73,13 @@ def header_rows(grid: DataFrame) -> DataFrame:
     The width ends at the last header cell with text; a header without any text
     keeps its full width.
     """
-    found = detect_header(grid).select(*SHEET, "header_idx")
+    found = detect_header(grid).select(
+        *[F.col(c).alias(f"_{c}") for c in SHEET], "header_idx"
+    )
     early = grid.filter(F.col("row_idx") < HEADER_SEARCH_ROWS)
-    keys = [grid[c] == found[c] for c in SHEET]
-    rows = early.join(found, [*keys, grid["row_idx"] == found["header_idx"]], "inner").select(
-        *[grid[c] for c in SHEET], found["header_idx"], F.transform("cells", cell_text).alias("texts")
+    match = [F.col(c) == F.col(f"_{c}") for c in SHEET] + [F.col("row_idx") == F.col("header_idx")]
+    rows = early.join(found, match, "inner").select(
+        *SHEET, "header_idx", F.transform("cells", cell_text).alias("texts")
     )
     used = F.array_max(F.transform("texts", lambda t, i: F.when(t != "", i + 1)))
     width = F.coalesce(used, F.size("texts"))
