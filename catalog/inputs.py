@@ -13,6 +13,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.operators.lookup import estimated_bytes
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -20,6 +22,8 @@ TABLES = (
 
 
 _READ: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+# A table below this size may be a single file block, which one task would read.
+SMALL_TABLE = 256 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,25 +35,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return found[1]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a small table among all cores; larger ones come in enough splits."""
+    if estimated_bytes(df) > SMALL_TABLE:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _text(value: str) -> str:
     return f"cast({value} as string)"
 
 
 def _iso(day: str) -> str:
     """yyyy-MM-dd text of a date expression."""
-    return (
-        f"lpad({_text(f'year({day})')}, 4, '0') || '-' || lpad({_text(f'month({day})')}, 2, '0')"
-        f" || '-' || lpad({_text(f'day({day})')}, 2, '0')"
-    )
+    return _text(day)
 
 
 def _us(day: str, padded: bool = True, short_year: bool = False) -> str:
     """MM/dd/yyyy, M/d/yyyy or M/d/yy text of a date expression."""
-    month, dom, year = (_text(f"{part}({day})") for part in ("month", "day", "year"))
+    iso = _iso(day)
     if padded:
-        month, dom = f"lpad({month}, 2, '0')", f"lpad({dom}, 2, '0')"
-    if short_year:
-        year = f"lpad({_text(f'year({day}) % 100')}, 2, '0')"
+        month, dom = f"substr({iso}, 6, 2)", f"substr({iso}, 9, 2)"
+    else:
+        month, dom = _text(f"month({day})"), _text(f"day({day})")
+    year = f"substr({iso}, 3, 2)" if short_year else f"substr({iso}, 1, 4)"
     return f"{month} || '/' || {dom} || '/' || {year}"
 
 
@@ -334,11 +343,10 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input as a Spark frame."""
     source, columns, where = INPUTS[name]
     if source == SUBMISSIONS:
-        df = table(spark, sf_dir, "lineitem").join(
-            table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        )
+        lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+        df = spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     else:
-        df = table(spark, sf_dir, source)
+        df = spread(table(spark, sf_dir, source))
     if where:
         df = df.filter(where)
     return df.select(*[F.expr(e).alias(n) for n, e in columns])

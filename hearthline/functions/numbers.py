@@ -31,9 +31,15 @@ def money_text(c: Column) -> Column:
 
 
 def year_in_text(c: Column) -> Column:
-    """A whole number, else the first run of four digits (``c. 1965``)."""
-    found = F.regexp_extract(as_text(c), r"(\d{4})", 1)
-    return F.coalesce(F.trim(as_text(c)).try_cast("int"), F.nullif(found, F.lit("")).try_cast("int"))
+    """A number without its fraction, else the first run of four digits (``c. 1965``).
+
+    Matched by pattern rather than by a cast that fails: a failed cast raises and
+    catches an exception per row.
+    """
+    value = F.trim(as_text(c))
+    number = F.regexp_extract(value, r"^([+-]?\d{1,9})(\.\d*)?$", 1)
+    year = F.regexp_extract(value, r"\d{4}", 0)
+    return F.coalesce(F.nullif(number, F.lit("")), F.nullif(year, F.lit(""))).cast("int")
 
 
 def exact_avg(c: Column, scale: int = 2) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.functions.numbers import exact_avg, percent_of
+from hearthline.functions.numbers import percent_of
 
 
 def at_grain(df: DataFrame, groups: Sequence[str], grain: str, flags: Mapping[str, Column]) -> DataFrame:
@@ -33,32 +33,42 @@ def distinct_counts(df: DataFrame, groups: Sequence[str], grain: str, flags: Map
     return reduced.groupBy(*groups).agg(*sums) if groups else reduced.agg(*sums)
 
 
-def by_role(df: DataFrame, roles: Mapping[str, tuple[str, Column]], keep: Sequence[str]) -> DataFrame:
-    """Unpivot dates that play different roles: (month_start, role, keep...).
+def month_roles(
+    df: DataFrame, grain: str, worked: str, closed: str, closed_flag: str, value: str | None = None
+) -> DataFrame:
+    """Per month and grain key: what the key did there, as ``worked``, ``closed``, ``submissions``.
 
-    ``roles`` maps a role to its month column and the rows it counts for.  This
-    replaces a join on ``a = month OR b = month`` by an equality.
+    A row counts in its ``worked`` month and, when flagged, in its ``closed``
+    month.  This replaces a join on ``worked = month OR closed = month``: rows
+    are added up per (key, both months), unpivoted into (month, role), and added
+    up again.  With ``value``, its largest amount per role is carried along as
+    ``worked_top`` and ``closed_top``.  The flags stay 0 for the NULL key.
     """
-    entries = [
-        F.when(
-            F.col(month).isNotNull() & wanted,
-            F.struct(F.col(month).cast("date").alias("month_start"), F.lit(role).alias("role")),
-        )
-        for role, (month, wanted) in roles.items()
-    ]
-    present = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return df.select(F.explode(present).alias("_e"), *keep).select("_e.month_start", "_e.role", *keep)
-
-
-def avg_of_max(roles: DataFrame, grain: str, value: str, names: Mapping[str, str]) -> DataFrame:
-    """Per month and role: the mean over grain keys of the key's largest value.
-
-    ``names`` maps a role to its output column.  Months come out once, so two
-    roles never multiply each other's rows.
-    """
-    per_key = roles.groupBy("month_start", "role", grain).agg(F.max(value).alias("_top"))
-    means = [exact_avg(F.when(F.col("role") == role, F.col("_top"))).alias(name) for role, name in names.items()]
-    return per_key.groupBy("month_start").agg(*means)
+    flagged = F.col(closed_flag) == 1
+    top = F.col(value) if value else F.lit(None).cast("double")
+    pairs = df.groupBy(grain, F.col(worked).alias("_w"), F.col(closed).alias("_c")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(flagged.cast("int")).alias("_closed"),
+        F.max(top).alias("_worked_top"),
+        F.max(F.when(flagged, top)).alias("_closed_top"),
+    )
+    none = F.lit(None).cast("double")
+    known = F.col(grain).isNotNull().cast("int")
+
+    def entry(month: str, did: tuple[Column, Column], rows: Column, tops: tuple[Column, Column]) -> Column:
+        names = ("month_start", "worked", "closed", "submissions", "worked_top", "closed_top")
+        parts = (F.col(month).cast("date"), *did, rows, *tops)
+        return F.struct(*[part.alias(name) for part, name in zip(parts, names, strict=True)])
+
+    zero = F.lit(0)
+    as_worked = entry("_w", (known, zero), F.col("_rows"), (F.col("_worked_top").cast("double"), none))
+    as_closed = entry("_c", (zero, known), F.lit(0).cast("bigint"), (none, F.col("_closed_top").cast("double")))
+    roles = F.array(as_worked, F.when(F.col("_closed") == 1, as_closed))
+    rows = pairs.select(grain, F.inline(roles)).filter("month_start is not null")
+    tops = [F.max(c).alias(c) for c in ("worked_top", "closed_top")] if value else []
+    return rows.groupBy("month_start", grain).agg(
+        F.max("worked").alias("worked"), F.max("closed").alias("closed"), F.sum("submissions").alias("submissions"), *tops
+    )
 
 
 def share_of_total(df: DataFrame, count: str, within: Sequence[str], total: str, percent: str) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.functions import dates, domains
-from hearthline.functions.numbers import percent_of
+from hearthline.functions.numbers import exact_avg, percent_of
 from hearthline.functions.text import blank_to_null, has_text
-from hearthline.operators.rollup import apply_slicers, avg_of_max, by_role, distinct_counts
+from hearthline.operators.rollup import apply_slicers, distinct_counts, month_roles
 
 BLANK = "Blank"
 # Names of the age buckets on the scorecard.
@@ -101,11 +101,15 @@ def kpi_scorecard(view: DataFrame, slicers: Mapping[str, object] | None = None)
     return totals.withColumn("loans_close_rate_pct", rate)
 
 
-def _roles() -> dict[str, tuple[str, Column]]:
-    return {
-        "worked": ("request_month_start", F.lit(True)),
-        "closed": ("close_month_start", F.col("is_closed_loan_row") == 1),
-    }
+def _by_month(view: DataFrame, slicers: Mapping[str, object] | None, value: str | None = None) -> DataFrame:
+    sliced = apply_slicers(view, slicers)
+    return month_roles(
+        sliced, "loan_key_v3", "request_month_start", "close_month_start", "is_closed_loan_row", value
+    )
+
+
+def _axis(months: DataFrame) -> DataFrame:
+    return months.select("month_start", "month_label", "year_month_sort")
 
 
 def month_trend(view: DataFrame, months: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
@@ -113,38 +117,33 @@ def month_trend(view: DataFrame, months: DataFrame, slicers: Mapping[str, object
 
     A submission counts in its request month and, if closed, in its close month.
     """
-    roles = by_role(apply_slicers(view, slicers), _roles(), ["loan_key_v3"])
-    worked, closed = F.col("role") == "worked", F.col("role") == "closed"
-    per_loan = roles.groupBy("month_start", "loan_key_v3").agg(
-        F.max((worked & F.col("loan_key_v3").isNotNull()).cast("int")).alias("worked"),
-        F.max((closed & F.col("loan_key_v3").isNotNull()).cast("int")).alias("closed"),
-        F.count_if(worked).alias("submissions"),
+    measures = {"worked_loans": "worked", "closed_loans": "closed", "worked_submissions": "submissions"}
+    counts = _by_month(view, slicers).groupBy("month_start").agg(
+        *[F.sum(source).alias(name) for name, source in measures.items()]
     )
-    counts = per_loan.groupBy("month_start").agg(
-        F.sum("worked").alias("worked_loans"),
-        F.sum("closed").alias("closed_loans"),
-        F.sum("submissions").alias("worked_submissions"),
-    )
-    axis = months.select("month_start", "month_label", "year_month_sort")
-    measures = ("worked_loans", "closed_loans", "worked_submissions")
-    return axis.join(counts, "month_start", "left").select(
+    return _axis(months).join(counts, "month_start", "left").select(
         "month_label", "year_month_sort", *[F.coalesce(m, F.lit(0)).alias(m) for m in measures]
     )
 
 
-def _known_loans(view: DataFrame, slicers: Mapping[str, object] | None) -> DataFrame:
-    return apply_slicers(view, slicers).filter("loan_key_v3 is not null")
+def _averages(view: DataFrame, value: str, label: str, slicers: Mapping[str, object] | None) -> DataFrame:
+    """(month_start, avg_{label}_worked, avg_{label}_closed) over known loans.
+
+    Months come out once, so the two roles never multiply each other's rows.
+    """
+    def mean(role: str) -> Column:
+        return exact_avg(F.when(F.col(role) == 1, F.col(f"{role}_top"))).alias(f"avg_{label}_{role}")
+
+    per_loan = _by_month(view, slicers, value)
+    return per_loan.groupBy("month_start").agg(mean("worked"), mean("closed"))
 
 
 def avg_by_month(
     view: DataFrame, months: DataFrame, value: str, label: str, slicers: Mapping[str, object] | None = None
 ) -> DataFrame:
     """Mean over loans of the loan's largest ``value``, worked against closed, on the month axis."""
-    roles = by_role(_known_loans(view, slicers), _roles(), ["loan_key_v3", value])
-    names = {role: f"avg_{label}_{role}" for role in ("worked", "closed")}
-    means = avg_of_max(roles, "loan_key_v3", value, names)
-    axis = months.select("month_start", "month_label", "year_month_sort")
-    return axis.join(means, "month_start", "left").drop("month_start")
+    means = _averages(view, value, label, slicers)
+    return _axis(months).join(means, "month_start", "left").drop("month_start")
 
 
 def avg_coverage_by_month(view: DataFrame, months: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
@@ -157,12 +156,11 @@ def avg_premium_by_month(view: DataFrame, months: DataFrame, slicers: Mapping[st
 
 def avg_premium_observed(view: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
     """As ``avg_premium_by_month`` for months that have a premium, without a month table."""
-    priced = _known_loans(view, slicers).filter(has_text(F.col("loan_key_v3")) & F.col("premium").isNotNull())
-    roles = by_role(priced, _roles(), ["loan_key_v3", "premium"])
-    names = {role: f"avg_premium_{role}" for role in ("worked", "closed")}
     month = F.col("month_start")
-    return avg_of_max(roles, "loan_key_v3", "premium", names).select(
-        dates.month_label(month).alias("month_label"), dates.month_sort(month).alias("year_month_sort"), month, *names.values()
+    means = _averages(view, "premium", "premium", slicers)
+    names = ("avg_premium_worked", "avg_premium_closed")
+    return means.filter(F.coalesce(*names).isNotNull()).select(
+        dates.month_label(month).alias("month_label"), dates.month_sort(month).alias("year_month_sort"), month, *names
     )
 
 
