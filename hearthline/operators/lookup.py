@@ -21,6 +21,8 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Does the estimate stay under the session's broadcast threshold?"""
     spark = df.sparkSession
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
     return estimated_bytes(df) <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
 
 

@@ -171,6 +171,12 @@ def empty_table(spark: SparkSession, spec: Iterable[Field], *extra: Column) -> D
     return project(spark.range(0), spec, *extra)
 
 
+def empty_raw(spark: SparkSession, spec: Iterable[Field]) -> DataFrame:
+    """The input such a list of fields reads, without rows."""
+    nothing = Record({}, F.col)
+    return spark.range(0).select(*{f.source: f.read(nothing).alias(f.source) for f in spec}.values())
+
+
 def drop_ancient_dates(df: DataFrame) -> DataFrame:
     """NULL out dates and timestamps before 1582-10-15 in every such column."""
     old = {

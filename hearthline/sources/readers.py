@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.schema import Field, empty_table
+from hearthline.schema import Field, empty_raw
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -21,11 +21,14 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_optional(spark: SparkSession, path: str, spec: Sequence[Field] | None = None) -> DataFrame | None:
-    """As ``read_raw``; a missing input gives an empty typed table, or None without a spec."""
+    """As ``read_raw``; a missing input gives an empty table with the raw columns of ``spec``.
+
+    Without a spec it gives None, and the caller leaves the table out.
+    """
     try:
         return read_raw(spark, path)
     except AnalysisException:
-        return empty_table(spark, spec) if spec is not None else None
+        return empty_raw(spark, spec) if spec is not None else None
 
 
 def incremental_slice(df: DataFrame, cursor: str | None, days_back: int, as_of: datetime) -> DataFrame:
