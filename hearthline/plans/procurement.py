@@ -54,11 +54,19 @@ SHEET_COLUMNS: dict[str, str] = {
     "follow_up_date_raw": "follow_up_date followup_date",
     "determination_date_raw": "determination_date",
 }
-# Master columns that take the first known value of the loan.
+# Master columns that the key determines, and those that take the
+# first known value of the loan (columns of one group come from one submission).
+MASTER_KEYED = "loan_key_v2 loan_number_norm address_norm zip_norm address_key".split()
 MASTER_FIRST = (
-    "loan_key loan_key_v2 loan_number_norm policy_number_norm lender_name_norm lender_canonical "
-    "lender_group address_norm zip_norm address_key address city state zip county"
-).split()
+    ("loan_key",),
+    ("policy_number_norm",),
+    ("lender_name_norm", "lender_canonical", "lender_group"),
+    ("address",),
+    ("city",),
+    ("state",),
+    ("zip",),
+    ("county",),
+)
 
 
 def standardize_source(
@@ -214,18 +222,16 @@ def with_lender_alias(fact: DataFrame, aliases: DataFrame | None) -> DataFrame:
     ).drop("_canonical", "_group", "_mapped")
 
 
-def _first_entry(name: str) -> Column:
-    """struct(request, close, value) of the earliest submission with a value.
+def _first_entry(group: Sequence[str]) -> Column:
+    """struct(request, close, values) of the earliest submission with a value.
 
     Equal times take the smallest value, so the choice never depends on row order.
     """
     late = F.lit("9999-12-31").cast("date")
     entry = F.struct(
-        F.coalesce("request_date", late).alias("request"),
-        F.coalesce("close_bind_date", late).alias("close"),
-        F.col(name).alias("value"),
+        F.coalesce("request_date", late).alias("request"), F.coalesce("close_bind_date", late).alias("close"), *group
     )
-    return F.min(F.when(F.col(name).isNotNull(), entry)).alias(f"_{name}")
+    return F.min(F.when(F.col(group[0]).isNotNull(), entry)).alias(f"_{group[0]}")
 
 
 def loan_master(fact: DataFrame) -> DataFrame:
@@ -240,7 +246,8 @@ def loan_master(fact: DataFrame) -> DataFrame:
     source = F.upper(F.coalesce("source_type", F.lit("")))
     internal = source.startswith("INTERNAL") | source.startswith("UNIFICATION")
     per_number = fact.filter("loan_key_v3 <> ''").groupBy("loan_key_v3", "ah_loan_number_norm").agg(
-        *[_first_entry(name) for name in MASTER_FIRST],
+        *[_first_entry(group) for group in MASTER_FIRST],
+        *[F.min(name).alias(name) for name in MASTER_KEYED],
         F.max(internal.cast("int")).alias("has_internal_procured"),
         F.max(source.startswith("EXTERNAL").cast("int")).alias("has_external"),
         F.count(F.lit(1)).alias("procurement_row_count"),
@@ -253,7 +260,8 @@ def loan_master(fact: DataFrame) -> DataFrame:
         F.max("source_type").alias("_source_hi"),
     )
     masters = per_number.groupBy("loan_key_v3").agg(
-        *[F.min(f"_{name}")["value"].alias(name) for name in MASTER_FIRST],
+        *[F.min(f"_{group[0]}")[name].alias(name) for group in MASTER_FIRST for name in group],
+        *[F.min(name).alias(name) for name in MASTER_KEYED],
         F.max("has_internal_procured").alias("has_internal_procured"),
         F.max("has_external").alias("has_external"),
         F.sum("procurement_row_count").alias("procurement_row_count"),
