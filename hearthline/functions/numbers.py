@@ -26,8 +26,12 @@ def safe_double(c: Column) -> Column:
 
 
 def money_text(c: Column) -> Column:
-    """``$1,234.50`` as a double; NULL for blanks and unreadable text."""
-    return F.nullif(F.regexp_replace(as_text(c), r"[$,\s]", ""), F.lit("")).try_cast("double")
+    """``$1,234.50`` as a double; NULL for blanks and unreadable text.
+
+    Numbers are told by pattern, so that placeholders do not cost a failed cast.
+    """
+    value = F.regexp_replace(as_text(c), r"[$,\s]", "")
+    return F.when(value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"), value.cast("double"))
 
 
 def year_in_text(c: Column) -> Column:
