@@ -42,6 +42,12 @@ def _loans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _base(spark: SparkSession, sf: str) -> DataFrame:
+    """Loans with status and metrics, straight from the raw rows."""
+    return star.loan_wide(_loans(spark, sf))
+
+
+def _joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the three star tables."""
     loans = _loans(spark, sf)
     return reports.loan_base(star.dim_loan(loans), star.fact_loan_status(loans), star.fact_loan_metrics(loans))
 
@@ -150,7 +156,7 @@ def star_product_volume(spark, sf):
 
 @query
 def monthly_closings(spark, sf):
-    return reports.monthly_closings(_base(spark, sf), "EEP")
+    return reports.monthly_closings(_joined(spark, sf), "EEP")
 
 
 @query
@@ -160,12 +166,12 @@ def monthly_closings_one_year(spark, sf):
 
 @query
 def monthly_closings_by_buyer(spark, sf):
-    return reports.monthly_closings_by_buyer(_base(spark, sf), "two_way")
+    return reports.monthly_closings_by_buyer(_joined(spark, sf), "two_way")
 
 
 @query
 def monthly_closings_by_buyer_raw(spark, sf):
-    return reports.monthly_closings_by_buyer(_base(spark, sf), "raw")
+    return reports.monthly_closings_by_buyer(_joined(spark, sf), "raw")
 
 
 @query
@@ -215,7 +221,7 @@ def registrations_share(spark, sf):
 
 @query
 def loan_details(spark, sf):
-    return reports.loan_details(_base(spark, sf), _partners(spark, sf), star.dim_borrower(_loans(spark, sf)))
+    return reports.loan_details(_joined(spark, sf), _partners(spark, sf), star.dim_borrower(_loans(spark, sf)))
 
 
 @query
@@ -225,7 +231,7 @@ def product_loan_details(spark, sf):
 
 @query
 def current_overview(spark, sf):
-    return reports.current_overview(_base(spark, sf), AS_OF)
+    return reports.current_overview(_joined(spark, sf), AS_OF)
 
 
 @query

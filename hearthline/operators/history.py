@@ -27,10 +27,13 @@ def neighbour(
     within = Window.partitionBy(*keys, bucket).orderBy(*order)
     borders = df.groupBy(*keys, bucket).agg(edge(entry, rank).alias("_edge"))
     over_buckets = Window.partitionBy(*keys).orderBy(bucket)
-    carried = borders.withColumn("_carried", reach("_edge").over(over_buckets)).drop("_edge")
+    groups = [*keys, bucket]
+    carried = borders.select(*[F.col(g).alias(f"_of_{g}") for g in groups], reach("_edge").over(over_buckets).alias("_carried"))
     near = df.withColumn("_near", reach(entry).over(within))
-    joined = near.join(carried, [*keys, bucket], "left")
-    return joined.withColumn(name, F.coalesce("_near", "_carried")).drop("_near", "_carried")
+    # NULL is a key like any other here.
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in groups]
+    joined = near.join(carried, same, "left")
+    return joined.withColumn(name, F.coalesce("_near", "_carried")).drop("_near", *carried.columns)
 
 
 def scd2(

@@ -279,11 +279,11 @@ def test_stream_upsert(spark, tmp_path):
 def test_scd2_equals_brute_force(spark):
     rng = random.Random(3)
     start = datetime.datetime(2024, 1, 1)
-    data = [(rng.choice("xxxxyz"), start + datetime.timedelta(hours=rng.randint(0, 400)), i, rng.choice(["A", "B", None])) for i in range(300)]
+    data = [(rng.choice(["x", "x", "x", "x", "y", "z", None]), start + datetime.timedelta(hours=rng.randint(0, 400)), i, rng.choice(["A", "B", None])) for i in range(300)]
     df = spark.createDataFrame(data, "k string, ts timestamp, id int, s string")
     got = history.scd2(df, ["k"], "ts", ["s"], ["id"], F.date_trunc("day", F.col("ts")))
     want = []
-    for key in "xyz":
+    for key in ("x", "y", "z", None):
         changes = []
         for _, ts, _, state in sorted((r for r in data if r[0] == key), key=lambda r: (r[1], r[2])):
             if not changes or changes[-1][0] != state:
