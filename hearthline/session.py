@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
+from collections.abc import Iterator
+
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 
+if TYPE_CHECKING:
+    from pyarrow.fs import FileSystem
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -36,22 +43,64 @@ def local_session(name: str = "hearthline", cores: int | str = "*", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only a local master may
-    fall back to a temporary folder: there the driver is the only machine.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a folder in
+    the warehouse is taken, which every executor reaches as well, and set for the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="hearthline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not configured:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_between"
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
+
+
+_WRITTEN: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is written there goes when this process ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(drop_written)
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_written() -> None:
+    """Delete the tables and files written for this process's queries."""
+    while _WRITTEN:
+        try:
+            system, place = opened(_WRITTEN.pop())
+            system.delete_dir(place)
+        except (OSError, ValueError):  # never written, or a store that is out of reach from here
+            continue
+
+
+def opened(path: str) -> tuple[FileSystem, str]:
+    """The store that a path lies in, and the path within it, for file access from tasks."""
+    from pyarrow import fs
+
+    if path.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query has ended.
+
+    For queries whose result is written: nothing reads their shuffles again, and the
+    disk of a chain of queries is then that of its largest one.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -60,6 +109,8 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     For results used more than once: the copies would otherwise be planned with
     different columns and computed twice.  A lost executor costs no recomputation.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
