@@ -6,7 +6,6 @@ import atexit
 import contextlib
 import uuid
 from collections.abc import Iterator
-
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,5 +111,5 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     with freed_shuffles(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
