@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
@@ -70,7 +73,7 @@ def drop_written() -> None:
     while _WRITTEN:
         try:
             system, place = opened(_WRITTEN.pop())
-            system.delete_dir(place)
+            (system.delete_file if place.endswith(".zip") else system.delete_dir)(place)
         except (OSError, ValueError):  # never written, or a store that is out of reach from here
             continue
 
@@ -84,6 +87,31 @@ def opened(path: str) -> tuple[FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+_SHIPPED: list[SparkSession] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, for code that runs in Python there."""
+    if any(known is spark for known in _SHIPPED):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(here)))
+    path = scratch_path(spark, "hearthline") + ".zip"
+    _WRITTEN[-1] = path
+    system, place = opened(path)
+    system.create_dir(place.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(place) as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.append(spark)
+
+
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
