@@ -45,21 +45,29 @@ class SumIndex:
         longer = longer[(self.left[longer] > 0) & (self.left[total - longer] > 0)]
         return next(((int(a), int(total - a)) for a in longer if self.has(a, total - a, *besides)), None)
 
-    def complement(self, length: int, full: int) -> tuple[int, ...] | None:
-        """What fills a sequence that holds ``length``, with lengths no longer than it."""
+    def complement(self, length: int, full: int, terms: int) -> tuple[int, ...] | None:
+        """What fills a sequence that holds ``length``: up to ``terms`` lengths no longer than it."""
         gap = full - length
-        if gap <= length and self.has(length, gap):
+        if terms >= 1 and gap <= length and self.has(length, gap):
             return (gap,)
-        if found := self.pair(gap, length, (length,)):
+        if terms >= 2 and (found := self.pair(gap, length, (length,))):
             return found
-        for a in range(min(length, gap - 2), (gap - 1) // 3, -1):
+        for a in range(min(length, gap - 2), (gap - 1) // 3, -1) if terms >= 3 else ():
             if self.left[a] > 0 and (found := self.pair(gap - a, a, (length, a))):
                 return (a, *found)
         return None
 
 
 def packing_plan(counts: dict[int, int], full: int) -> list[Line]:
-    """Lengths of the sequences and how many there are of each kind, for so many pieces of each length."""
+    """Lengths of the sequences and how many there are of each kind, for so many pieces of each length.
+
+    Using up short pieces in sums of three can leave too few for the rest, so plans with
+    sums of at most three, two, one and no lengths are made, and the shortest is taken.
+    """
+    return min((plan_with(counts, full, terms) for terms in (3, 2, 1, 0)), key=lambda plan: sum(times for _, times in plan))
+
+
+def plan_with(counts: dict[int, int], full: int, terms: int) -> list[Line]:
     left = np.zeros(full + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -69,7 +77,7 @@ def packing_plan(counts: dict[int, int], full: int) -> list[Line]:
         left[full] = 0
     index = SumIndex(left)
     for length in range(full - 1, 0, -1):
-        while left[length] and (rest := index.complement(length, full)):
+        while left[length] and (rest := index.complement(length, full, terms)):
             line = (length, *rest)
             need = Counter(line)
             times = int(min(left[k] // n for k, n in need.items()))

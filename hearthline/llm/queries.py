@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hearthline.llm import exact_packing, token_planes
+from hearthline.llm import exact_packing, line_quality, simhash, token_planes
 from hearthline.session import settle, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,13 +26,26 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_ids(manifest)
 
 
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of all documents, after the lines that a source's documents share."""
+    return line_quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *line_quality.STATISTICS)
+
+
 def op3_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
     pieces = settle(exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "pieces")
     return exact_packing.pack(pieces.drop("ids"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of all documents."""
+    found = simhash.grouped(table(spark, sf_dir, "documents"), shingle=3, k=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_planes": op1_token_planes,
+    "op2_line_quality": op2_line_quality,
     "op3_exact_packing": op3_exact_packing,
+    "op9_simhash": op9_simhash,
 }
