@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import exact_packing, line_quality, simhash, token_planes
+from hearthline.llm import exact_packing, lempel_ziv, line_quality, simhash, token_planes
 from hearthline.session import settle, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op3_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_packing.pack(pieces.drop("ids"))
 
 
+def op5_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all documents, the words in factors of 20 words or more that lie earlier in the corpus."""
+    found = lempel_ziv.parse(table(spark, sf_dir, "documents"), 20, with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "factors")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of all documents."""
     found = simhash.grouped(table(spark, sf_dir, "documents"), shingle=3, k=2)
@@ -47,5 +53,6 @@ QUERIES: dict[str, Query] = {
     "op1_token_planes": op1_token_planes,
     "op2_line_quality": op2_line_quality,
     "op3_exact_packing": op3_exact_packing,
+    "op5_lempel_ziv": op5_lempel_ziv,
     "op9_simhash": op9_simhash,
 }
