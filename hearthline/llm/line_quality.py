@@ -6,8 +6,8 @@
 2. A line in more than ``share`` of a host's documents, and in more than ``least`` of
    them, is over the limit.  A document has few of its lines over the limit, so a host
    has at most (lines of a document / share) such lines, and they travel as one array.
-3. These lines are removed; a document is rejected as depleted when fewer than
-   ``min_words`` words or less than ``min_left`` of its words are left.
+3. These lines are removed; a document is rejected as depleted when less than
+   ``min_left`` of its words are left.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ class Limits:
     share: float = 0.1
     least: int = 20
     min_words: int = 20
-    min_left: float = 0.5
+    min_left: float = 0.3
     max_repeat_pct: int = 30
 
 
@@ -133,7 +133,7 @@ def judged(rows: pa.RecordBatch, limits: Limits) -> tuple[dict[str, np.ndarray],
         texts.append(raw.decode())
     repeats = repeat_words(words)
     failed = (n_words < limits.min_words) | (100 * repeats > limits.max_repeat_pct * n_words)
-    depleted = (removed > 0) & ((left < limits.min_words) | (left < limits.min_left * n_words))
+    depleted = (removed > 0) & (left < limits.min_left * n_words)
     found = {
         "n_words": n_words, "word_chars": per_text(solid & ((content & 0xC0) != 0x80), begin),
         "n_symbols": per_text(SYMBOLS[content], begin), "n_dup_lines": dups, "n_repeat_words": repeats,

@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import exact_packing, lempel_ziv, line_quality, simhash, token_planes
+from hearthline.llm import (
+    bond_search, boosted_quality, exact_packing, lempel_ziv, line_quality, poisson_mix, simhash, token_planes, tree_sharding, warc_chunks,
+)
 from hearthline.session import settle, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +39,31 @@ def op3_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_packing.pack(pieces.drop("ids"))
 
 
+def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archive records and read back as chunks; the last chunk of each has the payload's digest."""
+    chunks = warc_chunks.read_archives(warc_chunks.archive(table(spark, sf_dir, "pages")), with_data=False)
+    return chunks.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all documents, the words in factors of 20 words or more that lie earlier in the corpus."""
     found = lempel_ziv.parse(table(spark, sf_dir, "documents"), 20, with_text=False)
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "factors")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents repeated towards source weights of the square root of their size, in random order."""
+    return poisson_mix.mix(table(spark, sf_dir, "documents"), temperature=2.0, epochs=1.0, seed=17)
+
+
+def op7_bond_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest inner products of every hundredth vector among all others."""
+    return bond_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
+def op8_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return boosted_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,10 +72,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal size, equal texts together."""
+    return tree_sharding.shard(table(spark, sf_dir, "documents"), 16, payload=[])
+
+
 QUERIES: dict[str, Query] = {
-    "op1_token_planes": op1_token_planes,
-    "op2_line_quality": op2_line_quality,
-    "op3_exact_packing": op3_exact_packing,
-    "op5_lempel_ziv": op5_lempel_ziv,
-    "op9_simhash": op9_simhash,
-}
+    f.__name__: f
+    for f in (
+        op1_token_planes, op2_line_quality, op3_exact_packing, op4_warc_chunks, op5_lempel_ziv,
+        op6_poisson_mix, op7_bond_search, op8_boosted_quality, op9_simhash, op10_tree_sharding,
+    )
+}

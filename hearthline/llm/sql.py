@@ -1,3 +1,111 @@
-"""Reference SQL (DuckDB) of the queries that SQL can express."""
+"""Reference SQL (DuckDB) of the queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Tokenizers (1, 3), XXH64 (9), boosted trees (8) and the packing of shards (10) are beyond
+SQL; these queries are tested against brute force.
+"""
+
+from __future__ import annotations
+
+WORD = r"'[^\x20\x09-\x0D]+'"
+BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+NORMALISED = f"trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), {BLANKS})"
+
+SQL: dict[str, str] = {
+    "op2_line_quality": rf"""
+with docs as (
+    select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), {WORD}) as words from documents
+), lines as (
+    select doc_id, source, md5(text) as body, line, {NORMALISED} as plain, len(regexp_extract_all(line, {WORD})) as n
+    from (select doc_id, source, text, unnest(string_split(text, chr(10))) as line from docs)
+), over as (
+    select source, plain from lines where plain <> '' group by source, plain
+    having count(distinct body) > 20 and count(distinct body) > 0.1 * (select count(distinct md5(d.text)) from docs d where d.source = lines.source)
+), per_line as (
+    select doc_id, count(*) filter (n > 0) - count(distinct line) filter (n > 0) as n_dup_lines,
+        count(*) filter (o.plain is not null) as n_lines_removed, sum(case when o.plain is null then n else 0 end)::bigint as n_words_left
+    from lines l left join over o on o.source = l.source and o.plain = l.plain group by doc_id
+), grams as (
+    select doc_id, i, array_to_string(words[i:i + 7], ' ') as gram from (select doc_id, words, unnest(range(1, len(words) - 6)) as i from docs)
+), again as (
+    select doc_id, i from grams qualify count(*) over (partition by doc_id, gram) > 1
+), repeats as (
+    select doc_id, count(distinct i + k) as n_repeat_words from again, range(8) r(k) group by doc_id
+), counted as (
+    select doc_id, len(words)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
+        n_lines_removed, n_words_left
+    from docs join per_line using (doc_id) left join repeats using (doc_id)
+), failed as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counted
+)
+select *, not base_failed and not (n_lines_removed > 0 and n_words_left < 0.3 * n_words) as kept from failed
+""",
+    "op4_warc_chunks": """
+with payloads as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest,
+        max(page_id) over (partition by coalesce(html, '')) as newest
+    from pages
+)
+select page_id, payload_bytes, payload_digest,
+    case when payload_bytes >= 1000 and page_id < newest then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 1000 and page_id < newest then newest end as refers_to
+from payloads
+""",
+    "op5_lempel_ziv": f"""
+with docs as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) as words from documents
+), windows as (
+    select doc_id, i, array_to_string(words[i:i + 19], ' ') as body from (select doc_id, words, unnest(range(1, len(words) - 18)) as i from docs)
+), earlier as (
+    select doc_id, i from windows qualify row_number() over (partition by body order by doc_id, i) > 1
+), gone as (
+    select distinct doc_id, i + k as i from earlier, range(20) r(k)
+), spelled as (
+    select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as i from docs
+), kept as (
+    select doc_id, string_agg(word, ' ' order by i) as text from spelled anti join gone using (doc_id, i) group by doc_id
+), removed as (
+    select doc_id, count(*) as n from gone group by doc_id
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from docs left join removed using (doc_id) left join kept using (doc_id)
+""",
+    "op6_poisson_mix": """
+with recursive sizes as (
+    select source, sum(length(coalesce(text, '')) + 1)::bigint as size from documents group by source
+), rates as (
+    select source, floor(sqrt(size::double) / (select sum(sqrt(size::double)) from sizes) * 1.0 * (select sum(size) from sizes)::double / size::double * 1e6)
+        / 1e6 as rate
+    from sizes
+), means as (
+    select source, rate, greatest(1, ceil(rate / 8.0)::int) as draws, rate / greatest(1, ceil(rate / 8.0)::int) as mean from rates
+), cdf as (
+    select source, draws, mean, 0 as k, exp(-mean) as p, exp(-mean) as c from means
+    union all
+    select source, draws, mean, k + 1, p * mean / (k + 1)::double, c + p * mean / (k + 1)::double from cdf where k < 63
+), tables as (
+    select source, list(c order by k) as cdf from cdf group by source
+), drawn as (
+    select d.*, rate, cdf,
+        list_transform(range(1, draws + 1), lambda j:
+            (('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':17:' || j::varchar), 1, 13))::bigint::double + 0.5) / 4503599627370496.0) as us
+    from documents d join means m on d.source is not distinct from m.source join tables t on d.source is not distinct from t.source
+), counted as (
+    select * exclude (cdf, us), list_sum(list_transform(us, lambda u: len(list_filter(cdf, lambda c: c < u))))::int as n from drawn
+), copies as (
+    select * exclude (n), unnest(range(0, n))::int as copy from counted
+)
+select *, substr(md5(coalesce(doc_id::varchar, '') || ':17:copy:' || copy::varchar), 1, 16) as shuffle_key from copies
+""",
+    "op7_bond_search": """
+with usable as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+    where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), scored as (
+    select q.vec_id as query_id, r.vec_id, list_dot_product(q.v, r.v)::bigint as score
+    from usable q join usable r on q.vec_id <> r.vec_id and len(q.v) = len(r.v) where q.vec_id % 100 = 0
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from scored qualify rank <= 10
+""",
+}
