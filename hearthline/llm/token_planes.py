@@ -162,7 +162,7 @@ def write_ids(
             if writer is None:
                 store, place = opened(file)
                 store.create_dir(place.rpartition("/")[0], recursive=True)
-                out = store.open_output_stream(place)
+                out = store.open_output_stream(place, compression=None)
                 writer = PlaneWriter(out, planes, block)
             ids, counts = coder.encode(rows.column("text"))
             writer.add(ids, pa.RecordBatch.from_arrays([rows.column("doc"), pa.array(counts)], ["doc", "n"]))

@@ -108,7 +108,7 @@ def write_archives(chunks: DataFrame, level: int = 3, folder: str | None = None)
                 if out is None:
                     store, place = opened(file)
                     store.create_dir(place.rpartition("/")[0], recursive=True)
-                    out = store.open_output_stream(place)
+                    out = store.open_output_stream(place, compression=None)
                 if row["chunk"] == 0:
                     pack = zlib.compressobj(level, zlib.DEFLATED, 31)
                     out.write(pack.compress(header(row)))
