@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.session import settle
 
@@ -38,6 +39,25 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             at = stop
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def mapped(df: DataFrame, run: Callable[[Batches], Batches], kept: Sequence[str], added: str) -> DataFrame:
+    """``mapInArrow`` for columns of any name: ``kept`` columns of the input, then those of the DDL string ``added``.
+
+    Columns are numbered on the way, as names with dots can't be passed otherwise.
+    """
+    given = df.columns
+    fields = [*(df.schema[c] for c in kept), *T.StructType.fromDDL(added).fields]
+    shape = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+
+    def numbered(batches: Batches) -> Batches:
+        for out in run(b.rename_columns(given) for b in batches):
+            yield out.rename_columns(shape.names)
+
+    return df.toDF(*(f"c{i}" for i in range(len(given)))).mapInArrow(numbered, shape).toDF(*(f.name for f in fields))
+
+
 def placed(df: DataFrame, within: Sequence[str], order: Sequence[Column], label: str, place: str = "place") -> DataFrame:
     """The rows with their gapless number from 0 among those of equal ``within`` columns.
 

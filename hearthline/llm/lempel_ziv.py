@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, others, sliced
+from hearthline.llm.common import col, mapped, others, sliced
 from hearthline.llm.words import Words, fits, gram_hashes, lowest_of
 from hearthline.session import settle
 
@@ -53,7 +53,6 @@ def reference(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
     kept = others(df, "_place", "_words", "_anchors", "_hashes", "_part")
     keys = (col(id_col).asc_nulls_first(), F.xxhash64(col(text_col)))
     ordered = df.select(*[col(c) for c in kept]).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    own = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
@@ -75,8 +74,7 @@ def reference(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
             )
             before += int(counts.sum())
 
-    shape = f"{own}, _part int, _place long, _words long, _anchors array<int>, _hashes array<long>"
-    stored = settle(ordered.mapInArrow(run, shape), "reference")
+    stored = settle(mapped(ordered, run, kept, "_part int, _place long, _words long, _anchors array<int>, _hashes array<long>"), "reference")
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = stored.groupBy(F.col("_part").alias("_block")).agg(F.sum("_words").alias("_n"))
     # One row per block; their number is that of Spark's partitions.
@@ -149,7 +147,7 @@ def parsed(rows: pa.RecordBatch, text_col: str, length: int) -> tuple[Words, np.
     return words, np.cumsum(edges)[:-1] > 0, opens, closes
 
 
-RESULT = "n_words long, n_removed long, kept_sha256 string, factors array<struct<first:int,last:int>>, clean_text string"
+RESULT = "n_words long, n_removed long, kept_sha256 string, factors array<struct<first:int,last:int>>"
 
 
 def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
@@ -174,7 +172,7 @@ def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col:
     own = corpus.select(*[col(c) for c in kept], listed.alias("_listed"))
     lists = repeated.join(firsts, "_place", "left")
     joined = own.join(lists, F.col("_listed") == F.col("_place"), "left").drop("_listed", "_place")
-    shape = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), RESULT if with_text else RESULT.rpartition(",")[0]])
+    added = RESULT + ", clean_text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, text_col):
@@ -195,7 +193,7 @@ def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col:
                 columns.append(pa.array(cleaned(words, removed, opens, closes, rows.column(text_col)), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names[: 4 + with_text]])
 
-    return joined.mapInArrow(run, shape)
+    return mapped(joined, run, kept, added)
 
 
 def digests(words: Words, gone: np.ndarray) -> list[str]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, others, sliced
+from hearthline.llm.common import col, mapped, others, sliced
 from hearthline.llm.words import SPACE, Words, fits, gram_hashes, mixed
 from hearthline.session import settle
 
@@ -155,7 +155,7 @@ def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limit
     kept = others(df, *STATISTICS, "clean_text", "_lines", "_line_host")
     own = df.select(*[col(c) for c in kept])
     joined = own.join(frequent, col(host_col).cast("string").eqNullSafe(F.col("_line_host")), "left").drop("_line_host")
-    shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields), *(f"{n} {t}" for n, t in STATISTICS.items())])
+    added = ", ".join([*(f"{n} {t}" for n, t in STATISTICS.items()), "clean_text string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, text_col):
@@ -163,7 +163,7 @@ def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limit
             columns = [rows.column(c) for c in kept] + [pa.array(v) for v in found.values()]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*kept, *found, "clean_text"])
 
-    return joined.mapInArrow(run, shape + ", clean_text string")
+    return mapped(joined, run, kept, added)
 
 
 def accepted(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:

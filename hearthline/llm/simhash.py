@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, others, sliced
+from hearthline.llm.common import col, mapped, others, sliced
 from hearthline.llm.words import SPACE, Words
 from hearthline.session import settle
 
@@ -75,14 +75,13 @@ def fingerprints(column: pa.Array, shingle: int) -> np.ndarray:
 def with_fingerprints(df: DataFrame, shingle: int, text_col: str = "text", name: str = "fp") -> DataFrame:
     """The rows with the fingerprint of their text as a signed long; a null text has no words."""
     kept = others(df, name)
-    shape = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), f"{name} long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, text_col):
             found = fingerprints(rows.column(text_col), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), pa.array(found)], [*kept, name])
 
-    return df.select(*[col(c) for c in kept]).mapInArrow(run, shape)
+    return mapped(df.select(*[col(c) for c in kept]), run, kept, f"{name} long")
 
 
 def block_masks(k: int) -> list[int]:
