@@ -8,8 +8,8 @@ lose (Cauchy-Schwarz), rows whose best case is below the k-th best worst case of
 query are dropped, and the survivors are compacted.  What is left at the end has exact
 scores.
 
-The query set is stated, and its blocks meet all row blocks through a join on the row
-blocks' numbers.  A task holds one block of each kind.
+The query set is stated, and its blocks meet all row blocks through a join on the lanes
+that row blocks are dealt to.  A task works on one block of each kind at a time.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from hearthline.session import settle
 ROWS = 8192
 QUERIES = 512
 STEP = 16  # dimensions at a time
+LANES = 1024  # tasks of the search at most
 MOST = 2**62
 BLOCK = "dim int, number long, ids binary, rows binary, planes binary"
 
@@ -114,10 +115,12 @@ def search(df: DataFrame, queries: Column, k: int = 10, *, id_col: str = "vec_id
     numbered = settle(df.select(col(id_col), col(vector_col)).withColumn("_row", F.monotonically_increasing_id()), "vectors")
     rows = settle(vector_blocks(numbered, id_col, vector_col, scale).withColumn("block", F.monotonically_increasing_id()), "row_blocks")
     asked = settle(vector_blocks(numbered, id_col, vector_col, scale, queries, QUERIES), "query_blocks")
-    blocks = rows.groupBy("dim").agg(F.collect_list("block").alias("blocks"))  # one number per ROWS vectors
+    # Row blocks are dealt to lanes, and query blocks to every lane.
+    lanes = min(LANES, max(1, rows.count()))
+    rows = rows.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
     sent = asked.select("dim", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("planes").alias("q_planes"))
-    sent = sent.join(blocks, "dim").withColumn("block", F.explode("blocks")).drop("blocks", "dim")
-    pairs = sent.join(rows, "block").select("dim", "q_ids", "q_rows", "q_planes", "ids", "rows", "planes")
+    sent = sent.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    pairs = sent.join(rows, ["dim", "lane"]).select("dim", "q_ids", "q_rows", "q_planes", "ids", "rows", "planes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
