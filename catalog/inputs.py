@@ -13,7 +13,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.operators.lookup import estimated_bytes
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -22,8 +21,6 @@ TABLES = (
 
 
 _READ: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-# A table below this size may be a single file block, which one task would read.
-SMALL_TABLE = 256 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,13 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return found[1]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a small table among all cores; larger ones come in enough splits."""
-    if estimated_bytes(df) > SMALL_TABLE:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _text(value: str) -> str:
     return f"cast({value} as string)"
 
@@ -344,9 +334,9 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns, where = INPUTS[name]
     if source == SUBMISSIONS:
         lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-        df = spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     else:
-        df = spread(table(spark, sf_dir, source))
+        df = table(spark, sf_dir, source)
     if where:
         df = df.filter(where)
     return df.select(*[F.expr(e).alias(n) for n, e in columns])

@@ -654,7 +654,7 @@ left join (select close_month_start as m, count(distinct loan_key_v3) as loans f
 
 
 def mean_of_max(value: str, month: str, where: str) -> str:
-    return f"""select m, cast(sum(cast(top as decimal(18,2))) as double) / count(top) as mean
+    return f"""select m, cast(sum(cast(top as decimal(28,6))) as double) / count(top) as mean
 from (select {month} as m, loan_key_v3, max({value}) as top from analysis where {where} and {month} is not null group by 1, 2) group by 1"""
 
 

@@ -25,13 +25,18 @@ def safe_double(c: Column) -> Column:
     return clean_string(c).try_cast("double")
 
 
+# What sums and ratios are worked out in: six places, and 10^22 values of the largest size before a sum is full.
+EXACT = "decimal(28,6)"
+
+
 def money_text(c: Column) -> Column:
-    """``$1,234.50`` as a double; NULL for blanks and unreadable text.
+    """``$1,234.50`` as a double; NULL for blanks, unreadable text and numbers of 10^22 or more.
 
     Numbers are told by pattern, so that placeholders do not cost a failed cast.
     """
     value = F.regexp_replace(as_text(c), r"[$,\s]", "")
-    return F.when(value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"), value.cast("double"))
+    number = F.when(value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"), value.cast("double"))
+    return F.when(F.abs(number) < 1e22, number)
 
 
 def year_in_text(c: Column) -> Column:
@@ -46,9 +51,14 @@ def year_in_text(c: Column) -> Column:
     return F.coalesce(F.nullif(number, F.lit("")), F.nullif(year, F.lit(""))).cast("int")
 
 
-def exact_avg(c: Column, scale: int = 2) -> Column:
-    """Mean as a double that does not depend on the order rows were summed in."""
-    return F.sum(c.cast(f"decimal(28,{scale})")).cast("double") / F.count(c)
+def exact_avg(c: Column) -> Column:
+    """Mean as a double that does not depend on the order rows were summed in.
+
+    Values are taken to six places.  One that a decimal of 28 digits can't hold counts
+    neither in the sum nor in the number of values.
+    """
+    value = c.try_cast(EXACT)
+    return F.sum(value).cast("double") / F.count(value)
 
 
 def decimal_avg(c: Column, scale: int = 2) -> Column:
@@ -58,6 +68,6 @@ def decimal_avg(c: Column, scale: int = 2) -> Column:
 
 
 def percent_of(part: Column, whole: Column) -> Column:
-    """100 * part / whole to two places; NULL when the whole is zero."""
-    exact = part.cast("decimal(20,0)") * 100 / F.nullif(whole, F.lit(0)).cast("decimal(20,0)")
-    return F.round(exact, 2)
+    """100 * part / whole to two places; NULL when the whole is zero to six places."""
+    exact, base = part.try_cast(EXACT), F.nullif(whole.try_cast(EXACT), F.lit(0).cast(EXACT))
+    return F.round(F.try_divide(exact * 100, base), 2)

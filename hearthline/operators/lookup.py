@@ -1,82 +1,47 @@
-"""Left lookups that stay even when one key holds a large share of the rows."""
+"""Left lookups and gap filling."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.operators.dedupe import row_hash
+from hearthline.operators.dedupe import latest_per_key
 
-DEFAULT_SALTS = 16
 
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]] | str) -> DataFrame:
+    """Left join to a ``right`` that has at most one row per key; right key columns are dropped.
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of the optimized plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Does the estimate stay under the session's broadcast threshold?"""
-    spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if limit.startswith("-"):
-        return False
-    return estimated_bytes(df) <= spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-
-
-def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[tuple[str, str]] | str,
-    spread: Sequence[Column],
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
-    """Left join to a ``right`` that has at most one row per key.
-
-    A right side under the broadcast threshold is joined plainly and Spark
-    broadcasts it.  A larger one is repeated ``salts`` times, and left rows pick
-    a copy by the hash of ``spread`` (columns that differ between rows of one
-    key), so a hot or NULL key is shared by ``salts`` tasks.  The hash makes the
-    choice the same when a task is run again.  Right key columns are dropped.
+    Spark broadcasts a right side that it knows to be small.  Otherwise both sides are
+    shuffled, and adaptive execution splits the rows of a hot or NULL key among tasks.
     """
     pairs = [(on, on)] if isinstance(on, str) else list(on)
     renamed = {r: f"_right_{r}" for _, r in pairs}
-    right = right.withColumnsRenamed(renamed)
-    match = [F.col(f"`{l}`") == F.col(f"`{renamed[r]}`") for l, r in pairs]
-    if fits_broadcast(right):
-        return left.join(right, match, "left").drop(*renamed.values())
-    copies = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = left.withColumn("_left_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    match.append(F.col("_left_salt") == F.col("_right_salt"))
-    return left.join(copies, match, "left").drop("_left_salt", "_right_salt", *renamed.values())
+    match = [F.col(f"`{a}`") == F.col(f"`{renamed[b]}`") for a, b in pairs]
+    return left.join(right.withColumnsRenamed(renamed), match, "left").drop(*renamed.values())
 
 
-def backfill_nulls(
-    df: DataFrame,
-    patch: DataFrame,
-    key: str,
-    columns: Sequence[str],
-    spread: Sequence[Column] | None = None,
-) -> DataFrame:
-    """Fill NULL or blank text in ``columns`` from ``patch`` rows of the same key.
+def backfill_nulls(df: DataFrame, patch: DataFrame, key: str, columns: Sequence[str], newest: str | None = None) -> DataFrame:
+    """Fill NULL or blank text in ``columns`` from the ``patch`` row of the same key.
 
-    Keys are compared as text.  ``patch`` has one row per key.  Only rows with a
-    gap take part in the join; complete rows are passed through without a shuffle.
+    Keys are compared as text.  Of several patch rows of a key the one with the largest
+    ``newest`` counts (any fixed one without it), so rows are never doubled.  Only rows with
+    a gap take part in the join; complete rows are passed through without a shuffle.
     """
-    names = [c for c in columns if c in df.columns and c in patch.columns]
-    texts = df.withColumns({c: F.col(c).cast("string") for c in names})
-    gap = F.lit(False)
-    for c in names:
-        gap = gap | (F.trim(F.coalesce(F.col(c), F.lit(""))) == "")
-    fixes = patch.select(
+    absent = [(side, c) for side, have in (("input", df), ("patch", patch)) for c in (key, *columns) if c not in have.columns]
+    if absent:
+        raise ValueError(f"no such columns: {absent}")
+    texts = df.withColumns({c: F.col(c).cast("string") for c in columns})
+    gap = F.exists(F.array(*columns), lambda v: F.trim(F.coalesce(v, F.lit(""))) == "")
+    versions = patch.select(
         F.col(key).cast("string").alias("_patch_key"),
-        *[F.col(c).cast("string").alias(f"_patch_{c}") for c in names],
-    )
+        *([F.col(newest).alias("_newest")] if newest else []),
+        *[F.col(c).cast("string").alias(f"_patch_{c}") for c in columns],
+    ).filter("_patch_key is not null")
+    fixes = latest_per_key(versions, "_patch_key", "_newest" if newest else None).drop("_newest")
     gaps = texts.filter(gap).withColumn("_key", F.col(key).cast("string"))
-    filled = lookup(gaps, fixes, [("_key", "_patch_key")], spread or [row_hash(gaps)])
-    filled = filled.withColumns(
-        {c: F.when(F.trim(F.col(c)) != "", F.col(c)).otherwise(F.col(f"_patch_{c}")) for c in names}
+    filled = lookup(gaps, fixes, [("_key", "_patch_key")]).withColumns(
+        {c: F.when(F.trim(F.col(c)) != "", F.col(c)).otherwise(F.col(f"_patch_{c}")) for c in columns}
     )
     return texts.filter(~gap).unionByName(filled.select(*df.columns))

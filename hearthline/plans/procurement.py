@@ -212,7 +212,7 @@ def with_lender_alias(fact: DataFrame, aliases: DataFrame | None) -> DataFrame:
         F.col("lender_group").alias("_group"),
         F.lit(True).alias("_mapped"),
     )
-    found = lookup(fact, known, "lender_name_norm", spread=[F.col("loan_key_v3"), F.col("request_date")])
+    found = lookup(fact, known, "lender_name_norm")
     return found.withColumns(
         {
             "lender_canonical": F.coalesce("_canonical", own),
@@ -275,9 +275,7 @@ def loan_master(fact: DataFrame) -> DataFrame:
         (F.min("_source_lo") < F.max("_source_hi")).alias("has_multiple_source_types"),
     )
     masters = settle(masters, "loan-master")
-    with_conflicts = lookup(
-        masters, number_conflicts(masters), "loan_number_norm", spread=[F.col("loan_key_v3")]
-    )
+    with_conflicts = lookup(masters, number_conflicts(masters), "loan_number_norm")
     full = [F.col(n).isNotNull() for n in ("loan_number_norm", "policy_number_norm", "lender_name_norm", "address_key")]
     quality = F.when(full[0] & full[1] & full[2] & full[3], "Full").otherwise("Partial")
     return with_conflicts.select(

@@ -118,7 +118,7 @@ def monthly_closings_by_buyer(
 def with_contract_date(base: DataFrame, correspondents: DataFrame, column: str = "contract_date") -> DataFrame:
     """The partner's contract date on each loan, which the three-way buyer rule reads."""
     dated = correspondents.select("correspondent_id", F.col(column).alias("contract_date"))
-    return lookup(base, dated, "correspondent_id", spread=[F.col("loan_id")])
+    return lookup(base, dated, "correspondent_id")
 
 
 def buyer_pivot(by_buyer: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def primary_borrowers(borrowers: DataFrame) -> DataFrame:
 def _with_people(base: DataFrame, correspondents: DataFrame, borrowers: DataFrame) -> DataFrame:
     partners = correspondents.select("correspondent_id", F.col("correspondent_name").alias("lender_correspondent"))
     loans = base.join(primary_borrowers(borrowers), "loan_id", "left")
-    named = lookup(loans, partners, "correspondent_id", spread=[F.col("loan_id")])
+    named = lookup(loans, partners, "correspondent_id")
     first, last = as_text(F.col("borrower_first_name")), as_text(F.col("borrower_last_name"))
     return named.withColumn("borrower_name", F.concat(first, F.lit(" "), last))
 

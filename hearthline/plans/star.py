@@ -283,7 +283,7 @@ def dim_loan(raw: DataFrame, investors: DataFrame | None = None) -> DataFrame:
     if investors is None:
         return loans.withColumn("second_mortgage_investor_name", F.col("investor_name"))
     names = investors.select("investor_id", F.col("investor_name").alias("_looked_up"))
-    found = lookup(loans, names, [("second_mortgage_investor_id", "investor_id")], spread=[F.col("loan_id")])
+    found = lookup(loans, names, [("second_mortgage_investor_id", "investor_id")])
     name = F.coalesce("investor_name", "_looked_up")
     return found.withColumn("second_mortgage_investor_name", name).drop("_looked_up")
 

@@ -34,7 +34,11 @@ DEFAULTS = {
 def local_session(name: str = "hearthline", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benches; clusters bring their own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    # Small splits, so that a single small file is read by all cores.
+    settings = {
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.sql.files.maxPartitionBytes": "2m", "spark.sql.files.openCostInBytes": "64k",
+    }
     for key, value in {**DEFAULTS, **settings, **conf}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()

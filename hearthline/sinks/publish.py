@@ -10,15 +10,18 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.operators.lookup import estimated_bytes
-
 ROWS_PER_PARTITION = 10_000
-MAX_PARTITIONS = 200
 
 
-def target_partitions(rows: int, per_partition: int = ROWS_PER_PARTITION, most: int = MAX_PARTITIONS) -> int:
-    """Output partitions for a known row count; raise ``most`` on large clusters."""
-    return max(1, min(most, rows // per_partition))
+def target_partitions(rows: int, per_partition: int = ROWS_PER_PARTITION, most: int | None = None) -> int:
+    """Output partitions for a known row count; ``most`` limits them where a small cluster asks for that."""
+    wanted = max(1, rows // per_partition)
+    return wanted if most is None else min(most, wanted)
+
+
+def write_sized(df: DataFrame, path: str, rows: int, per_partition: int = ROWS_PER_PARTITION) -> None:
+    """Write in as many partitions as a known number of rows asks for."""
+    df.repartition(target_partitions(rows, per_partition)).write.mode("overwrite").parquet(path)
 
 
 def balanced(df: DataFrame, *by: str) -> DataFrame:
@@ -108,10 +111,9 @@ def write_partitioned_report(df: DataFrame, path: str, columns: Sequence[str]) -
     writer.partitionBy(*columns).parquet(path)
 
 
-def write_single_file(df: DataFrame, path: str, max_bytes: int = 128 << 20) -> None:
-    """One file when Spark's estimate says the result is small, balanced files otherwise."""
-    out = df.coalesce(1) if estimated_bytes(df) <= max_bytes else balanced(df)
-    out.write.mode("overwrite").parquet(path)
+def write_compact(df: DataFrame, path: str) -> None:
+    """As few files as the rows fill: one for a small table."""
+    balanced(df).write.mode("overwrite").parquet(path)
 
 
 def register_table(
@@ -120,8 +122,16 @@ def register_table(
     """Create or replace an external table over a written folder, with its schema."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     name = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(f"{database}.{table}", path=location, source="parquet")
+    if spark.catalog.tableExists(f"{database}.{table}"):
+        # An external table is its location and schema, which the new folder may keep or change.
+        kept = spark.table(name).schema == spark.read.parquet(location).schema
+        if kept:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(name)
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        spark.catalog.createTable(f"{database}.{table}", path=location, source="parquet")
     if partitioned:
         spark.catalog.recoverPartitions(f"{database}.{table}")
     return name
@@ -133,11 +143,17 @@ def add_new_partitions(spark: SparkSession, table: str) -> None:
 
 
 def define_view(df: DataFrame, name: str) -> DataFrame:
-    """An always fresh view, usable by name in SQL."""
+    """An always fresh view in this session, usable by name in SQL."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def define_stored_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """An always fresh view in the catalog, which other sessions see too; its tables must be in the catalog."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
 def refresh_snapshot_tables(
     spark: SparkSession,
     queries: Mapping[str, Callable[[], DataFrame]],
@@ -160,7 +176,7 @@ def refresh_snapshot_tables(
             build().withColumn("_refreshed_at", stamp).write.mode("overwrite").format("parquet").saveAsTable(name)
             report.append({"table": name, "status": "success", "rows": spark.table(name).count()})
         except Exception as problem:  # noqa: BLE001 - the report carries it
-            report.append({"table": name, "status": "error", "message": str(problem)[:500]})
+            report.append({"table": name, "status": "error", "message": str(problem)})
     return report
 
 

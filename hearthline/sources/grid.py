@@ -11,12 +11,13 @@ header row of one chosen sheet is ever brought to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions import dates
 from hearthline.functions.names import header_names, snake_case, unique_names
-from hearthline.operators.lookup import lookup
 
 SHEET = ("source_uri", "sheet")
 # Fixed values of the header rule.
@@ -42,29 +43,29 @@ def is_numeric_text(c: Column) -> Column:
     return bare.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$")
 
 
-def detect_header(grid: DataFrame) -> DataFrame:
-    """(source_uri, sheet, widest, header_idx) per sheet.
+def detect_header(grid: DataFrame, search_rows: int = HEADER_SEARCH_ROWS) -> DataFrame:
+    """(source_uri, sheet, widest, header_idx, texts) per sheet: its header's place and cell texts.
 
     The header is the first of 30 rows that is half full (three cells at least)
-    and at least 70% text; row 0 when there is none.  One aggregate with map-side
-    combine: per sheet only the widest row and 30 small summaries are kept.
+    and at least 70% text; the sheet's first row when there is none.  One aggregate with
+    map-side combine: per sheet only the widest row, the first row and 30 early rows are kept.
     """
     texts = F.transform("cells", cell_text)
-    filled = F.filter(texts, lambda t: t != "")
+    rows = grid.select(*SHEET, "row_idx", F.size("cells").alias("width"), texts.alias("texts"))
+    filled = F.filter("texts", lambda t: t != "")
     wordy = F.filter(filled, lambda t: ~is_numeric_text(t))
-    rows = grid.select(
-        *SHEET,
-        "row_idx",
-        F.size("cells").alias("width"),
-        F.size(filled).alias("filled"),
-        F.size(wordy).alias("wordy"),
+    early = F.struct("row_idx", "texts", F.size(filled).alias("filled"), F.size(wordy).alias("wordy"))
+    per_sheet = rows.groupBy(*SHEET).agg(
+        F.max("width").alias("widest"),
+        F.collect_list(F.when(F.col("row_idx") < search_rows, early)).alias("early"),
+        F.min_by(early, "row_idx").alias("top"),
     )
-    early = F.when(F.col("row_idx") < HEADER_SEARCH_ROWS, F.struct("row_idx", "filled", "wordy"))
-    per_sheet = rows.groupBy(*SHEET).agg(F.max("width").alias("widest"), F.collect_list(early).alias("early"))
     enough = F.greatest(F.lit(MIN_HEADER_CELLS), F.floor(F.col("widest") / 2))
     fitting = F.filter("early", lambda r: (r["filled"] >= enough) & (r["wordy"] * 10 >= r["filled"] * 7))
-    first = F.array_min(F.transform(fitting, lambda r: r["row_idx"]))
-    return per_sheet.select(*SHEET, "widest", F.coalesce(first, F.lit(0)).alias("header_idx"))
+    # The smallest struct has the smallest row number, its first field.
+    chosen = F.coalesce(F.array_min(fitting), F.col("top"))
+    found = per_sheet.select(*SHEET, "widest", chosen.alias("chosen"))
+    return found.select(*SHEET, "widest", F.col("chosen.row_idx").alias("header_idx"), F.col("chosen.texts").alias("texts"))
 
 
 def header_rows(grid: DataFrame) -> DataFrame:
@@ -73,29 +74,23 @@ def header_rows(grid: DataFrame) -> DataFrame:
     The width ends at the last header cell with text; a header without any text
     keeps its full width.
     """
-    found = detect_header(grid).select(
-        *[F.col(c).alias(f"_{c}") for c in SHEET], "header_idx"
-    )
-    early = grid.filter(F.col("row_idx") < HEADER_SEARCH_ROWS)
-    match = [F.col(c) == F.col(f"_{c}") for c in SHEET] + [F.col("row_idx") == F.col("header_idx")]
-    rows = early.join(found, match, "inner").select(
-        *SHEET, "header_idx", F.transform("cells", cell_text).alias("texts")
-    )
     used = F.array_max(F.transform("texts", lambda t, i: F.when(t != "", i + 1)))
     width = F.coalesce(used, F.size("texts"))
-    return rows.select(*SHEET, "header_idx", width.alias("width"), F.slice("texts", F.lit(1), width).alias("headers"))
+    return detect_header(grid).select(
+        *SHEET, "header_idx", width.alias("width"), F.slice("texts", F.lit(1), width).alias("headers")
+    )
 
 
 def sheet_rows(grid: DataFrame, serial_dates: bool = True) -> DataFrame:
     """(source_uri, sheet, row_idx, headers, values): data rows cut and padded to the header.
 
     Blank rows are dropped.  With ``serial_dates``, numbers below a date header
-    are read as spreadsheet day numbers.  The one-row-per-sheet header table is
-    looked up by sheet; a sheet with most of the rows is spread over many tasks.
+    are read as spreadsheet day numbers.  The grid is read twice: for the headers, one row
+    per sheet, and for the rows that they are joined to.
     """
-    heads = header_rows(grid)
-    rows = lookup(grid, heads, [(c, c) for c in SHEET], spread=[F.col("row_idx")])
-    rows = rows.filter(F.col("row_idx") > F.col("header_idx"))
+    heads = header_rows(grid).withColumnsRenamed({c: f"_{c}" for c in SHEET})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SHEET]
+    rows = grid.join(heads, [*same, F.col("row_idx") > F.col("header_idx")])
 
     def text_at(header: Column, i: Column) -> Column:
         cell = F.get(F.col("cells"), i)
@@ -127,9 +122,12 @@ def sheet_table(grid: DataFrame, source_uri: str, sheet: str, serial_dates: bool
     found = header_rows(one).select("headers").take(1)
     if not found:
         raise ValueError(f"no rows for sheet {sheet!r} of {source_uri!r}")
-    names = header_names(found[0]["headers"])
-    rows = sheet_rows(one, serial_dates)
-    return rows.select(*[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    return named_values(sheet_rows(one, serial_dates), found[0]["headers"])
+
+
+def named_values(rows: DataFrame, headers: Sequence[str]) -> DataFrame:
+    """The values of ``sheet_rows`` as columns named by a header row."""
+    return rows.select(*[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(header_names(headers))])
 
 
 def non_blank_counts(df: DataFrame) -> DataFrame:

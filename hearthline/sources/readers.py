@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -21,13 +22,17 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_optional(spark: SparkSession, path: str, spec: Sequence[Field] | None = None) -> DataFrame | None:
-    """As ``read_raw``; a missing input gives an empty table with the raw columns of ``spec``.
+    """As ``read_raw``; a missing input is warned about and gives an empty table with the raw columns of ``spec``.
 
-    Without a spec it gives None, and the caller leaves the table out.
+    Without a spec it gives None, and the caller leaves the table out.  An input that is
+    there but can't be read is an error.
     """
     try:
         return read_raw(spark, path)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"no input at {path}", stacklevel=2)
         return empty_raw(spark, spec) if spec is not None else None
 
 
@@ -85,7 +90,7 @@ def run_each(sources: Iterable[Source], job: Callable[[Source], Mapping[str, obj
         try:
             outcome = {"status": "success", **job(source)}
         except Exception as problem:  # noqa: BLE001 - the report carries it
-            outcome = {"status": "error", "message": str(problem)[:500]}
+            outcome = {"status": "error", "message": str(problem)}
         report.append({"source": source.name, **outcome})
     return report
 

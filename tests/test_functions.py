@@ -114,3 +114,13 @@ def test_exact_mean_ignores_order(spark):
 
 def test_exact_avg_with_integer_column(spark):
     assert spark.createDataFrame([(600,), (601,)], "v int").select(numbers.exact_avg(F.col("v"))).first()[0] == 600.5
+
+
+def test_no_digits_are_cut(spark):
+    df = spark.sql("select * from values (1.0D, 1.4D, 2.4D), (0.8D, 0.4D, 0.0D), (0.0D, 1.0D, 1.0D), (1e300D, 2.0D, 1.0D) as t(w, p, q)")
+    got = [tuple(r) for r in df.select(numbers.percent_of(F.col("p"), F.col("w")), numbers.percent_of(F.col("q"), F.col("p"))).collect()]
+    assert got == [(Decimal("140.00"), Decimal("171.43")), (Decimal("50.00"), Decimal("0.00")), (None, Decimal("100.00")), (None, Decimal("50.00"))]
+    small = spark.sql("select * from values (10.005D), (0.004D), (1e300D) as t(v)")
+    assert small.select(numbers.exact_avg(F.col("v"))).first()[0] == 5.0045
+    text = spark.sql("select * from values ('$1,234.505'), ('1e300'), ('9e21') as t(v)")
+    assert [r[0] for r in text.select(numbers.money_text(F.col("v"))).collect()] == [1234.505, None, 9e21]

@@ -253,9 +253,9 @@ def test_report_folders_and_sizes(spark, tmp_path):
     df = spark.createDataFrame([(2024, 1, "USF"), (2024, 2, "MWF")], "year int, month int, buyer string").withColumn("n", F.lit(1))
     publish.write_partitioned_report(df, str(tmp_path / "r"), ["year", "month", "buyer"])
     assert (tmp_path / "r" / "year=2024" / "month=1" / "buyer=USF").is_dir()
-    publish.write_single_file(df, str(tmp_path / "one"))
+    publish.write_compact(df, str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    assert [publish.target_partitions(n) for n in (0, 25_000, 10**9)] == [1, 2, 200]
+    assert [publish.target_partitions(n) for n in (0, 25_000, 10**9)] == [1, 2, 100_000]
     stamped = publish.lineage_columns(df, publish.extraction_stamps("2024-01-02 03:04:05", "docs", "loans"))
     assert stamped.first()["_etl_extraction_date"] == "2024-01-02"
     publish.write_staging(df, str(tmp_path / "st"))
