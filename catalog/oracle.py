@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from catalog.inputs import raw_sql
-from hearthline.functions.domains import DTI_BANDS, FICO_BANDS
 
 AS_OF = "date '1999-06-15'"
 
@@ -183,7 +182,11 @@ from lists, lateral (select unnest(range(cast(json_array_length(items) as bigint
     }
 
 
-BORROWERS = f"""select loan_id, borrower_position,
+def child_id(position: str) -> str:
+    return f"('0x' || left(md5(loan_id || ':' || {position}), 15))::bigint"
+
+
+BORROWERS = f"""select {child_id('borrower_position')} as borrower_id, loan_id, borrower_position,
  {", ".join(f"e->>'{raw}' as {name}" for name, raw in _BORROWER_TEXT.items())},
  '***-**-' || right(e->>'ssn', 4) as ssn_masked, try_cast(e->>'dateOfBirth' as date) as date_of_birth,
  {whole("(e->>'fico')")} as credit_score, try_cast(e->>'dti' as double) as dti,
@@ -192,7 +195,7 @@ BORROWERS = f"""select loan_id, borrower_position,
 from elements"""
 WITH_BORROWERS = {**children("borrowers", "borrower_position"), "borrowers": BORROWERS}
 
-ENTRIES = f"""select loan_id, array_index, e->>'_key' as entry_key, {whole("(e->>'_position')")} as entry_position,
+ENTRIES = f"""select {child_id('array_index')} as eep_processing_entry_id, loan_id, array_index, e->>'_key' as entry_key, {whole("(e->>'_position')")} as entry_position,
  try_cast(e->>'at' as timestamp) as processed_at, coalesce(e->>'userId', e->>'user') as user_id,
  e->>'newProcessingStatus' as new_processing_status from elements"""
 
@@ -806,16 +809,17 @@ SQL["drop_empty_columns"] = "select cast(l_orderkey as varchar) as order_key, l_
 SQL["quality_checks"] = with_(
     {**STAR, "users": raw_sql("users")},
     """select 'domain' as "check", 'o_orderstatus' as subject, count(*) as rows_checked, count(*) filter (where o_orderstatus not in ('F','O')) as violations from orders
-union all select 'pattern', 'email', count(*), 0 from users
+union all select 'pattern', 'email', count(email), count(*) filter (where email like 'user1%') from users
 union all select 'pattern', 'c_name', count(*), count(*) filter (where right(c_name, 1) <> '1') from customer
 union all select 'range', 'credit_score', count(credit_score), count(*) filter (where credit_score < 600 or credit_score > 700) from loan_metrics
-union all select 'required', '_id,productType,closingDate', count(*), count(*) filter (where product_type is null or closing_date is null) from dim_loan
+union all select 'required', 'loan_id,product_type,closing_date', count(*), count(*) filter (where product_type is null or closing_date is null) from dim_loan
 union all select 'unique', 'l_orderkey,l_linenumber', count(*), count(*) - count(distinct (l_orderkey, l_linenumber)) from lineitem
 union all select 'unique', 'l_orderkey', count(*), count(*) - count(distinct l_orderkey) from lineitem where l_returnflag = 'R'
 union all select 'referential', 'l_suppkey', count(*), count(*) filter (where l_suppkey not in (select o_custkey from orders)) from lineitem""",
 )
 SQL["duplicate_keys"] = "select l_orderkey, l_linenumber, count(*) as rows from lineitem group by 1, 2 having count(*) > 1"
-SQL["staleness"] = "select date '2024-01-02' as newest, 3 as age_days, true as is_stale"
+SQL["staleness"] = f"""select newest, cast(date_diff('day', newest, {AS_OF}) as integer) as age_days, {AS_OF} - newest > 2 as is_stale
+from (select max(cast(o_orderdate as date)) as newest from orders)"""
 SQL["dead_letter"] = with_(
     RAW_LOANS,
     f"""select reasons, count(*) as loans from (select concat_ws('; ', case when "blueWaterId" = 'n/a' then 'bad bluewater id' end,
@@ -834,6 +838,11 @@ select user_id, event_type, ts as valid_from, lead(ts) over w as valid_to, lead(
 from changed window w as (partition by user_id order by ts, event_id)"""
 
 
+# Score and ratio bands; score bands end with their last score, ratio bands before their last ratio.
+FICO_BANDS = {"600-639": (600, 639), "640-679": (640, 679), "680-699": (680, 699), "700+": (700, None)}
+DTI_BANDS = {"0-39": (0, 40), "40-44": (40, 45), "45-49": (45, 50), "50+": (50, None)}
+
+
 def scorecard() -> str:
     """All scorecard measures, spelled out by rule."""
     late = {"30-59": "30_to_59", "60-89": "60_to_89", "90+": "90plus"}

@@ -88,12 +88,12 @@ def star_loan_metrics(spark, sf):
 
 @query
 def star_borrowers(spark, sf):
-    return star.dim_borrower(_loans(spark, sf)).drop("borrower_id")
+    return star.dim_borrower(_loans(spark, sf))
 
 
 @query
 def star_processing_entries(spark, sf):
-    return star.dim_eep_processing_entry(_loans(spark, sf)).drop("eep_processing_entry_id")
+    return star.dim_eep_processing_entry(_loans(spark, sf))
 
 
 @query
@@ -327,17 +327,17 @@ def kpi_filtered(spark, sf):
 
 @query
 def month_trend(spark, sf):
-    return tracking.month_trend(_view(spark, sf), procurement.dim_month(_fact(spark, sf)))
+    return tracking.month_trend(_view(spark, sf))
 
 
 @query
 def avg_coverage_by_month(spark, sf):
-    return tracking.avg_coverage_by_month(_view(spark, sf), procurement.dim_month(_fact(spark, sf)))
+    return tracking.avg_coverage_by_month(_view(spark, sf))
 
 
 @query
 def avg_premium_by_month(spark, sf):
-    return tracking.avg_premium_by_month(_view(spark, sf), procurement.dim_month(_fact(spark, sf)))
+    return tracking.avg_premium_by_month(_view(spark, sf))
 
 
 @query
@@ -368,11 +368,7 @@ def label_check(spark, sf):
 @query
 def current_month_default(spark, sf):
     """The default month taken from the newest order instead of the clock."""
-    newest = table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date").alias("as_of_date"))
-    day = F.col("as_of_date")
-    return newest.select(
-        dates.month_label(day).alias("current_month_label"), dates.month_sort(day).alias("year_month_sort"), day
-    )
+    return tracking.current_month(table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date").alias("day")), "day")
 
 
 # -------------------------------------------------------------------- landing
@@ -423,10 +419,14 @@ def backfill_prices(spark, sf):
     """Order prices with gaps, filled from the latest of each order's copies."""
     price = F.col("o_totalprice").cast(MONEY).cast("string")
     orders = table(spark, sf, "orders")
+    versions = orders.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
     gap = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).when(F.col("o_orderkey") % 3 == 1, F.lit("  ")).otherwise(price)
     holed = orders.select("o_orderkey", gap.alias("price"), F.when(F.col("o_custkey") % 2 == 0, price).alias("upb"))
-    patch = orders.select("o_orderkey", price.alias("price"), F.concat(F.lit("P"), price).alias("upb"))
-    return backfill_nulls(backfill_nulls(holed, patch, "o_orderkey", ["price"]), patch, "o_orderkey", ["upb"])
+    newest = F.col("version") == 2
+    patch = versions.select(
+        "o_orderkey", "version", F.when(newest, price).alias("price"), F.concat(F.when(newest, "P").otherwise("old"), price).alias("upb")
+    )
+    return backfill_nulls(holed, patch, "o_orderkey", ["price", "upb"], newest="version")
 
 
 @query
@@ -730,14 +730,14 @@ def drop_empty_columns(spark, sf):
 def quality_checks(spark, sf):
     """Domain, pattern, range, required, unique and referential checks as one table."""
     orders, lines, customers = (table(spark, sf, t) for t in ("orders", "lineitem", "customer"))
-    loans, users = _loans(spark, sf), raw(spark, sf, "users")
-    score = star.fact_loan_metrics(loans)
+    users = raw(spark, sf, "users")
+    email = F.when(F.col("email").startswith("user1"), F.regexp_replace("email", "@", " at ")).otherwise(F.col("email"))
+    loans, users = _base(spark, sf), users.withColumn("email", email)
     checks = [
-        quality.domain(orders, "o_orderstatus", ["F", "O"]),
-        quality.pattern(users, "email", quality.EMAIL),
-        quality.pattern(customers, "c_name", "^Customer#[0-9]+1$"),
-        quality.in_range(score, "credit_score", 600, 700),
-        quality.required(loans, "_id", "productType", "closingDate"),
+        quality.check(orders, quality.domain("o_orderstatus", ["F", "O"])),
+        quality.check(users, quality.pattern("email", quality.EMAIL)),
+        quality.check(customers, quality.pattern("c_name", "^Customer#[0-9]+1$")),
+        quality.check(loans, quality.in_range("credit_score", 600, 700), quality.required("loan_id", "product_type", "closing_date")),
         quality.unique(lines, "l_orderkey", "l_linenumber"),
         quality.unique(lines, "l_orderkey", where=F.col("l_returnflag") == "R"),
         quality.referential(lines, "l_suppkey", orders, "o_custkey"),
@@ -755,7 +755,9 @@ def duplicate_keys(spark, sf):
 
 @query
 def staleness(spark, sf):
-    return quality.staleness(_loans(spark, sf), "_etl_extracted_at", date(2024, 1, 5), max_days=2)
+    """The newest order day, kept as text, seen from a fixed day."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").cast("string").alias("_etl_extracted_at"))
+    return quality.staleness(orders, "_etl_extracted_at", AS_OF, max_days=2)
 
 
 @query

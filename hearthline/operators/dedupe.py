@@ -34,14 +34,14 @@ def latest_per_key(
 
 
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """A 64-bit hash of the row; columns of a type without an order are left out."""
-    names = columns or df.columns
-    usable = [
-        F.col(f"`{f.name}`")
-        for f in df.schema.fields
-        if f.name in names and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    return F.xxhash64(*usable)
+    """A 64-bit hash of the row; maps by their sorted entries, without variants, which have no order."""
+    chosen = [f for f in df.schema.fields if f.name in (columns or df.columns) and not isinstance(f.dataType, T.VariantType)]
+
+    def hashable(f: T.StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        return F.array_sort(F.map_entries(value)) if isinstance(f.dataType, T.MapType) else value
+
+    return F.xxhash64(*map(hashable, chosen))
 
 
 def dedupe_report(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

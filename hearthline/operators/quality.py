@@ -1,8 +1,9 @@
-"""Checks.  Each returns one row (check, subject, rows_checked, violations) and scans once."""
+"""Checks as rows (check, subject, rows_checked, violations)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -16,39 +17,56 @@ PHONE = r"^\(?[0-9]{3}\)?[-. ]?[0-9]{3}[-. ]?[0-9]{4}$"
 SSN = r"^[0-9]{3}-?[0-9]{2}-?[0-9]{4}$"
 
 
-def check(df: DataFrame, name: str, subject: str, broken: Column, applies: Column | None = None) -> DataFrame:
-    """Count rows a rule applies to and rows that break it."""
-    concerned = applies if applies is not None else F.lit(True)
-    return df.agg(
-        F.lit(name).alias("check"),
-        F.lit(subject).alias("subject"),
-        F.count_if(concerned).alias("rows_checked"),
-        F.count_if(concerned & F.coalesce(broken, F.lit(False))).alias("violations"),
-    )
+@dataclass(frozen=True)
+class Rule:
+    """A check of single rows: the rows it applies to, and which of them break it."""
+
+    name: str
+    subject: str
+    broken: Column
+    applies: Column
+
+
+def check(df: DataFrame, *rules: Rule) -> DataFrame:
+    """One row per rule: rows it applies to and rows that break it.  All rules take one scan."""
+    counts = []
+    for i, rule in enumerate(rules):
+        counts += [
+            F.count_if(rule.applies).alias(f"checked_{i}"),
+            F.count_if(rule.applies & F.coalesce(rule.broken, F.lit(False))).alias(f"broken_{i}"),
+        ]
+    lines = [
+        F.struct(
+            F.lit(rule.name).alias("check"), F.lit(rule.subject).alias("subject"),
+            F.col(f"checked_{i}").alias("rows_checked"), F.col(f"broken_{i}").alias("violations"),
+        )
+        for i, rule in enumerate(rules)
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*lines)))
 
 
-def domain(df: DataFrame, column: str, allowed: Sequence[object]) -> DataFrame:
+def domain(column: str, allowed: Sequence[object]) -> Rule:
     """Values outside the allowed list; NULL is not a value."""
     c = F.col(column)
-    return check(df, "domain", column, ~c.isin(list(allowed)), c.isNotNull())
+    return Rule("domain", column, ~c.isin(list(allowed)), c.isNotNull())
 
 
-def pattern(df: DataFrame, column: str, regex: str) -> DataFrame:
+def pattern(column: str, regex: str) -> Rule:
     c = F.col(column)
-    return check(df, "pattern", column, ~c.rlike(regex), has_text(c))
+    return Rule("pattern", column, ~c.rlike(regex), has_text(c))
 
 
-def in_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
+def in_range(column: str, low: float, high: float) -> Rule:
     c = F.col(column)
-    return check(df, "range", column, ~c.between(low, high), c.isNotNull())
+    return Rule("range", column, ~c.between(low, high), c.isNotNull())
 
 
-def required(df: DataFrame, *columns: str) -> DataFrame:
+def required(*columns: str) -> Rule:
     """Rows in which any of the columns is missing or blank."""
     gap = F.lit(False)
     for name in columns:
         gap = gap | ~has_text(F.col(name))
-    return check(df, "required", ",".join(columns), gap)
+    return Rule("required", ",".join(columns), gap, F.lit(True))
 
 
 def unique(df: DataFrame, *keys: str, where: Column | None = None) -> DataFrame:

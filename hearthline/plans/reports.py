@@ -294,15 +294,18 @@ def _calendar_months(calendar: DataFrame) -> DataFrame:
 def correspondent_dashboard(base: DataFrame, correspondents: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per partner and closing month: loan counts, volumes and averages.
 
-    Loans are reduced to (partner, day) before the calendar and partner names
-    are joined on, so both joins see few rows and no hot key.  Base rows are one
-    per loan; sums and counts add up over days, averages are sums over counts.
+    Rows are reduced to (partner, month, loan) first, so a loan that occurs twice counts
+    once and a hot partner is shared by many tasks; amounts add up over rows.
     """
     status = F.col("current_status")
-    per_day = base.groupBy("correspondent_id", "closing_date_key").agg(
-        F.count("loan_id").alias("n"),
-        F.count_if(status == "Purchased").alias("purchased"),
-        F.count_if(status == "Cancelled").alias("cancelled"),
+    known = F.col("loan_id").isNotNull()
+    months = _calendar_months(calendar)
+    dated = base.join(months, base.closing_date_key == months.date_id)
+    month = ("correspondent_id", "year", "month", "year_month")
+    per_loan = dated.groupBy(*month, "loan_id").agg(
+        F.max(known.cast("int")).alias("n"),
+        F.max((known & (status == "Purchased")).cast("int")).alias("purchased"),
+        F.max((known & (status == "Cancelled")).cast("int")).alias("cancelled"),
         F.sum("first_mortgage_total_amount").alias("volume"),
         F.sum(F.col("first_mortgage_interest_rate").cast("decimal(18,6)")).alias("rate_sum"),
         F.count("first_mortgage_interest_rate").alias("rate_n"),
@@ -310,17 +313,15 @@ def correspondent_dashboard(base: DataFrame, correspondents: DataFrame, calendar
         F.count("credit_score").alias("score_n"),
         F.sum("dpa_amount").alias("dpa"),
     )
-    months = _calendar_months(calendar)
-    dated = per_day.join(months, per_day.closing_date_key == months.date_id)
+    sums = "n purchased cancelled volume rate_sum rate_n score_sum score_n dpa".split()
+    dated = per_loan.groupBy(*month).agg(*[F.sum(c).alias(c) for c in sums])
     # Loans of unknown partners share one group without a key.
     names = correspondents.select(F.col("correspondent_id").alias("_known_id"), "correspondent_name")
     named = dated.join(names, dated.correspondent_id == names["_known_id"], "left")
     return named.groupBy(
         F.col("_known_id").alias("correspondent_id"), "correspondent_name", "year", "month", "year_month"
     ).agg(
-        F.sum("n").alias("total_loans"),
-        F.sum("purchased").alias("purchased_loans"),
-        F.sum("cancelled").alias("cancelled_loans"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("n", "total_loans"), ("purchased", "purchased_loans"), ("cancelled", "cancelled_loans"))],
         F.sum("volume").cast("decimal(28,2)").alias("total_loan_volume"),
         F.round(F.sum("rate_sum") / F.sum("rate_n"), 6).cast("decimal(10,6)").alias("avg_interest_rate"),
         (F.sum("score_sum").cast("double") / F.sum("score_n")).alias("avg_credit_score"),
@@ -331,13 +332,13 @@ def correspondent_dashboard(base: DataFrame, correspondents: DataFrame, calendar
 def monthly_metrics(base: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per calendar month, product and workflow: loans, volumes and averages.
 
-    Base rows are one per loan, so loans are counted without a distinct.
+    A loan that occurs twice counts once.
     """
     months = _calendar_months(calendar)
     dated = base.join(months, base.closing_date_key == months.date_id)
     total, dpa = F.col("first_mortgage_total_amount"), F.col("dpa_amount")
     return dated.groupBy("year", "month", "year_month", "product_type", "workflow_type").agg(
-        F.count("loan_id").alias("loan_count"),
+        F.count_distinct("loan_id").alias("loan_count"),
         F.sum(total).alias("total_volume"),
         decimal_avg(total).alias("avg_loan_amount"),
         F.sum(dpa).alias("total_dpa_volume"),

@@ -289,10 +289,11 @@ def dim_loan(raw: DataFrame, investors: DataFrame | None = None) -> DataFrame:
 
 
 def _loan_children(raw: DataFrame, column: str, position: str, key: str, spec: list[Field], *extra: Column) -> DataFrame:
-    """Child table of an array in loans; its key is a hash of loan and position."""
+    """Child table of an array in loans; its key is 60 bits of the MD5 of loan and position."""
     keep = [F.col("_id").cast("string").alias("loan_id")]
     exploded = explode_children(raw, column, keep, position)
-    head = [F.xxhash64("loan_id", position).alias(key), F.col("loan_id"), F.col(position)]
+    hashed = F.md5(F.concat_ws(":", "loan_id", F.col(position).cast("string")).cast("binary"))
+    head = [F.conv(F.left(hashed, F.lit(15)), 16, 10).cast("long").alias(key), F.col("loan_id"), F.col(position)]
     if exploded is None:
         nothing = raw.sparkSession.range(0).select(
             F.lit(None).cast("string").alias("loan_id"), F.lit(None).cast("int").alias(position)

@@ -108,20 +108,28 @@ def _by_month(view: DataFrame, slicers: Mapping[str, object] | None, value: str
     )
 
 
-def _axis(months: DataFrame) -> DataFrame:
-    return months.select("month_start", "month_label", "year_month_sort")
+def _on_axis(measured: DataFrame, months: DataFrame | None) -> DataFrame:
+    """Measures per month with the months' labels; ``months`` adds those without any measure.
 
+    A view's own months all have a measure, so they need no second pass over it.
+    """
+    if months is not None:
+        return months.select("month_start", "month_label", "year_month_sort").join(measured, "month_start", "left")
+    month = F.col("month_start")
+    return measured.withColumns({"month_label": dates.month_label(month), "year_month_sort": dates.month_sort(month)})
 
-def month_trend(view: DataFrame, months: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
-    """Worked loans, closed loans and submissions on the month axis; empty months show 0.
 
-    A submission counts in its request month and, if closed, in its close month.
+def month_trend(view: DataFrame, months: DataFrame | None = None, slicers: Mapping[str, object] | None = None) -> DataFrame:
+    """Worked loans, closed loans and submissions per month.
+
+    A submission counts in its request month and, if closed, in its close month.  Without
+    ``months``, the months that occur; with them, empty months show 0.
     """
     measures = {"worked_loans": "worked", "closed_loans": "closed", "worked_submissions": "submissions"}
     counts = _by_month(view, slicers).groupBy("month_start").agg(
         *[F.sum(source).alias(name) for name, source in measures.items()]
     )
-    return _axis(months).join(counts, "month_start", "left").select(
+    return _on_axis(counts, months).select(
         "month_label", "year_month_sort", *[F.coalesce(m, F.lit(0)).alias(m) for m in measures]
     )
 
@@ -139,19 +147,19 @@ def _averages(view: DataFrame, value: str, label: str, slicers: Mapping[str, obj
 
 
 def avg_by_month(
-    view: DataFrame, months: DataFrame, value: str, label: str, slicers: Mapping[str, object] | None = None
+    view: DataFrame, value: str, label: str, months: DataFrame | None = None, slicers: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """Mean over loans of the loan's largest ``value``, worked against closed, on the month axis."""
-    means = _averages(view, value, label, slicers)
-    return _axis(months).join(means, "month_start", "left").drop("month_start")
+    """Mean over loans of the loan's largest ``value``, worked against closed, per month."""
+    names = [f"avg_{label}_{role}" for role in ("worked", "closed")]
+    return _on_axis(_averages(view, value, label, slicers), months).select("month_label", "year_month_sort", *names)
 
 
-def avg_coverage_by_month(view: DataFrame, months: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
-    return avg_by_month(view, months, "dwelling_amount", "coverage", slicers)
+def avg_coverage_by_month(view: DataFrame, months: DataFrame | None = None, slicers: Mapping[str, object] | None = None) -> DataFrame:
+    return avg_by_month(view, "dwelling_amount", "coverage", months, slicers)
 
 
-def avg_premium_by_month(view: DataFrame, months: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
-    return avg_by_month(view, months, "premium", "premium", slicers)
+def avg_premium_by_month(view: DataFrame, months: DataFrame | None = None, slicers: Mapping[str, object] | None = None) -> DataFrame:
+    return avg_by_month(view, "premium", "premium", months, slicers)
 
 
 def avg_premium_observed(view: DataFrame, slicers: Mapping[str, object] | None = None) -> DataFrame:
@@ -193,15 +201,18 @@ def filter_lists(view: DataFrame) -> DataFrame:
     return combos.select(F.inline(F.array(*entries, month))).distinct()
 
 
-def current_month_default(spark: SparkSession, as_of: date) -> DataFrame:
-    day = F.lit(as_of)
-    return spark.range(1).select(
-        dates.month_label(day).alias("current_month_label"),
-        dates.month_sort(day).alias("year_month_sort"),
-        day.alias("as_of_date"),
+def current_month(days: DataFrame, day: str) -> DataFrame:
+    """Label and sort key of the month of each row's day."""
+    value = F.col(day)
+    return days.select(
+        dates.month_label(value).alias("current_month_label"), dates.month_sort(value).alias("year_month_sort"), value.alias("as_of_date")
     )
 
 
+def current_month_default(spark: SparkSession, as_of: date) -> DataFrame:
+    return current_month(spark.range(1).select(F.lit(as_of).alias("day")), "day")
+
+
 def label_check(view: DataFrame) -> DataFrame:
     """Sanity counts: rows and filled month labels."""
     return view.agg(

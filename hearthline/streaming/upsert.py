@@ -1,59 +1,42 @@
-"""A file stream kept as a latest-wins snapshot."""
+"""A file stream kept as latest rows per key.
+
+Every batch appends its own latest rows; nothing that is stored is rewritten, so the cost
+of a batch follows the batch and not the table.  Readers take the latest row per key, and
+``compact`` replaces the stored rows by these when there are many old ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.operators.dedupe import latest_per_key
-from hearthline.session import scratch_path
-from hearthline.sinks.publish import _exists
-
-BUCKET = "_bucket"
-
+from hearthline.session import settle
 
-def upsert(batch: DataFrame, path: str, key: str, newest: str, buckets: int) -> None:
-    """Merge rows into the snapshot; only key buckets that occur in the batch are rewritten.
 
-    The merged buckets are written aside before they replace the old ones, since
-    a folder cannot be read and replaced at once.  Merging the same batch again
-    gives the same snapshot, so a repeated batch does no harm.
-    """
-    spark = batch.sparkSession
-    number = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-    rows = batch.withColumn(BUCKET, number)
-    if _exists(spark, path):
-        # At most ``buckets`` numbers come back.
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-        kept = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
-        rows = rows.unionByName(kept, allowMissingColumns=True)
-    aside = scratch_path(spark, "upsert")
-    latest_per_key(rows, key, newest).write.parquet(aside)
-    writer = spark.read.parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(BUCKET).parquet(path)
+def upsert(batch: DataFrame, path: str, key: str, newest: str) -> None:
+    """Add a batch.  Adding the same batch again changes nothing for readers."""
+    latest_per_key(batch, key, newest).write.mode("append").parquet(path)
 
 
 def stream_latest(
-    spark: SparkSession,
-    source: str,
-    schema: T.StructType,
-    path: str,
-    checkpoint: str,
-    key: str,
-    newest: str,
-    buckets: int = 64,
+    spark: SparkSession, source: str, schema: T.StructType, path: str, checkpoint: str, key: str, newest: str
 ) -> StreamingQuery:
     """Take in all files that are new since the last run, then stop."""
     landed = spark.readStream.schema(schema).parquet(source)
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert(batch, path, key, newest, buckets)
+        upsert(batch, path, key, newest)
 
     writer = landed.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+def read_latest(spark: SparkSession, path: str, key: str, newest: str) -> DataFrame:
+    return latest_per_key(spark.read.parquet(path), key, newest)
+
+
+def compact(spark: SparkSession, path: str, key: str, newest: str) -> None:
+    """Replace the stored rows by the latest per key.  No batch may be added meanwhile."""
+    settle(read_latest(spark, path, key, newest), "compacted").write.mode("overwrite").parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hearthline.operators import calendar, history, privacy, quality, trends
 from hearthline.plans import procurement, reports, scorecard, star, tracking
 from hearthline.sinks import publish
-from hearthline.streaming.upsert import read_snapshot, stream_latest
+from hearthline.streaming.upsert import compact, read_latest, stream_latest
 
 D = datetime.date
 
@@ -197,8 +197,8 @@ def test_filters_reach_the_scan(spark, tmp_path):
 def test_quality(spark):
     df = spark.createDataFrame([("a", 700, "x@y.z"), ("b", 900, "bad"), ("a", None, None)], "k string, fico int, email string")
     found = {(r["check"], r["violations"]) for c in (
-        quality.domain(df, "k", ["a"]), quality.in_range(df, "fico", 1, 850), quality.pattern(df, "email", quality.EMAIL),
-        quality.unique(df, "k"), quality.required(df, "email"), quality.referential(df, "k", df.filter("k = 'b'"), "k"),
+        quality.check(df, quality.domain("k", ["a"]), quality.in_range("fico", 1, 850), quality.pattern("email", quality.EMAIL)),
+        quality.unique(df, "k"), quality.check(df, quality.required("email")), quality.referential(df, "k", df.filter("k = 'b'"), "k"),
     ) for r in c.collect()}
     assert found == {("domain", 1), ("range", 1), ("pattern", 1), ("unique", 1), ("required", 1), ("referential", 2)}
     good, bad = quality.split_bad_records(df, ("range", F.col("fico") > 850), ("none", F.col("fico").isNull()))
@@ -269,8 +269,11 @@ def test_stream_upsert(spark, tmp_path):
     for extra in (None, [("a", "2", 2), ("c", "1", 3)], [("a", "0", 9)]):
         if extra:
             spark.createDataFrame(extra, schema).write.mode("append").parquet(src)
-        stream_latest(spark, src, schema, out, ck, "_id", "ts", buckets=4).awaitTermination()
-    assert rows(read_snapshot(spark, out), "_id") == [("a", "2", 2), ("b", "1", 1), ("c", "1", 3)]
+        stream_latest(spark, src, schema, out, ck, "_id", "ts").awaitTermination()
+    want = [("a", "2", 2), ("b", "1", 1), ("c", "1", 3)]
+    assert rows(read_latest(spark, out, "_id", "ts"), "_id") == want and spark.read.parquet(out).count() == 5
+    compact(spark, out, "_id", "ts")
+    assert rows(read_latest(spark, out, "_id", "ts"), "_id") == want and spark.read.parquet(out).count() == 3
 
 
 # --------------------------------------------------------------------- history
