@@ -1,7 +1,7 @@
 """Token ids of whole texts by a public tokenizer file, one distinct piece at a time.
 
 A text is cut only where its tokenizer cuts as well: before white space that follows
-something else.  What lies between two cuts is encoded by the ``tokenizers`` library
+something else, and between ASCII letters and marks.  What lies between two cuts is encoded by the ``tokenizers`` library
 once per distinct piece, and the ids are gathered; the result equals that of encoding
 whole texts, at the price of the distinct pieces.
 """
@@ -10,29 +10,44 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from hearthline.llm.words import SPACE, Words, slices, text_bytes
+from hearthline.llm.words import SPACE, slices, text_bytes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Pieces that a task keeps; beyond them it starts anew.
-KEPT_PIECES = 400_000
+# Pieces that a Python worker keeps, at about 200 bytes each; beyond them it starts anew.
+KEPT_PIECES = 500_000
+# Pieces encoded at a time; the library's results take much more memory than their ids.
+AT_ONCE = 10_000
+
+
+def of(*chars: int) -> np.ndarray:
+    mask = np.zeros(256, bool)
+    mask[list(chars)] = True
+    return mask
+
+
 # Last and next to last bytes in UTF-8 of the white space beyond ASCII.
-LAST = np.zeros(256, bool)
-LAST[[0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F]] = True
-NEXT_TO_LAST = np.zeros(256, bool)
-NEXT_TO_LAST[[0xC2, 0x9A, 0x80, 0x81]] = True
+LAST = of(0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F)
+NEXT_TO_LAST = of(0xC2, 0x9A, 0x80, 0x81)
+LETTER = of(*range(0x41, 0x5B), *range(0x61, 0x7B))
+MARK = of(*(c for c in range(0x21, 0x7F) if not chr(c).isalnum()))
+# Letters after an apostrophe may belong to it ("'s").
+PLAIN_MARK = MARK & ~of(0x27)
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[0x41:0x5B] += 32
 
 
 class TextEncoder:
     """Ids of texts, each followed by ``end_id``.
 
     ``spaced``: the tokenizer's pieces keep the white space before them (byte-level
-    vocabularies); else it drops white space and words are encoded alone.  Special
-    tokens' strings in a text are ordinary text.
+    vocabularies); else it drops white space.  Special tokens' strings in a text are
+    ordinary text.
     """
 
     def __init__(self, file: str, end_id: int, spaced: bool):
@@ -40,6 +55,7 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
+        self.lowers = '"type":"Lowercase"' in self.tokenizer.to_str()
         self.end_id, self.spaced = end_id, spaced
         self.forget()
 
@@ -48,34 +64,53 @@ class TextEncoder:
         self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def pieces(self, column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-        """A code for each piece, the distinct pieces, and the first piece of each text."""
-        if not self.spaced:
-            words = Words.of(column)
-            return *words.coded(), words.first
+        """A code for each piece, the distinct pieces, and the first piece of each text.
+
+        Cuts: before white space after something else, and between ASCII letters and ASCII
+        marks, except that nothing is cut behind an apostrophe.
+        """
         content, begin = text_bytes(column)
-        blank = SPACE[content]
-        cut = blank.copy()
-        cut[1:] &= ~blank[:-1]
-        cut[2:] &= ~(LAST[content[1:-1]] & NEXT_TO_LAST[content[:-2]])
-        opened = begin[:-1][np.diff(begin) > 0]
-        cut[opened] = True
+        if self.lowers:
+            content = FOLD[content]
+        blank, letter = SPACE[content], LETTER[content]
+        cut = np.zeros(len(content), bool)
+        cut[1:] = (letter[:-1] & MARK[content[1:]]) | (PLAIN_MARK[content[:-1]] & letter[1:])
+        if self.spaced:
+            opens = blank.copy()
+            opens[1:] &= ~blank[:-1]
+            opens[2:] &= ~(LAST[content[1:-1]] & NEXT_TO_LAST[content[:-2]])
+            cut |= opens
+        else:
+            cut[1:] |= blank[:-1]
+        cut[begin[:-1][np.diff(begin) > 0]] = True
+        if not self.spaced:
+            cut &= ~blank
         starts = np.flatnonzero(cut)
+        first = np.searchsorted(starts, begin)
+        if not self.spaced:
+            content, starts = content[~blank], np.flatnonzero(cut[~blank])
         found = slices(content, np.diff(np.append(starts, len(content)))).dictionary_encode()
-        return found.indices.to_numpy(zero_copy_only=False), found.dictionary, np.searchsorted(starts, begin)
+        return found.indices.to_numpy(zero_copy_only=False), found.dictionary, first
 
     def learn(self, distinct: list[bytes]) -> np.ndarray:
         """The number of each piece among the kept ones, encoding those not seen before."""
         if len(self.known) > KEPT_PIECES:
             self.forget()
-        fresh = [p for p in distinct if p not in self.known]
+        numbers = list(map(self.known.get, distinct))
+        fresh = [p for p, n in zip(distinct, numbers, strict=True) if n is None]
         if fresh:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+            size, ids = [], []
+            for at in range(0, len(fresh), AT_ONCE):
+                texts = [p.decode() for p in fresh[at : at + AT_ONCE]]
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                size.append(np.fromiter(map(len, found), np.int64, len(found)))
+                ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+            size, ids = np.concatenate(size), np.concatenate(ids)
             self.begin = np.append(self.begin, len(self.flat) + np.cumsum(size) - size)
             self.size, self.flat = np.append(self.size, size), np.append(self.flat, ids)
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            numbers = list(map(self.known.__getitem__, distinct))
+        return np.array(numbers, np.int64)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each, its end included."""
