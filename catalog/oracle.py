@@ -917,3 +917,6 @@ SQL["privacy_policy"] = f"""select c_custkey, sha256('s1' || c_name) as c_name,
 SQL["slicer_counts"] = """select l_returnflag, count(*) as rows, count(distinct l_orderkey) as orders,
  count(distinct case when l_quantity > 30 then l_orderkey end) as large
 from lineitem where l_returnflag in ('A', 'R') and l_linestatus = 'O' group by 1"""
+
+
+from catalog import runs_oracle as _runs  # noqa: E402, F401 - adds its queries

@@ -888,3 +888,6 @@ def slicer_counts(spark, sf):
     lines = table(spark, sf, "lineitem")
     kept = rollup.apply_slicers(lines, {"l_returnflag": ["A", "R"], "l_linestatus": "O"})
     return rollup.distinct_counts(kept, ["l_returnflag"], "l_orderkey", {"orders": F.lit(True), "large": F.col("l_quantity") > 30})
+
+
+from catalog import runs as _runs  # noqa: E402, F401 - registers its queries

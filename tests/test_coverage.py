@@ -11,19 +11,19 @@ from catalog.queries import QUERIES
 HERE = pathlib.Path(__file__).parent
 # Operator id -> registered queries and test functions that exercise it.
 COVERED = {
-    "A1": "test_optional_and_incremental_reads", "A2": "test_optional_and_incremental_reads",
-    "A3": "incremental_events test_optional_and_incremental_reads", "A4": "test_sources_run_in_isolation",
-    "A5": "test_newest_file_per_stem test_list_files_and_table_map", "A6": "test_list_files_and_table_map",
+    "A1": "merged_files extract_read_back test_optional_and_incremental_reads", "A2": "merged_files test_optional_and_incremental_reads",
+    "A3": "incremental_events test_optional_and_incremental_reads", "A4": "extract_run test_sources_run_in_isolation",
+    "A5": "newest_files test_newest_file_per_stem test_list_files_and_table_map", "A6": "curate_sheets test_list_files_and_table_map",
     "A7": "star_product_volume test_list_files_and_table_map", "A8": "calendar_staging calendar_curated",
-    "B1": "test_verified_writes_and_log", "B2": "test_report_folders_and_sizes", "B3": "snapshot_publish partition_publish test_publish_modes",
-    "B4": "test_catalog_tables", "B5": "test_catalog_tables", "B6": "test_catalog_tables", "B7": "test_catalog_tables",
-    "B8": "buyer_share_detail test_report_folders_and_sizes", "B9": "test_report_folders_and_sizes", "B10": "test_report_folders_and_sizes",
-    "B11": "test_catalog_tables", "B12": "test_report_folders_and_sizes",
-    "C1": "flatten_document test_flatten_and_canonical", "C2": "canonical_columns", "C3": "test_flatten_and_canonical", "C4": "all_string",
+    "B1": "extract_run sinks_read_back test_verified_writes_and_log", "B2": "sinks_read_back test_report_folders_and_sizes", "B3": "snapshot_publish partition_publish test_publish_modes",
+    "B4": "curate_sheets sinks_read_back test_catalog_tables", "B5": "sinks_read_back test_catalog_tables", "B6": "sinks_read_back test_catalog_tables", "B7": "sinks_read_back test_catalog_tables",
+    "B8": "sinks_read_back buyer_share_detail test_report_folders_and_sizes", "B9": "sinks_read_back test_report_folders_and_sizes", "B10": "sinks_read_back test_report_folders_and_sizes",
+    "B11": "sinks_read_back test_catalog_tables", "B12": "extract_read_back curate_sheets test_report_folders_and_sizes",
+    "C1": "flatten_document test_flatten_and_canonical", "C2": "canonical_columns", "C3": "duplicate_names test_flatten_and_canonical", "C4": "all_string",
     "C5": "test_ancient_dates_and_union", "C6": "choice_struct test_choice_struct_leaves_real_documents", "C7": "money_values choice_struct",
     "C8": "backfill_prices test_backfill_fills_only_gaps", "C9": "ancient_dates test_ancient_dates_and_union",
-    "D1": "grid_header test_header_rules", "D2": "test_numeric_text", "D3": "grid_header", "D4": "grid_rows", "D5": "test_grid_to_table",
-    "D6": "drop_empty_columns test_empty_columns", "D7": "test_names", "D8": "test_names", "D9": "grid_rows test_grid_to_table",
+    "D1": "sheet_without_header grid_header test_header_rules", "D2": "test_numeric_text", "D3": "grid_header", "D4": "grid_rows", "D5": "curate_sheets test_grid_to_table",
+    "D6": "drop_empty_columns test_empty_columns", "D7": "test_names", "D8": "duplicate_names curate_sheets test_names", "D9": "grid_rows test_grid_to_table",
     "D10": "excel_serial grid_rows test_serial_dates",
     "E1": "money_values test_schema_helpers", "E2": "test_schema_helpers conform_union", "E3": "money_values", "E4": "money_values test_values",
     "E5": "word_domains", "E6": "word_domains", "E7": "word_domains", "E8": "fk_resolution", "E9": "fk_resolution star_correspondents",
@@ -41,21 +41,21 @@ COVERED = {
     "J1": "star_dim_loan", "J2": "monthly_closings_by_buyer", "J3": "loan_details", "J4": "registrations_by_product", "J5": "correspondent_dashboard",
     "J6": "month_trend test_month_trend_equals_the_or_join", "J7": "avg_coverage_by_month", "J8": "loan_master", "J9": "backfill_prices",
     "H1": "kpi_scorecard", "H2": "monthly_closings", "H3": "kpi_scorecard", "H4": "buyer_pivot", "H5": "monthly_closings monthly_metrics", "H6": "monthly_closings",
-    "H7": "avg_premium_by_month", "H8": "kpi_scorecard", "H9": "monthly_closings_by_buyer", "H10": "loan_master", "H11": "loan_master", "H12": "loan_master",
+    "H7": "avg_premium_by_month", "H8": "growth_of_amounts kpi_scorecard", "H9": "monthly_closings_by_buyer", "H10": "loan_master", "H11": "loan_master", "H12": "loan_master",
     "H13": "loan_master", "H14": "loan_master", "H15": "non_blank_profile",
-    "W1": "latest_per_key test_latest_per_key_is_total_and_stable", "W2": "buyer_share test_share_of_the_month", "W3": "staleness",
-    "S1": "test_share_of_the_month", "S2": "month_trend filter_lists", "S3": "month_spine", "S4": "month_spine", "S5": "filter_lists", "S6": "conform_union", "S7": "test_newest_file_per_stem",
+    "W1": "star_of_versions status_of_versions latest_per_key test_latest_per_key_is_total_and_stable", "W2": "buyer_share test_share_of_the_month", "W3": "staleness",
+    "S1": "test_share_of_the_month", "S2": "month_trend filter_lists", "S3": "month_spine", "S4": "month_spine", "S5": "filter_lists", "S6": "conform_union", "S7": "newest_files test_newest_file_per_stem",
     "R-EEP": "monthly_closings", "R-DPA": "monthly_closings_by_buyer monthly_closings_by_buyer_raw monthly_closings_by_buyer_three_way", "R-DPAP": "buyer_pivot",
     "R-DPAS": "buyer_share buyer_share_detail", "R-DPAY": "buyer_yearly", "R-REG": "registrations_by_product", "R-REGP": "registrations_pivot",
     "R-REGS": "registrations_share", "R-LOAN": "loan_details", "R-LOAND": "product_loan_details", "R-CUR": "current_overview", "R-YTD": "ytd_by_product",
-    "R-CORR": "correspondent_dashboard", "R-MON": "monthly_metrics", "R-DPAM": "amounts_by_month", "R-PROD": "volume_by_product", "R-PA": "procurement_analysis",
+    "R-CORR": "correspondent_dashboard", "R-MON": "metrics_of_repeated_loans monthly_metrics", "R-DPAM": "amounts_by_month", "R-PROD": "volume_by_product", "R-PA": "procurement_analysis",
     "R-KPI": "kpi_scorecard", "R-TREND": "month_trend", "R-COV": "avg_coverage_by_month", "R-PREM": "avg_premium_by_month avg_premium_observed",
     "R-FLOOD": "flood_donut", "R-SRC": "closed_by_source", "R-LIST": "filter_lists", "R-NOW": "current_month_default test_month_default", "R-CHK": "label_check",
-    "V1": "test_verified_writes_and_log", "V2": "test_verified_writes_and_log", "V3": "test_verified_writes_and_log", "V4": "quality_checks", "V5": "quality_checks",
+    "V1": "extract_run test_verified_writes_and_log", "V2": "extract_run extract_totals test_verified_writes_and_log", "V3": "extract_run test_verified_writes_and_log", "V4": "quality_checks", "V5": "quality_checks",
     "V6": "quality_checks", "V7": "quality_checks duplicate_keys", "V8": "quality_checks", "V9": "dedupe_report",
-    "T1": "test_stream_upsert",
+    "T1": "stream_latest_events test_stream_upsert",
     "X1": "privacy_policy test_privacy", "X2": "scd2 test_scd2_equals_brute_force", "X3": "dead_letter", "X4": "servicing_scorecard fico_bands",
-    "X5": "days_to_clear variance", "X6": "condition_turnaround loan_aging", "X7": "yoy_growth corr_driver", "X8": "loan_snapshot partition_publish",
+    "X5": "days_to_clear variance", "X6": "condition_turnaround loan_aging", "X7": "growth_of_amounts yoy_growth corr_driver", "X8": "loan_snapshot partition_publish",
 }
 
 
