@@ -807,7 +807,7 @@ def partition_publish(spark, sf):
 @query
 def scd2(spark, sf):
     events = table(spark, sf, "events")
-    return history.scd2(events, ["user_id"], "ts", ["event_type"], ["event_id"], F.date_trunc("day", F.col("ts")))
+    return history.scd2(events, ["user_id"], "ts", ["event_type"], ["event_id"])
 
 
 @query

@@ -1,8 +1,9 @@
 """Versions over time.
 
 Looking at the previous or next row of a key needs an order, and one key may
-hold a large share of all rows.  So rows are ordered inside (key, time bucket)
-only; what crosses a bucket border is carried by one row per (key, bucket).
+hold a large share of all rows, even of one day.  So rows are range partitioned by
+(key, order): a hot key lies in many partitions, and what crosses the border of two
+is one row per partition.
 """
 
 from __future__ import annotations
@@ -12,44 +13,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearthline.session import settle
 
-def neighbour(
-    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: Column, name: str, step: int = -1
-) -> DataFrame:
+PART = "_part"
+
+
+def in_ranges(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
+    """The rows dealt to ranges of ``order``, each with the number of its range, and written."""
+    return settle(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), label)
+
+
+def beside(ranged: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, step: int = -1) -> DataFrame:
     """Add ``name``: struct(v) of ``value`` in the previous (-1) or next (+1) row of the key.
 
-    NULL at the end of a key.  ``order`` must be total within a key and must not
-    decrease from one ``bucket`` to the next.
+    NULL at the end of a key; a NULL key is a key like any other.  ``ranged`` comes from
+    ``in_ranges`` over (keys, order), which must be total.  One shuffle of the rows; what is
+    broadcast is one row per range.
     """
-    entry = F.struct(value.alias("v"))
-    rank = F.struct(*order)
+    entry = F.struct(F.struct(*keys).alias("k"), value.alias("v"))
     reach, edge = (F.lag, F.max_by) if step < 0 else (F.lead, F.min_by)
-    within = Window.partitionBy(*keys, bucket).orderBy(*order)
-    borders = df.groupBy(*keys, bucket).agg(edge(entry, rank).alias("_edge"))
-    over_buckets = Window.partitionBy(*keys).orderBy(bucket)
-    groups = [*keys, bucket]
-    carried = borders.select(*[F.col(g).alias(f"_of_{g}") for g in groups], reach("_edge").over(over_buckets).alias("_carried"))
-    near = df.withColumn("_near", reach(entry).over(within))
-    # NULL is a key like any other here.
-    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in groups]
-    joined = near.join(carried, same, "left")
-    return joined.withColumn(name, F.coalesce("_near", "_carried")).drop("_near", *carried.columns)
-
-
-def scd2(
-    df: DataFrame, keys: Sequence[str], at: str, tracked: Sequence[str], tiebreak: Sequence[str], bucket: Column
-) -> DataFrame:
+    edges = ranged.groupBy(F.col(PART).alias("_of")).agg(edge(entry, F.struct(*keys, *order)).alias("_edge"))
+    carried = edges.select("_of", reach("_edge").over(Window.orderBy("_of")).alias("_carried"))
+    near = ranged.withColumn("_near", reach(entry).over(Window.partitionBy(PART).orderBy(*keys, *order)))
+    joined = near.join(F.broadcast(carried), F.col(PART) == F.col("_of"))
+    found = F.coalesce("_near", "_carried")
+    same = found["k"].eqNullSafe(F.struct(*keys))
+    return joined.withColumn(name, F.when(same, F.struct(found["v"].alias("v")))).drop("_near", "_of", "_carried")
+
+
+def scd2(df: DataFrame, keys: Sequence[str], at: str, tracked: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
     """Type-2 versions: (keys, tracked, valid_from, valid_to, is_current).
 
-    A version starts where a tracked value differs from the row before.  ``bucket``
-    cuts time (a month, a day) finely enough that a (key, bucket) fits one task.
+    A version starts where a tracked value differs from the row before.  All rows are
+    shuffled twice, the starts of versions once more.
     """
     state = F.struct(*tracked)
-    rows = df.select(*keys, at, *tiebreak, *tracked, bucket.alias("_bucket"))
     order = [at, *tiebreak]
-    seen = neighbour(rows, keys, "_bucket", order, state, "_before", -1)
-    changed = seen.filter(F.col("_before").isNull() | ~F.col("_before.v").eqNullSafe(state)).drop("_before")
-    ended = neighbour(changed, keys, "_bucket", order, F.col(at), "_after", +1)
+    rows = in_ranges(df.select(*keys, at, *tiebreak, *tracked), [*keys, *order], "ranges")
+    seen = beside(rows, keys, order, state, "_before", -1)
+    changed = settle(seen.filter(F.col("_before").isNull() | ~F.col("_before.v").eqNullSafe(state)).drop("_before"), "starts")
+    ended = beside(changed, keys, order, F.col(at), "_after", +1)
     return ended.select(
         *keys,
         *tracked,

@@ -284,7 +284,7 @@ def test_scd2_equals_brute_force(spark):
     start = datetime.datetime(2024, 1, 1)
     data = [(rng.choice(["x", "x", "x", "x", "y", "z", None]), start + datetime.timedelta(hours=rng.randint(0, 400)), i, rng.choice(["A", "B", None])) for i in range(300)]
     df = spark.createDataFrame(data, "k string, ts timestamp, id int, s string")
-    got = history.scd2(df, ["k"], "ts", ["s"], ["id"], F.date_trunc("day", F.col("ts")))
+    got = history.scd2(df, ["k"], "ts", ["s"], ["id"])
     want = []
     for key in ("x", "y", "z", None):
         changes = []
