@@ -88,7 +88,8 @@ def repeated_anchors(corpus: DataFrame) -> DataFrame:
     listed = corpus.select("_place", F.explode(F.arrays_zip("_anchors", "_hashes")).alias("a")).select(
         "_place", F.col("a._anchors").alias("at"), F.col("a._hashes").alias("hash")
     )
-    shared = listed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # Written, so that the join's shuffles are its own and a hot anchor's rows can be split among tasks.
+    shared = settle(listed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "shared")
     return listed.join(shared, "hash").groupBy("_place").agg(F.collect_list("at").alias("_repeated"))
 
 
