@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from hearthline.session import settle
 
-# Bytes of text that one pass of array code works on; bounds a worker's memory.
-SLICE_BYTES = 6 << 20
+# Bytes of text that one pass of array code works on, up to twice that; bounds a worker's memory.
+SLICE_BYTES = 5 << 20
 
 
 def col(name: str) -> Column:
@@ -29,16 +29,37 @@ def others(df: DataFrame, *taken: str) -> list[str]:
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in slices of about ``limit`` bytes of a text column; a longer text is a slice of its own."""
+    waiting: list[pa.RecordBatch] = []
     for batch in batches:
+        waiting.append(batch)
+        if sum(b.column(column).nbytes for b in waiting) >= limit:
+            yield from cut_up(waiting, column, limit)
+            waiting = []
+    yield from cut_up(waiting, column, limit)
+
+
+def cut_up(batches: list[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    for batch in pa.Table.from_batches(batches).combine_chunks().to_batches() if batches else ():
         ends = pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False).cumsum()
         at = 0
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0
-            stop = max(at + 1, int(ends.searchsorted(before + limit, "right")))
+            stop = max(at + 1, int(ends.searchsorted(before + 2 * limit, "right")))
             yield batch.slice(at, stop - at)
             at = stop
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The input under the names c0, c1, ..., and these names by the input's, so that an operator's own columns clash with none."""
+    plain = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*plain), dict(zip(df.columns, plain, strict=True))
+
+
+def restored(found: DataFrame, df: DataFrame, names: dict[str, str], *results: str) -> DataFrame:
+    """What an operator found for a numbered input, under the input's names; those named like a result give way to it."""
+    return found.select(*[F.col(names[c]).alias(c) for c in others(df, *results)], *results)
+
+
 Batches = Iterator[pa.RecordBatch]
 
 

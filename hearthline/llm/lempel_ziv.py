@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, mapped, others, sliced
+from hearthline.llm.common import mapped, numbered, restored, sliced
 from hearthline.llm.words import Words, fits, gram_hashes, lowest_of
 from hearthline.session import settle
 
@@ -50,9 +50,9 @@ def reference(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
     Null ids come first; equal ids are ordered by a hash of their text.  Documents without
     words share a place, and have no anchors.
     """
-    kept = others(df, "_place", "_words", "_anchors", "_hashes", "_part")
-    keys = (col(id_col).asc_nulls_first(), F.xxhash64(col(text_col)))
-    ordered = df.select(*[col(c) for c in kept]).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    kept = df.columns
+    keys = (F.col(id_col).asc_nulls_first(), F.xxhash64(text_col))
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
@@ -111,7 +111,7 @@ def first_windows(corpus: DataFrame, repeated: DataFrame, text_col: str, length:
 
     The windows are compared by 128 bits of hash.
     """
-    own = corpus.select("_place", "_words", col(text_col).alias("text")).where(F.col("_words") >= length)
+    own = corpus.select("_place", "_words", F.col(text_col).alias("text")).where(F.col("_words") >= length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, "text"):
@@ -148,7 +148,8 @@ def parsed(rows: pa.RecordBatch, text_col: str, length: int) -> tuple[Words, np.
     return words, np.cumsum(edges)[:-1] > 0, opens, closes
 
 
-RESULT = "n_words long, n_removed long, kept_sha256 string, factors array<struct<first:int,last:int>>"
+RESULTS = ["n_words", "n_removed", "kept_sha256", "factors", "clean_text"]
+TYPES = "n_words long, n_removed long, kept_sha256 string, factors array<struct<first:int,last:int>>"
 
 
 def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
@@ -160,20 +161,25 @@ def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col:
     Of repeated rows the first in order is the source of the others.  Columns named like
     a result are replaced.
     """
+    plain, names = numbered(df)
+    found = parsed_rows(plain, length, names[id_col], names[text_col], with_text)
+    return restored(found, df, names, *RESULTS[: 4 + with_text])
+
+
+def parsed_rows(df: DataFrame, length: int, id_col: str, text_col: str, with_text: bool) -> DataFrame:
     if length <= GRAM:
         raise ValueError(f"factors have more than {GRAM} words")
-    names = ["n_words", "n_removed", "kept_sha256", "factors", "clean_text"]
-    corpus = reference(df.select(*[col(c) for c in others(df, *names)]), id_col, text_col, length)
+    corpus = reference(df, id_col, text_col, length)
     repeated = settle(repeated_anchors(corpus), "repeated")
     firsts = settle(first_windows(corpus, repeated, text_col, length), "firsts")
-    kept = others(df, *names, "_place", "_words", "_anchors", "_hashes", "_part")
+    kept = df.columns
     # Documents without a window may share their place with others and have no entry in either list;
     # they get keys of their own, which no place has, so that they don't meet in one task.
-    listed = F.when(F.col("_words") >= length, F.col("_place")).otherwise(F.least(F.lit(-1), F.xxhash64(col(id_col), col(text_col))))
-    own = corpus.select(*[col(c) for c in kept], listed.alias("_listed"))
+    listed = F.when(F.col("_words") >= length, F.col("_place")).otherwise(F.least(F.lit(-1), F.xxhash64(id_col, text_col)))
+    own = corpus.select(*kept, listed.alias("_listed"))
     lists = repeated.join(firsts, "_place", "left")
     joined = own.join(lists, F.col("_listed") == F.col("_place"), "left").drop("_listed", "_place")
-    added = RESULT + ", clean_text string" * with_text
+    added = TYPES + ", clean_text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, text_col):
@@ -192,7 +198,7 @@ def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col:
             ]
             if with_text:
                 columns.append(pa.array(cleaned(words, removed, opens, closes, rows.column(text_col)), pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, [*kept, *names[: 4 + with_text]])
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *RESULTS[: 4 + with_text]])
 
     return mapped(joined, run, kept, added)
 
@@ -235,5 +241,6 @@ def cleaned(words: Words, removed: np.ndarray, opens: np.ndarray, closes: np.nda
 
 def without_duplicates(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows in their own columns, with the duplicate spans cut out of the text."""
-    found = parse(df, length, id_col=id_col, text_col=text_col)
-    return found.select(*[F.col("clean_text").alias(c) if c == text_col else col(c) for c in df.columns])
+    plain, names = numbered(df)
+    found = parsed_rows(plain, length, names[id_col], names[text_col], True)
+    return restored(found.withColumn(names[text_col], F.col("clean_text")), df, names)

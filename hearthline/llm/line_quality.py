@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, mapped, others, sliced
+from hearthline.llm.common import col, mapped, numbered, restored, sliced
 from hearthline.llm.words import SPACE, Words, fits, gram_hashes, mixed
 from hearthline.session import settle
 
@@ -151,10 +151,14 @@ def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limit
     lines over the limit are written first, so Spark knows their size when it chooses
     how to join them to the documents.
     """
-    frequent = settle(frequent_lines(df, host_col, text_col, limits), "lines").select(F.col("host").alias("_line_host"), F.col("lines").alias("_lines"))
-    kept = others(df, *STATISTICS, "clean_text", "_lines", "_line_host")
-    own = df.select(*[col(c) for c in kept])
-    joined = own.join(frequent, col(host_col).cast("string").eqNullSafe(F.col("_line_host")), "left").drop("_line_host")
+    plain, names = numbered(df)
+    return restored(judged_rows(plain, names[host_col], names[text_col], limits), df, names, *STATISTICS, "clean_text")
+
+
+def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits) -> DataFrame:
+    frequent = settle(frequent_lines(df, host_col, text_col, limits), "lines").withColumnsRenamed({"host": "_host", "lines": "_lines"})
+    kept = df.columns
+    joined = df.join(frequent, F.col(host_col).cast("string").eqNullSafe(F.col("_host")), "left").drop("_host")
     added = ", ".join([*(f"{n} {t}" for n, t in STATISTICS.items()), "clean_text string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,5 +172,6 @@ def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limit
 
 def accepted(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """The rows that are kept, in their own columns, with the lines over the limit removed from the text."""
-    found = judge(df, host_col, text_col, limits).where("kept")
-    return found.select(*[F.col("clean_text").alias(c) if c == text_col else col(c) for c in df.columns])
+    plain, names = numbered(df)
+    found = judged_rows(plain, names[host_col], names[text_col], limits).where("kept")
+    return restored(found.withColumn(names[text_col], F.col("clean_text")), df, names)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, others
+from hearthline.llm.common import numbered, restored
 from hearthline.session import settle
 
 STEP = 8.0
@@ -46,14 +46,12 @@ def poisson_cdf(mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS - 1)), start, add, lambda state: state["all"])
 
 
-def source_rates(
-    df: DataFrame, source_col: str, size: Column, weights: dict[str, float] | None, temperature: float, epochs: float
-) -> DataFrame:
-    """One row per source: its rate, the number of draws and the distribution function of one draw.
+def source_rates(docs: DataFrame, weights: dict[str, float] | None, temperature: float, epochs: float) -> DataFrame:
+    """One row per source of ``docs`` (_source, _size): its rate, the number of draws and the distribution function of one draw.
 
     Weights are given per source (others get none), or follow from sizes as size^(1 / temperature).
     """
-    sizes = df.groupBy(col(source_col).cast("string").alias("_source")).agg(F.sum(size).alias("_size"))
+    sizes = docs.groupBy("_source").agg(F.sum("_size").alias("_size"))
     if weights is None:
         weight = F.pow(F.col("_size").cast("double"), F.lit(1.0 / temperature))
     else:
@@ -87,16 +85,19 @@ def mix(
     Rows are dealt to partitions by a hash of id, copy and seed and sorted by it within
     each, which is a random order over all files.
     """
-    size = F.length(F.coalesce(col(text_col).cast("string"), F.lit(""))).cast("long") + 1
-    rates = source_rates(df, source_col, size, weights, temperature, epochs)
-    name = F.coalesce(col(id_col).cast("string"), F.lit(""))
-    kept = others(df, "copy", "rate", "shuffle_key", "_source", "_rate", "_draws", "_cdf")
-    own = df.select(*[col(c) for c in kept])
-    rates = settle(rates, "rates")
-    joined = own.join(rates, col(source_col).cast("string").eqNullSafe(F.col("_source")))
-    one = lambda k: F.size(F.filter(F.col("_cdf"), lambda c: c < uniform(name, F.lit(str(seed)), k.cast("string"))))
-    count = F.aggregate(F.sequence(F.lit(1), F.col("_draws")), F.lit(0), lambda n, k: n + one(k))
-    counted = joined.select(*[col(c) for c in kept], F.col("_rate").alias("rate"), count.alias("_copies")).where("_copies > 0")
-    copies = counted.select(*[col(c) for c in kept], "rate", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("copy"))
+    plain, names = numbered(df)
+    source = F.col(names[source_col]).cast("string")
+    size = F.length(F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))).cast("long") + 1
+    rates = settle(source_rates(plain.select(source.alias("_source"), size.alias("_size")), weights, temperature, epochs), "rates")
+    name = F.coalesce(F.col(names[id_col]).cast("string"), F.lit(""))
+    joined = plain.join(rates, source.eqNullSafe(F.col("_source")))
+
+    def drawn(k: Column) -> Column:
+        return F.size(F.filter(F.col("_cdf"), lambda c: c < uniform(name, F.lit(str(seed)), k.cast("string"))))
+
+    count = F.aggregate(F.sequence(F.lit(1), F.col("_draws")), F.lit(0), lambda n, k: n + drawn(k))
+    counted = joined.select(*plain.columns, F.col("_rate").alias("rate"), count.alias("_copies")).where("_copies > 0")
+    copies = counted.select(*plain.columns, "rate", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("copy"))
     key = F.substring(F.md5(F.concat_ws(":", name, F.lit(str(seed)), F.lit("copy"), F.col("copy").cast("string")).cast("binary")), 1, 16)
-    return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    shuffled = copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return restored(shuffled, df, names, "copy", "rate", "shuffle_key")

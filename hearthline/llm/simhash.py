@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, mapped, others, sliced
+from hearthline.llm.common import col, mapped, numbered, others, restored, sliced
 from hearthline.llm.words import SPACE, Words
 from hearthline.session import settle
 
@@ -172,11 +172,12 @@ def one_of_each(df: DataFrame, shingle: int = 3, k: int = 2, *, id_col: str = "d
 
     Rows that can't be told apart stay one.
     """
-    stored = settle(with_fingerprints(df, shingle, text_col, "_fp").withColumn("_row", F.monotonically_increasing_id()), "marked")
-    rows = stored.select("_row", "_fp", col(id_col).alias("_id"))
+    plain, names = numbered(df)
+    stored = settle(with_fingerprints(plain, shingle, names[text_col], "_fp").withColumn("_row", F.monotonically_increasing_id()), "marked")
+    rows = stored.select("_row", "_fp", F.col(names[id_col]).alias("_id"))
     roots = components(links(rows.select(F.col("_fp").alias("fp")).distinct(), k, wide))
     labelled = rows.join(roots, rows["_fp"] == roots["node"], "left").select("_row", "_id", F.coalesce("root", "_fp").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_row")).alias("best"))
     chosen = smallest.select(F.col("best._row").alias("_row"))
-    return stored.join(chosen, "_row", "left_semi").select(*[col(c) for c in df.columns])
+    return restored(stored.join(chosen, "_row", "left_semi"), df, names)
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.llm.common import col, others, placed
+from hearthline.llm.common import col, numbered, placed, restored
 from hearthline.session import settle
 
 EXACT = 1 << 16
@@ -215,17 +215,16 @@ def shard(
     the columns passed on besides the id, by default all others; those named like a result
     are replaced.
     """
-    text = F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary")
-    kept = [id_col, *(c for c in others(df, *RESULT, "_group", id_col) if payload is None or c in payload)]
-    rows = df.select(
-        *[col(c) for c in kept], (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.unhex(F.sha2(text, 256)).alias("_group"),
-    )
+    plain, names = numbered(df)
+    carried = [c for c in df.columns if c == id_col or payload is None or c in payload]
+    kept = [names[c] for c in carried]
+    text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit("")).cast("binary")
+    rows = plain.select(
+        *kept, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("_group")
+    )
     rows = settle(rows, "sized")
     found = settle(group_shards(rows, shards, capacity), "shards")
-    joined = rows.join(found, "_group").select(*[col(c) for c in kept], "size", "text_crc32", "shard")
-    order = [col(id_col).asc_nulls_first(), F.col("text_crc32"), F.col("size")]
-    numbered = placed(joined, ["shard"], order, "slots", "slot")
-    return numbered.select(
-        *[col(c) for c in kept], "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
-    )
+    joined = rows.join(found, "_group").select(*kept, "size", "text_crc32", "shard")
+    order = [F.col(names[id_col]).asc_nulls_first(), F.col("text_crc32"), F.col("size")]
+    slotted = placed(joined, ["shard"], order, "slots", "slot").withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+    return restored(slotted, df.select(*[col(c) for c in carried]), names, *RESULT)

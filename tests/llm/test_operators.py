@@ -35,12 +35,21 @@ TEXTS = [
     sentence(10) + " " + PASSAGE + " " + sentence(12), sentence(4) + "\n" + PASSAGE + "\n" + sentence(9), PASSAGE, PASSAGE + " " + PASSAGE,
     "same " * 100, "sym### bol$$ | < >\n" * 5, sentence(30) + "\n" + sentence(5) + "\n\n" + sentence(5), "<|endoftext|> it's “quoted” naïve",
 ]
-SHAPE = "doc_id long, text string, source string, lang string, `a.b` int, n_words int, copy string, shard string, fp int, score string"
+CLASHES = "n_words copy shard fp score c0 c1 _row _fp _place _words _lines _host _source _group size place kept clean_text doc text_crc32 Slot".split()
+SHAPE = "doc_id long, text string, source string, lang string, `a.b` int, " + ", ".join(f"`{c}` int" for c in CLASHES)
 
 
 def rows_of(texts, ids=None):
     ids = list(range(len(texts))) if ids is None else ids
-    return [(i, t, None if k % 5 == 4 else f"s{k % 3}", "en", k, -k, "c", "s", 7, "x") for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+    return [(i, t, None if k % 5 == 4 else f"s{k % 3}", "en", k, *range(-len(CLASHES), 0)) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+
+
+def unharmed(found, *results):
+    """Columns that aren't results keep their values, whatever their names."""
+    for r in found:
+        for c, v in zip(CLASHES, range(-len(CLASHES), 0), strict=True):
+            assert c.lower() in results or r[c] == v
+    return found
 
 
 @pytest.fixture(scope="module")
@@ -117,10 +126,10 @@ def test_line_quality(spark, limits):
 
 
 def test_line_quality_other(docs, odd, none):
-    for df, texts in ((docs, TEXTS),):
-        found = {r.doc_id: r for r in line_quality.judge(df).collect()}
-        for k, e in enumerate(brute.quality([("h", t) for t in texts])):
-            assert {c: found[k][c] for c in e} == e
+    found = {r.doc_id: r for r in unharmed(line_quality.judge(docs).collect(), *line_quality.STATISTICS, "clean_text")}
+    for k, e in enumerate(brute.quality([("h", t) for t in TEXTS])):
+        assert {c: found[k][c] for c in e} == e
+    assert unharmed(line_quality.accepted(docs).collect()) and line_quality.accepted(docs).columns == docs.columns
     assert line_quality.judge(odd).count() == 8
     assert line_quality.judge(none).collect() == []
 
@@ -261,7 +270,8 @@ def check_spans(df, texts, length=20):
 def test_spans(docs, none):
     check_spans(docs, TEXTS)
     assert lempel_ziv.parse(none).collect() == []
-    assert lempel_ziv.without_duplicates(docs).columns == docs.columns
+    unharmed(lempel_ziv.parse(docs).collect(), "n_words", "clean_text")
+    assert lempel_ziv.without_duplicates(docs).columns == docs.columns and unharmed(lempel_ziv.without_duplicates(docs).collect())
 
 
 @pytest.mark.parametrize("length", [9, 20])
@@ -287,7 +297,7 @@ def test_spans_odd(odd):
 
 @pytest.mark.parametrize("weights,epochs", [(None, 1.0), ({"s0": 3.0, "s1": 1.0}, 2.0), ({"s0": 1.0}, 60.0), ({}, 1.0)])
 def test_mix(docs, weights, epochs):
-    found = poisson_mix.mix(docs, weights, epochs=epochs).collect()
+    found = unharmed(poisson_mix.mix(docs, weights, epochs=epochs).collect(), "copy")
     rows = docs.collect()
     expected = dict(zip((r.doc_id for r in rows), brute.copies([(r.doc_id, r.source, r.text) for r in rows], weights, epochs=epochs), strict=True))
     counts = {}
@@ -413,7 +423,7 @@ def test_simhash_keeps_one(docs, odd, none):
     stay = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
     prints = [brute.fingerprint(t) for t in TEXTS]
     assert stay == sorted(set(brute.groups(prints)))
-    assert simhash.one_of_each(docs).columns == docs.columns
+    assert simhash.one_of_each(docs).columns == docs.columns and unharmed(simhash.one_of_each(docs).collect())
     texts = sorted(str(r.text)[:9] for r in simhash.one_of_each(odd).collect())
     assert len(texts) == 5
     assert simhash.one_of_each(none).collect() == [] and simhash.grouped(none).collect() == []
@@ -438,7 +448,7 @@ def check_shards(found, texts, shards):
 
 
 def test_shards(spark, docs, none):
-    check_shards(tree_sharding.shard(docs, 4).collect(), TEXTS, 4)
+    check_shards(unharmed(tree_sharding.shard(docs, 4).collect(), "size", "text_crc32", "shard", "slot"), TEXTS, 4)
     texts = [sentence(rng.randint(1, 40)) for _ in range(700)] + ["copy " * 9] * 300 + [LONG * 3]
     df = spark.createDataFrame(rows_of(texts), SHAPE).repartition(4)
     load = check_shards(tree_sharding.shard(df, 5, payload=[]).collect(), texts, 5)
