@@ -94,10 +94,19 @@ def opened(path: str) -> tuple[FileSystem, str]:
 _SHIPPED: list[SparkSession] = []
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session, for code that runs in Python there."""
+    """Send this package to the executors, once a session, for code that runs in Python there.
+
+    Rows then travel in batches of 4 MB instead of 64: each takes memory several times, on
+    both sides.  A limit that the session sets itself is kept.
+    """
     if any(known is spark for known in _SHIPPED):
         return
+    if spark.conf.get(ARROW_BYTES) in ("67108864b", "64MB"):
+        spark.conf.set(ARROW_BYTES, "4m")
     here = os.path.dirname(os.path.abspath(__file__))
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
