@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.llm.common import col, placed, sliced
+from hearthline.llm.common import col, mapped, placed, sliced
+from hearthline.llm.token_planes import PlaneReader, PlaneWriter, new_file
 from hearthline.llm.tokens import encoder
-from hearthline.session import settle
+from hearthline.session import opened, scratch_path, settle
 
 Line = tuple[tuple[int, ...], int]
 
@@ -135,34 +136,73 @@ def cut(lengths: np.ndarray, full: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def token_pieces(
-    df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text", spaced: bool = True
-) -> DataFrame:
-    """Pieces of all documents with their ids: doc_id, piece, start, length, ids_crc32, ids (unsigned 32-bit, little-endian).
-
-    A null text counts as empty: one piece that holds the end id.  A null or repeated
-    doc_id is kept as it is; each row is a document.
+    df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text",
+    spaced: bool = True, folder: str | None = None,
+) -> DataFrame:
+    """Pieces of all documents: doc_id, piece, start, length, ids_crc32, and the file and place of their ids.
+
+    Every task writes the ids of its documents to a file of planes in the shared folder;
+    the table of pieces, which Spark commits, is the only way to them, so files of lost
+    tasks are never read.  A null text counts as empty: one piece that holds the end id.  A
+    null or repeated doc_id is kept as it is; each row is a document.
     """
+    folder = folder or scratch_path(df.sparkSession, "pieces")
     kind = df.schema[id_col].dataType.simpleString()
-    shape = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
+    shape = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, file string, at long"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(vocabulary, end_id, spaced)
+        coder, writer, out, file = encoder(vocabulary, end_id, spaced), None, None, ""
+        before = 0
         for rows in sliced(batches, "text"):
+            if writer is None:
+                out, file = new_file(folder)
+                writer = PlaneWriter(out)
             ids, counts = coder.encode(rows.column("text"))
+            writer.add(ids)
             doc, piece, start, size = cut(counts, full)
             data = memoryview(ids.astype("<u4", copy=False).view(np.uint8))
-            stops = 4 * np.cumsum(size)
-            parts = [data[a:b] for a, b in zip((stops - 4 * size).tolist(), stops.tolist(), strict=True)]
+            stops = np.cumsum(size)
+            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip((stops - size).tolist(), stops.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(size),
-                    pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts, pa.binary()),
+                    pa.array(sums, pa.int64()), pa.array([file] * len(doc), pa.string()), pa.array(before + stops - size),
                 ],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "file", "at"],
             )
+            before += len(ids)
+        if writer is not None:
+            writer.close()
+            out.close()
 
     own = df.select(col(id_col).alias("doc"), col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(encode, shape)
+    return settle(own.mapInArrow(encode, shape), "pieces")
+
+
+def with_ids(pieces: DataFrame) -> DataFrame:
+    """The pieces with their ids (unsigned 32-bit, little-endian) instead of the place of these.
+
+    Pieces are sorted by their place, so that every block of a file is read once.
+    """
+    kept = [c for c in pieces.columns if c not in ("file", "at")]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, source, reader = None, None, None
+        for batch in batches:
+            for rows in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
+                found = []
+                for file, at, length in zip(*(rows.column(c).to_pylist() for c in ("file", "at", "length")), strict=True):
+                    if file != current:
+                        if source is not None:
+                            source.close()
+                        store, place = opened(file)
+                        current, source = file, store.open_input_file(place)
+                        reader = PlaneReader(source)
+                    found.append(np.concatenate([*reader.ids(at, at + length)]).tobytes())
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), pa.array(found, pa.binary())], [*kept, "ids"])
+
+    ordered = pieces.repartition("file").sortWithinPartitions("file", "at")
+    return mapped(ordered, read, kept, "ids binary")
 
 
 PLAN = T.StructType(
@@ -194,5 +234,5 @@ def pack(pieces: DataFrame, full: int = 1024) -> DataFrame:
 
 
 def pack_documents(df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, **columns) -> DataFrame:
-    """All documents as packed pieces with their ids, as ``token_pieces`` and ``pack`` give them."""
-    return pack(settle(token_pieces(df, vocabulary, full, end_id, **columns), "pieces"), full)
+    """All documents as packed pieces with their ids."""
+    return with_ids(pack(token_pieces(df, vocabulary, full, end_id, **columns), full))

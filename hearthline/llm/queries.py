@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hearthline.llm import (
     bond_search, boosted_quality, exact_packing, lempel_ziv, line_quality, poisson_mix, simhash, token_planes, tree_sharding, warc_chunks,
 )
-from hearthline.session import settle, ship_package
+from hearthline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +35,8 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
-    pieces = settle(exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "pieces")
-    return exact_packing.pack(pieces.drop("ids"))
+    pieces = exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return exact_packing.pack(pieces.drop("file", "at"))
 
 
 def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

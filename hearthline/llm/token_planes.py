@@ -70,8 +70,9 @@ class PlaneWriter:
         self.squeeze = zstandard.ZstdCompressor(level=3).compress
         self.place = out.write(MAGIC) and len(MAGIC)
 
-    def add(self, ids: np.ndarray, docs: pa.RecordBatch) -> None:
-        self.docs.append(docs)
+    def add(self, ids: np.ndarray, docs: pa.RecordBatch | None = None) -> None:
+        if docs is not None:
+            self.docs.append(docs)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         if self.n_waiting >= self.block:
@@ -94,7 +95,7 @@ class PlaneWriter:
         if len(rest):
             self.chunk(rest)
         table = io.BytesIO()
-        with pa.ipc.new_stream(table, self.docs[0].schema) as sink:
+        with pa.ipc.new_stream(table, self.docs[0].schema if self.docs else pa.schema([])) as sink:
             for docs in self.docs:
                 sink.write_batch(docs)
         docs = self.squeeze(table.getvalue())
@@ -116,8 +117,15 @@ class PlaneReader:
         length = int.from_bytes(tail[:8], "little")
         self.footer = json.loads(source.read_at(length, size - len(tail) - length))
         self.open = zstandard.ZstdDecompressor().decompress
+        self.kept: tuple[int, np.ndarray] = (-1, np.zeros(0, "<u4"))
 
     def chunk(self, k: int) -> np.ndarray:
+        """A block's ids; the last block read is kept."""
+        if k != self.kept[0]:
+            self.kept = (k, self._chunk(k))
+        return self.kept[1]
+
+    def _chunk(self, k: int) -> np.ndarray:
         place, n, sizes = self.footer["chunks"][k]
         stored = memoryview(self.source.read_at(sum(sizes), place))
         planes, at = [], 0
@@ -138,6 +146,14 @@ class PlaneReader:
             return stream.read_all()
 
 
+def new_file(folder: str):
+    """A file of the running task's own, open for writing, and its path."""
+    path = f"{folder}/ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.planes"
+    store, place = opened(path)
+    store.create_dir(place.rpartition("/")[0], recursive=True)
+    return store.open_output_stream(place, compression=None), path
+
+
 def write_ids(
     df: DataFrame, vocabulary: str, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text",
     spaced: bool = False, planes: str = "byte", block: int = BLOCK, folder: str | None = None,
@@ -155,14 +171,11 @@ def write_ids(
     ordered = own.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        writer, n_docs, out, file = None, 0, None, f"{folder}/ids-{part:06d}-{uuid.uuid4().hex}.planes"
+        writer, n_docs = None, 0
         coder = encoder(vocabulary, end_id, spaced)
         for rows in sliced(batches, "text"):
             if writer is None:
-                store, place = opened(file)
-                store.create_dir(place.rpartition("/")[0], recursive=True)
-                out = store.open_output_stream(place, compression=None)
+                out, file = new_file(folder)
                 writer = PlaneWriter(out, planes, block)
             ids, counts = coder.encode(rows.column("text"))
             writer.add(ids, pa.RecordBatch.from_arrays([rows.column("doc"), pa.array(counts)], ["doc", "n"]))
@@ -171,7 +184,7 @@ def write_ids(
             writer.close()
             out.close()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([file]), pa.array([n_docs]), pa.array([writer.n_ids])],
+                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([file]), pa.array([n_docs]), pa.array([writer.n_ids])],
                 ["part", "file", "n_docs", "n_ids"],
             )
 
