@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from functools import cache
 
 import public_tokenizers
 import xxhash
@@ -18,10 +19,15 @@ def words(text):
     return WORD.findall(text or "")
 
 
-def ids_of(vocabulary, text, end_id=2):
+@cache
+def tokenizer(vocabulary):
     t = Tokenizer.from_file(public_tokenizers.path(vocabulary))
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids + [end_id]
+    return t
+
+
+def ids_of(vocabulary, text, end_id=2):
+    return tokenizer(vocabulary).encode(text or "", add_special_tokens=False).ids + [end_id]
 
 
 def plain(line):

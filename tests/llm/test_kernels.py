@@ -49,29 +49,17 @@ def coder(request):
 def test_pieces_encode_like_whole_texts(coder, texts):
     name, encoder = coder
     ids, counts = encoder.encode(pa.array(texts, pa.string()))
-    expected = [brute_ids(name, t) for t in texts]
+    expected = [brute.ids_of(name, t) for t in texts]
     assert counts.tolist() == [len(e) for e in expected]
     assert ids.tolist() == [i for e in expected for i in e]
 
 
-_TOKENIZERS = {}
-
-
-def brute_ids(name, text):
-    from tokenizers import Tokenizer
-
-    if name not in _TOKENIZERS:
-        _TOKENIZERS[name] = Tokenizer.from_file(public_tokenizers.path(name))
-        _TOKENIZERS[name].encode_special_tokens = True
-    return _TOKENIZERS[name].encode(text or "", add_special_tokens=False).ids + [2]
-
-
 def test_encoder_starts_anew(coder, monkeypatch):
     monkeypatch.setattr("hearthline.llm.tokens.KEPT_PIECES", 3)
     monkeypatch.setattr("hearthline.llm.tokens.AT_ONCE", 2)
     name, encoder = coder
     for text in ("one two three four five", "five four", "six seven, eight one"):
-        assert encoder.encode(pa.array([text]))[0].tolist() == brute_ids(name, text)
+        assert encoder.encode(pa.array([text]))[0].tolist() == brute.ids_of(name, text)
 
 
 @pytest.mark.parametrize("kind", ["byte", "bit"])
