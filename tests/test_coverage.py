@@ -38,7 +38,7 @@ COVERED = {
     "G18": "age_and_condition", "G19": "fact_procurement", "G20": "lender_alias test_alias_table", "G21": "fact_procurement", "G22": "loan_master", "G23": "month_spine",
     "P1": "monthly_closings", "P2": "procurement_analysis", "P3": "kpi_filtered status_and_flood", "P4": "monthly_closings_one_year test_filters_reach_the_scan",
     "P5": "current_overview", "P6": "ytd_by_product", "P7": "kpi_filtered slicer_counts", "P8": "loan_details",
-    "J1": "star_dim_loan", "J2": "monthly_closings_by_buyer", "J3": "loan_details", "J4": "registrations_by_product", "J5": "correspondent_dashboard",
+    "J1": "star_dim_loan", "J2": "monthly_closings", "J3": "loan_details", "J4": "registrations_by_product", "J5": "correspondent_dashboard",
     "J6": "month_trend test_month_trend_equals_the_or_join", "J7": "avg_coverage_by_month", "J8": "loan_master", "J9": "backfill_prices",
     "H1": "kpi_scorecard", "H2": "monthly_closings", "H3": "kpi_scorecard", "H4": "buyer_pivot", "H5": "monthly_closings monthly_metrics", "H6": "monthly_closings",
     "H7": "avg_premium_by_month", "H8": "growth_of_amounts kpi_scorecard", "H9": "monthly_closings_by_buyer", "H10": "loan_master", "H11": "loan_master", "H12": "loan_master",
