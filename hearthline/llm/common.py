@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from hearthline.session import settle
 
-# Bytes of text that one pass of array code works on, up to twice that; bounds a worker's memory.
-SLICE_BYTES = 5 << 20
+# Bytes of text that one pass of array code works on.  Its arrays take about thirty times
+# that, and two workers share what an executor has beside its heap.
+SLICE_BYTES = 2 << 20
 
 
 def col(name: str) -> Column:
@@ -41,10 +42,11 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 def cut_up(batches: list[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in pa.Table.from_batches(batches).combine_chunks().to_batches() if batches else ():
         ends = pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False).cumsum()
+        even = -(-int(ends[-1]) // max(1, -(-int(ends[-1]) // limit))) if len(ends) else 0
         at = 0
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0
-            stop = max(at + 1, int(ends.searchsorted(before + 2 * limit, "right")))
+            stop = max(at + 1, int(ends.searchsorted(before + even, "right")))
             yield batch.slice(at, stop - at)
             at = stop
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from hearthline.llm.common import col, mapped, placed, sliced
 from hearthline.llm.token_planes import PlaneReader, PlaneWriter, new_file
-from hearthline.llm.tokens import encoder
+from hearthline.llm.tokens import SLICE_BYTES, encoder
 from hearthline.session import opened, scratch_path, settle
 
 Line = tuple[tuple[int, ...], int]
@@ -153,7 +153,7 @@ def token_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, writer, out, file = encoder(vocabulary, end_id, spaced), None, None, ""
         before = 0
-        for rows in sliced(batches, "text"):
+        for rows in sliced(batches, "text", SLICE_BYTES):
             if writer is None:
                 out, file = new_file(folder)
                 writer = PlaneWriter(out)

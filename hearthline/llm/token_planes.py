@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthline.llm.common import col, sliced
-from hearthline.llm.tokens import encoder
+from hearthline.llm.tokens import SLICE_BYTES, encoder
 from hearthline.session import opened, scratch_path, settle
 
 MAGIC = b"IDPLANE1"
@@ -173,7 +173,7 @@ def write_ids(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, n_docs = None, 0
         coder = encoder(vocabulary, end_id, spaced)
-        for rows in sliced(batches, "text"):
+        for rows in sliced(batches, "text", SLICE_BYTES):
             if writer is None:
                 out, file = new_file(folder)
                 writer = PlaneWriter(out, planes, block)
