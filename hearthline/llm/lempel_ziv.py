@@ -109,7 +109,7 @@ def candidates(words: Words, repeated: pa.Array, length: int) -> tuple[np.ndarra
 def first_windows(corpus: DataFrame, repeated: DataFrame, text_col: str, length: int) -> DataFrame:
     """(_place, firsts): of each document, the windows around repeated anchors that lie nowhere before.
 
-    The windows are compared by 128 bits of hash.
+    The windows are compared by 96 bits of hash.
     """
     own = corpus.select("_place", "_words", F.col(text_col).alias("text")).where(F.col("_words") >= length)
 
@@ -119,12 +119,13 @@ def first_windows(corpus: DataFrame, repeated: DataFrame, text_col: str, length:
             found, hashes = candidates(words, rows.column("_repeated"), length)
             doc = np.searchsorted(words.first, found, "right") - 1
             place = rows.column("_place").to_numpy()[doc]
-            codes = [gram_hashes(h, length)[found].view(np.int64) for h in (hashes, words.hashes(SEEDS[1]))]
+            one, two = (gram_hashes(h, length)[found] for h in (hashes, words.hashes(SEEDS[1])))
+            codes = pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, codes), pa.array(place), pa.array(place + found - words.first[doc])], ["one", "two", "doc", "at"]
+                [*codes, pa.array(place), pa.array(place + found - words.first[doc])], ["one", "two", "doc", "at"]
             )
 
-    windows = own.join(repeated, "_place").select("text", "_place", "_repeated").mapInArrow(run, "one long, two long, doc long, at long")
+    windows = own.join(repeated, "_place").select("text", "_place", "_repeated").mapInArrow(run, "one long, two int, doc long, at long")
     firsts = windows.groupBy("one", "two").agg(F.min("at").alias("at"), F.min("doc").alias("doc"))
     return firsts.groupBy(F.col("doc").alias("_place")).agg(F.collect_list((F.col("at") - F.col("doc")).cast("int")).alias("_firsts"))
 
