@@ -334,7 +334,8 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns, where = INPUTS[name]
     if source == SUBMISSIONS:
         lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        # Both tables grow alike, so they are shuffled at every size, as they would be at scale.
+        df = lines.join(orders.hint("shuffle_merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     else:
         df = table(spark, sf_dir, source)
     if where:
