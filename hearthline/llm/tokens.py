@@ -21,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Bytes of text that are encoded at a time: larger slices have fewer distinct pieces.
 SLICE_BYTES = 5 << 20
-# Pieces that a Python worker keeps, at about 200 bytes each; beyond them it starts anew.
+# Pieces that a Python worker keeps, at about 200 bytes each; beyond them it drops those used once.
 KEPT_PIECES = 500_000
 # Pieces encoded at a time; the library's results take much more memory than their ids.
 AT_ONCE = 10_000
@@ -64,6 +64,19 @@ class TextEncoder:
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int32)
+
+    def prune(self) -> None:
+        """Keep the pieces that more than one slice of text has used; start anew if these are many too."""
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) > KEPT_PIECES // 2:
+            return self.forget()
+        pieces = list(self.known)
+        self.known = {pieces[k]: i for i, k in enumerate(kept.tolist())}
+        size = self.size[kept]
+        before = np.cumsum(size) - size
+        self.flat = self.flat[np.repeat(self.begin[kept] - before, size) + np.arange(int(size.sum()))]
+        self.begin, self.size, self.uses = before, size, np.zeros(len(kept), np.int32)
 
     def pieces(self, column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """A code for each piece, the distinct pieces, and the first piece of each text.
@@ -97,22 +110,25 @@ class TextEncoder:
     def learn(self, distinct: list[bytes]) -> np.ndarray:
         """The number of each piece among the kept ones, encoding those not seen before."""
         if len(self.known) > KEPT_PIECES:
-            self.forget()
+            self.prune()
         numbers = list(map(self.known.get, distinct))
-        fresh = [p for p, n in zip(distinct, numbers, strict=True) if n is None]
-        if fresh:
-            size, ids = [], []
-            for at in range(0, len(fresh), AT_ONCE):
-                texts = [p.decode() for p in fresh[at : at + AT_ONCE]]
+        missing = [i for i, n in enumerate(numbers) if n is None]
+        if missing:
+            size, ids, first = [], [], len(self.known)
+            for at in range(0, len(missing), AT_ONCE):
+                texts = [distinct[i].decode() for i in missing[at : at + AT_ONCE]]
                 found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
                 size.append(np.fromiter(map(len, found), np.int64, len(found)))
                 ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
             size, ids = np.concatenate(size), np.concatenate(ids)
             self.begin = np.append(self.begin, len(self.flat) + np.cumsum(size) - size)
             self.size, self.flat = np.append(self.size, size), np.append(self.flat, ids)
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            numbers = list(map(self.known.__getitem__, distinct))
-        return np.array(numbers, np.int64)
+            self.uses = np.append(self.uses, np.zeros(len(missing), np.int32))
+            for number, i in enumerate(missing, first):
+                self.known[distinct[i]] = numbers[i] = number
+        found = np.array(numbers, np.int64)
+        self.uses[found] += 1
+        return found
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each, its end included."""

@@ -54,12 +54,17 @@ def test_pieces_encode_like_whole_texts(coder, texts):
     assert ids.tolist() == [i for e in expected for i in e]
 
 
-def test_encoder_starts_anew(coder, monkeypatch):
-    monkeypatch.setattr("hearthline.llm.tokens.KEPT_PIECES", 3)
+def test_encoder_drops_pieces(coder, monkeypatch):
+    """Few pieces are kept, and those used again survive, until they are too many."""
+    monkeypatch.setattr("hearthline.llm.tokens.KEPT_PIECES", 6)
     monkeypatch.setattr("hearthline.llm.tokens.AT_ONCE", 2)
     name, encoder = coder
-    for text in ("one two three four five", "five four", "six seven, eight one"):
+    encoder.forget()
+    kept = []
+    for text in ("one two three, four five", "two one nine", "six seven eight", "ten one", "one two three four five six", "one two three four five six", "zero"):
         assert encoder.encode(pa.array([text]))[0].tolist() == brute.ids_of(name, text)
+        kept.append(len(encoder.known))
+    assert max(kept) <= 14 and any(b < a for a, b in zip(kept, kept[1:], strict=False))
 
 
 @pytest.mark.parametrize("kind", ["byte", "bit"])
