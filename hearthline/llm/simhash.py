@@ -35,6 +35,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[ord("A") : ord("Z") + 1] += 32
 SEED = 42
+LINKS_PER_TASK = 500_000
 
 
 def fingerprints(column: pa.Array, shingle: int) -> np.ndarray:
@@ -131,21 +132,24 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links every node's larger neighbours to its smallest one and then all
     neighbours to it, which halves the paths; every round is written, so a lost executor
-    costs one round.  It ends when a round changes nothing.
+    costs one round.  It ends when a round changes nothing.  Links are few beside the
+    fingerprints, so a round runs in as many tasks as its counted links ask for.
     """
     current, before = settle(edges.select("a", "b"), "edges"), None
+    n = current.count()
     while True:
+        tasks = 1 + 2 * n // LINKS_PER_TASK
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(near, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
-        stored = settle(large, "large")
+        large = both.join(near, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b")
+        stored = settle(large.coalesce(tasks), "large")
         low = stored.groupBy("b").agg(F.min("a").alias("m"))
-        small = stored.join(low, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
-        current = settle(small, "small")
+        small = stored.join(low, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b")
+        current = settle(small.coalesce(tasks).distinct().coalesce(tasks), "small")
         told = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if told == before:
             return current.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        before = told
+        n, before = told[0], told
 
 
 def grouped(
