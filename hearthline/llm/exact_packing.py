@@ -137,21 +137,22 @@ def cut(lengths: np.ndarray, full: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def token_pieces(
     df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text",
-    spaced: bool = True, folder: str | None = None,
+    spaced: bool = True, special: bool = False, folder: str | None = None,
 ) -> DataFrame:
     """Pieces of all documents: doc_id, piece, start, length, ids_crc32, and the file and place of their ids.
 
     Every task writes the ids of its documents to a file of planes in the shared folder;
     the table of pieces, which Spark commits, is the only way to them, so files of lost
     tasks are never read.  A null text counts as empty: one piece that holds the end id.  A
-    null or repeated doc_id is kept as it is; each row is a document.
+    null or repeated doc_id is kept as it is; each row is a document.  ``special``: special
+    tokens' strings in a text have the ids of these tokens.
     """
     folder = folder or scratch_path(df.sparkSession, "pieces")
     kind = df.schema[id_col].dataType.simpleString()
     shape = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, file string, at long"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, writer, out, file = encoder(vocabulary, end_id, spaced), None, None, ""
+        coder, writer, out, file = encoder(vocabulary, end_id, spaced, special), None, None, ""
         before = 0
         for rows in sliced(batches, "text", SLICE_BYTES):
             if writer is None:

@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as byte planes and read back."""
-    manifest = token_planes.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    manifest = token_planes.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), special=True)
     return token_planes.read_ids(manifest)
 
 
@@ -35,7 +35,7 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
-    pieces = exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
     return exact_packing.pack(pieces.drop("file", "at"))
 
 

@@ -156,14 +156,15 @@ def new_file(folder: str):
 
 def write_ids(
     df: DataFrame, vocabulary: str, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text",
-    spaced: bool = False, planes: str = "byte", block: int = BLOCK, folder: str | None = None,
+    spaced: bool = False, special: bool = False, planes: str = "byte", block: int = BLOCK, folder: str | None = None,
 ) -> DataFrame:
     """Encode all texts and write their ids in files; returns the manifest.
 
     Documents go to files in ascending order of ``id_col``; null ids come first, and equal
     ids are ordered by a hash of their text, which also lets many tasks share a hot id.
     A null text counts as empty and has the end id alone.  A table without rows gives no
-    files.  Columns other than the two named are not read.
+    files.  Columns other than the two named are not read.  ``special``: special tokens'
+    strings in a text have the ids of these tokens.
     """
     folder = folder or scratch_path(df.sparkSession, "planes")
     own = df.select(col(id_col).alias("doc"), col(text_col).cast("string").alias("text"))
@@ -172,7 +173,7 @@ def write_ids(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, n_docs = None, 0
-        coder = encoder(vocabulary, end_id, spaced)
+        coder = encoder(vocabulary, end_id, spaced, special)
         for rows in sliced(batches, "text", SLICE_BYTES):
             if writer is None:
                 out, file = new_file(folder)

@@ -9,6 +9,7 @@ whole texts, at the price of the distinct pieces.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -48,15 +49,19 @@ class TextEncoder:
     """Ids of texts, each followed by ``end_id``.
 
     ``spaced``: the tokenizer's pieces keep the white space before them (byte-level
-    vocabularies); else it drops white space.  Special tokens' strings in a text are
-    ordinary text.
+    vocabularies); else it drops white space.  ``special``: special tokens' strings in a
+    text have the ids of these tokens, as by the library's defaults; else they are ordinary
+    text.
     """
 
-    def __init__(self, file: str, end_id: int, spaced: bool):
+    def __init__(self, file: str, end_id: int, spaced: bool, special: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
+        self.added = sorted((str(t.content).encode() for t in added), key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, self.added)))
         self.lowers = '"type":"Lowercase"' in self.tokenizer.to_str()
         self.end_id, self.spaced = end_id, spaced
         self.forget()
@@ -78,15 +83,30 @@ class TextEncoder:
         self.flat = self.flat[np.repeat(self.begin[kept] - before, size) + np.arange(int(size.sum()))]
         self.begin, self.size, self.uses = before, size, np.zeros(len(kept), np.int32)
 
+    def special_places(self, content: np.ndarray, begin: np.ndarray) -> list[tuple[int, int]]:
+        """Where special tokens' strings lie, each within one text; the longest of those that start first."""
+        data, found = content.tobytes(), []
+        if not any(token in data for token in self.added):
+            return found
+        at = 0
+        while m := self.pattern.search(data, at):
+            stop = int(begin[np.searchsorted(begin, m.start(), "right")])
+            if m := self.pattern.search(data, m.start(), stop):
+                found.append(m.span())
+            at = m.end() if m else stop
+        return found
+
     def pieces(self, column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """A code for each piece, the distinct pieces, and the first piece of each text.
 
         Cuts: before white space after something else, and between ASCII letters and ASCII
-        marks, except that nothing is cut behind an apostrophe.
+        marks, except that nothing is cut behind an apostrophe.  A special token's string is a
+        piece of its own, found before letters are lowered.
         """
-        content, begin = text_bytes(column)
+        raw, begin = text_bytes(column)
+        content = raw
         if self.lowers:
-            content = FOLD[content]
+            content = FOLD[raw]
         blank, letter = SPACE[content], LETTER[content]
         cut = np.zeros(len(content), bool)
         cut[1:] = (letter[:-1] & MARK[content[1:]]) | (PLAIN_MARK[content[:-1]] & letter[1:])
@@ -97,6 +117,11 @@ class TextEncoder:
             cut |= opens
         else:
             cut[1:] |= blank[:-1]
+        for a, b in self.special_places(raw, begin):
+            if self.lowers:
+                content[a:b] = raw[a:b]
+            cut[a : b + 1] = False
+            cut[[a, *([b] if b < len(cut) else [])]] = True
         cut[begin[:-1][np.diff(begin) > 0]] = True
         if not self.spaced:
             cut &= ~blank
@@ -149,6 +174,6 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(file: str, end_id: int, spaced: bool) -> TextEncoder:
+def encoder(file: str, end_id: int, spaced: bool, special: bool = False) -> TextEncoder:
     """One encoder for all tasks of a Python worker."""
-    return TextEncoder(file, end_id, spaced)
+    return TextEncoder(file, end_id, spaced, special)
