@@ -29,7 +29,7 @@ def counted(docs: DataFrame) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without the lines that too many documents of their source share."""
     ship_package(spark)
-    return counted(line_quality.accepted(docs))
+    return counted(line_quality.accepted(docs, near_once=True))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

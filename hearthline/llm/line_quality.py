@@ -8,6 +8,12 @@
    has at most (lines of a document / share) such lines, and they travel as one array.
 3. These lines are removed; a document is rejected as depleted when less than
    ``min_left`` of its words are left.
+
+Near copies can be counted as one too (``near_once``).  Steps 1 and 2 then give
+candidates only.  A document that these would deplete consists of common lines, and all
+such documents of a host with the same rarest candidate line count as one when the
+candidates are counted again: lines that only near copies share are not over the limit,
+and those that other documents or many groups of near copies hold still are.
 """
 
 from __future__ import annotations
@@ -25,6 +31,7 @@ from hearthline.llm.common import col, mapped, numbered, restored, sliced
 from hearthline.llm.words import SPACE, Words, fits, gram_hashes, mixed
 from hearthline.session import settle
 
+WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000"
 FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -65,8 +72,18 @@ def frequent_lines(df: DataFrame, host_col: str = "source", text_col: str = "tex
     Distinct (host, line, document) rows are counted in two steps, each combined before
     its shuffle, so that neither a hot host nor a line in every document meets in a task.
     """
+    over = counted_lines(hashed(df, host_col, text_col), limits)
+    return over.groupBy("host").agg(F.collect_list("line").alias("lines"))
+
+
+def hashed(df: DataFrame, host_col: str, text_col: str) -> DataFrame:
+    """The texts with their host and hash: host, text, doc."""
     docs = df.select(col(host_col).cast("string").alias("host"), col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
-    docs = docs.withColumn("doc", F.xxhash64("text"))
+    return docs.withColumn("doc", F.xxhash64("text"))
+
+
+def counted_lines(docs: DataFrame, limits: Limits) -> DataFrame:
+    """The lines over the limit, one row each: host, line, and the number of distinct texts n that hold it."""
     sizes = docs.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_docs"))
     lines = docs.select("host", "doc", F.explode(F.split("text", "\n")).alias("line")).select("host", "doc", normalised(F.col("line")).alias("line"))
     counts = (
@@ -74,8 +91,40 @@ def frequent_lines(df: DataFrame, host_col: str = "source", text_col: str = "tex
         .groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > limits.least)
     )
     sized = counts.join(sizes, counts["host"].eqNullSafe(sizes["host"]))
-    over = sized.where(F.col("n") > limits.share * F.col("n_docs"))
-    return over.groupBy(counts["host"]).agg(F.collect_list("line").alias("lines"))
+    return sized.where(F.col("n") > limits.share * F.col("n_docs")).select(counts["host"], "line", "n")
+
+
+def held_lines(docs: DataFrame, limits: Limits) -> DataFrame:
+    """Per text that holds lines over the limit, near copies counted as one: host, doc and these lines.
+
+    Candidates are joined to the lines of the texts one by one, so a text carries only its
+    own.  Near copies differ in few lines, so nearly all of a group have one rarest candidate.
+    """
+    candidates = settle(counted_lines(docs, limits), "candidates").withColumnRenamed("host", "_host")
+    lines = docs.select("host", "doc", F.regexp_count("text", F.lit(WORD)).alias("words"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.select(
+        "host", "doc", "words", "pos", F.xxhash64(normalised(F.col("line"))).alias("_line"), F.regexp_count("line", F.lit(WORD)).alias("own")
+    )
+    found = lines.join(candidates, F.col("host").eqNullSafe(F.col("_host")) & (F.col("_line") == F.col("line")))
+    # Exact copies are one text, which holds a line once at each place.
+    once = found.groupBy("host", "doc", "pos").agg(*[F.first(c).alias(c) for c in ("words", "own", "line", "n")])
+    texts = once.groupBy("host", "doc").agg(
+        F.first("words").alias("words"), F.sum("own").alias("common"), F.min(F.struct("n", "line")).alias("rarest"), F.collect_set("line").alias("lines")
+    )
+    near = F.col("words") - F.col("common") < limits.min_left * F.col("words")
+    held = settle(texts.select("host", "doc", near.alias("near"), F.when(near, F.col("rarest.line")).otherwise(F.col("doc")).alias("mark"), "lines"), "held")
+    each = held.select("host", "doc", "near", "mark", F.explode("lines").alias("line"))
+    over = each.groupBy("host", "line", "near", "mark").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    over = over.where(F.col("n") > limits.least)
+    # Near copies are one document of their host's size as well.
+    copies = held.where("near").groupBy("host", "mark").agg(F.count("*").alias("n")).groupBy("host").agg(F.sum(F.col("n") - 1).alias("fewer"))
+    sizes = docs.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_docs"))
+    sizes = sizes.join(copies.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")), "left")
+    sizes = sizes.select(F.col("host").alias("_host"), (F.col("n_docs") - F.coalesce("fewer", F.lit(0))).alias("n_docs"))
+    over = over.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n") > limits.share * F.col("n_docs"))
+    over = settle(over.select("_host", F.col("line").alias("_line")), "over")
+    left = each.join(over, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line")))
+    return left.groupBy("host", "doc").agg(F.collect_list("line").alias("lines"))
 
 
 def repeat_words(words: Words, window: int = WINDOW) -> np.ndarray:
@@ -155,10 +204,16 @@ def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limit
     return restored(judged_rows(plain, names[host_col], names[text_col], limits), df, names, *STATISTICS, "clean_text")
 
 
-def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits) -> DataFrame:
-    frequent = settle(frequent_lines(df, host_col, text_col, limits), "lines").withColumnsRenamed({"host": "_host", "lines": "_lines"})
+def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits, near_once: bool = False) -> DataFrame:
+    names = {"host": "_host", "doc": "_doc", "lines": "_lines"}
     kept = df.columns
-    joined = df.join(frequent, F.col(host_col).cast("string").eqNullSafe(F.col("_host")), "left").drop("_host")
+    same = F.col(host_col).cast("string").eqNullSafe(F.col("_host"))
+    if near_once:
+        frequent = settle(held_lines(hashed(df, host_col, text_col), limits), "lines").withColumnsRenamed(names)
+        same = same & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_doc"))
+    else:
+        frequent = settle(frequent_lines(df, host_col, text_col, limits), "lines").withColumnsRenamed(names)
+    joined = df.join(frequent, same, "left").drop("_host", "_doc")
     added = ", ".join([*(f"{n} {t}" for n, t in STATISTICS.items()), "clean_text string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,8 +225,11 @@ def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits) ->
     return mapped(joined, run, kept, added)
 
 
-def accepted(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """The rows that are kept, in their own columns, with the lines over the limit removed from the text."""
+def accepted(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits(), near_once: bool = False) -> DataFrame:
+    """The rows that are kept, in their own columns, with the lines over the limit removed from the text.
+
+    ``near_once``: near copies count as one document, so a group of them doesn't reject itself.
+    """
     plain, names = numbered(df)
-    found = judged_rows(plain, names[host_col], names[text_col], limits).where("kept")
+    found = judged_rows(plain, names[host_col], names[text_col], limits, near_once).where("kept")
     return restored(found.withColumn(names[text_col], F.col("clean_text")), df, names)
