@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from hearthline.llm import exact_packing, lempel_ziv, line_quality, poisson_mix, simhash
 from hearthline.session import settle, ship_package
 
+LINES = line_quality.Limits(share=0.0)  # a fixed number of documents, whatever their source's size
 SHINGLE, MAX_BITS = 3, 2
 SPAN_WORDS = 20
 TEMPERATURE, EPOCHS, SEED = 2.0, 1.0, 17
@@ -27,9 +28,9 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without the lines that too many documents of their source share."""
+    """Documents that pass the quality rules, without the lines that more than 20 documents of their source share."""
     ship_package(spark)
-    return counted(line_quality.accepted(docs, near_once=True))
+    return counted(line_quality.accepted(docs, limits=LINES, near_once=True))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,16 +10,20 @@
    ``min_left`` of its words are left.
 
 Near copies can be counted as one too (``near_once``).  Steps 1 and 2 then give
-candidates only.  A document that these would deplete consists of common lines, and all
-such documents of a host with the same rarest candidate line count as one when the
-candidates are counted again: lines that only near copies share are not over the limit,
+candidates only.  A document is a near copy of others when less than ``min_left`` of its
+words are outside lines that reach half the limit, and all such documents of a host with
+the same rarest candidate line count as one when the candidates are counted again: lines that only near copies share are not over the limit,
 and those that other documents or many groups of near copies hold still are.
+
+With a ``share`` of 0 the limit is ``least`` alone, the same at every size of a host.  A
+host's lines over the limit are then as many as its texts allow, so use ``near_once``,
+under which every text carries its own such lines only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -84,12 +88,14 @@ def hashed(df: DataFrame, host_col: str, text_col: str) -> DataFrame:
 
 def counted_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     """The lines over the limit, one row each: host, line, and the number of distinct texts n that hold it."""
-    sizes = docs.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_docs"))
     lines = docs.select("host", "doc", F.explode(F.split("text", "\n")).alias("line")).select("host", "doc", normalised(F.col("line")).alias("line"))
     counts = (
         lines.where("line <> ''").select("host", "doc", F.xxhash64("line").alias("line")).distinct()
         .groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > limits.least)
     )
+    if not limits.share:
+        return counts
+    sizes = docs.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_docs"))
     sized = counts.join(sizes, counts["host"].eqNullSafe(sizes["host"]))
     return sized.where(F.col("n") > limits.share * F.col("n_docs")).select(counts["host"], "line", "n")
 
@@ -100,7 +106,9 @@ def held_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     Candidates are joined to the lines of the texts one by one, so a text carries only its
     own.  Near copies differ in few lines, so nearly all of a group have one rarest candidate.
     """
-    candidates = settle(counted_lines(docs, limits), "candidates").withColumnRenamed("host", "_host")
+    # In a group just over the limit, some lines have changed so often that they are under it.
+    half = replace(limits, share=limits.share / 2, least=limits.least // 2)
+    candidates = settle(counted_lines(docs, half), "candidates").withColumnRenamed("host", "_host")
     lines = docs.select("host", "doc", F.regexp_count("text", F.lit(WORD)).alias("words"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.select(
         "host", "doc", "words", "pos", F.xxhash64(normalised(F.col("line"))).alias("_line"), F.regexp_count("line", F.lit(WORD)).alias("own")
@@ -108,21 +116,24 @@ def held_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     found = lines.join(candidates, F.col("host").eqNullSafe(F.col("_host")) & (F.col("_line") == F.col("line")))
     # Exact copies are one text, which holds a line once at each place.
     once = found.groupBy("host", "doc", "pos").agg(*[F.first(c).alias(c) for c in ("words", "own", "line", "n")])
+    candidate = F.col("n") > limits.least
     texts = once.groupBy("host", "doc").agg(
-        F.first("words").alias("words"), F.sum("own").alias("common"), F.min(F.struct("n", "line")).alias("rarest"), F.collect_set("line").alias("lines")
-    )
+        F.first("words").alias("words"), F.sum("own").alias("common"),
+        F.min(F.when(candidate, F.struct("n", "line"))).alias("rarest"), F.collect_set(F.when(candidate, F.col("line"))).alias("lines"),
+    ).where("rarest is not null")
     near = F.col("words") - F.col("common") < limits.min_left * F.col("words")
     held = settle(texts.select("host", "doc", near.alias("near"), F.when(near, F.col("rarest.line")).otherwise(F.col("doc")).alias("mark"), "lines"), "held")
     each = held.select("host", "doc", "near", "mark", F.explode("lines").alias("line"))
     over = each.groupBy("host", "line", "near", "mark").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("n"))
     over = over.where(F.col("n") > limits.least)
-    # Near copies are one document of their host's size as well.
-    copies = held.where("near").groupBy("host", "mark").agg(F.count("*").alias("n")).groupBy("host").agg(F.sum(F.col("n") - 1).alias("fewer"))
-    sizes = docs.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_docs"))
-    sizes = sizes.join(copies.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")), "left")
-    sizes = sizes.select(F.col("host").alias("_host"), (F.col("n_docs") - F.coalesce("fewer", F.lit(0))).alias("n_docs"))
-    over = over.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n") > limits.share * F.col("n_docs"))
-    over = settle(over.select("_host", F.col("line").alias("_line")), "over")
+    if limits.share:
+        # Near copies are one document of their host's size as well.
+        copies = held.where("near").groupBy("host", "mark").agg(F.count("*").alias("n")).groupBy("host").agg(F.sum(F.col("n") - 1).alias("fewer"))
+        sizes = docs.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n_docs"))
+        sizes = sizes.join(copies.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")), "left")
+        sizes = sizes.select(F.col("host").alias("_host"), (F.col("n_docs") - F.coalesce("fewer", F.lit(0))).alias("n_docs"))
+        over = over.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n") > limits.share * F.col("n_docs")).drop("_host")
+    over = settle(over.select(F.col("host").alias("_host"), F.col("line").alias("_line")), "over")
     left = each.join(over, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line")))
     return left.groupBy("host", "doc").agg(F.collect_list("line").alias("lines"))
 
