@@ -52,9 +52,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed pieces of all documents: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset."""
+    """Packed pieces of all documents, dealt to sequences in random order: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset."""
     ship_package(spark)
-    return exact_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE, special=True)
+    return exact_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE, seed=SEED, special=True)
 
 
 STAGES = [

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,19 +211,26 @@ PLAN = T.StructType(
 )
 
 
-def pack(pieces: DataFrame, full: int = 1024) -> DataFrame:
+def pack(pieces: DataFrame, full: int = 1024, seed: int | None = None) -> DataFrame:
     """Pieces with their sequence_id and offset; sequences are gapless and as few as the plan finds.
 
     Needs columns doc_id, piece and length (1 to ``full``); all columns are kept.  The
     counts that reach the driver and the plan that is broadcast are bounded by ``full``.
-    Pieces of equal length are numbered in the order of doc_id and piece.  No pieces give
-    no rows.
+    Pieces of equal length are numbered in the order of doc_id and piece, or with a
+    ``seed`` in random order: by a hash that differs between copies of a piece, so that
+    copies are spread over the sequences.  No pieces give no rows.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.createDataFrame(plan_rows(packing_plan(counts, full)), PLAN)
     order = [F.col(c) for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns]
-    ranked = placed(pieces, ["length"], order, "ranked", "_rank")
+    dealt = pieces
+    if seed is not None:
+        # Equal pieces can stand for each other, so it doesn't matter which copy is the first.
+        same = Window.partitionBy("length", *order).orderBy(*[F.col(c) for c in ("file", "at") if c in pieces.columns] or [F.lit(0)])
+        dealt = pieces.withColumn("_copy", F.row_number().over(same))
+        order = [F.xxhash64(F.lit(seed), *[F.coalesce(c.cast("string"), F.lit("")) for c in order], F.col("_copy")), *order, F.col("_copy")]
+    ranked = placed(dealt, ["length"], order, "ranked", "_rank")
     within = F.col("_rank") - F.col("_first")
     fits = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_last"))
     each = F.size("_offsets")
@@ -234,6 +241,6 @@ def pack(pieces: DataFrame, full: int = 1024) -> DataFrame:
     )
 
 
-def pack_documents(df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, **columns) -> DataFrame:
-    """All documents as packed pieces with their ids."""
-    return with_ids(pack(token_pieces(df, vocabulary, full, end_id, **columns), full))
+def pack_documents(df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, *, seed: int | None = None, **columns) -> DataFrame:
+    """All documents as packed pieces with their ids, in random order with a ``seed``."""
+    return with_ids(pack(token_pieces(df, vocabulary, full, end_id, **columns), full, seed))
