@@ -220,7 +220,8 @@ def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits, nea
     kept = df.columns
     same = F.col(host_col).cast("string").eqNullSafe(F.col("_host"))
     if near_once:
-        frequent = settle(held_lines(hashed(df, host_col, text_col), limits), "lines").withColumnsRenamed(names)
+        # Hashed, as sorting whole documents takes the memory that Python needs beside it.
+        frequent = settle(held_lines(hashed(df, host_col, text_col), limits), "lines").withColumnsRenamed(names).hint("shuffle_hash")
         same = same & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_doc"))
     else:
         frequent = settle(frequent_lines(df, host_col, text_col, limits), "lines").withColumnsRenamed(names)
