@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.llm import (
-    bond_search, boosted_quality, exact_packing, lempel_ziv, line_quality, poisson_mix, simhash, token_planes, tree_sharding, warc_chunks,
+    bond_search, boosted_quality, exact_packing, importance_resample, lempel_ziv, line_quality, odd_sketch, poisson_mix, simhash, table_clusters,
+    token_planes, tree_sharding, warc_chunks,
 )
 from hearthline.session import ship_package
 
@@ -77,10 +78,27 @@ def op10_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_sharding.shard(table(spark, sf_dir, "documents"), 16, payload=[])
 
 
+def op11_table_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 16 clusters after three rounds."""
+    return table_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight towards the benchmark's texts, and the ranks of the tenth that is drawn."""
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance_resample.resample(documents, benchmark, share=10, runs=1, buckets=10_000, min_words=20, seed=2024)
+
+
+def op13_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by sets of two-word shingles."""
+    return odd_sketch.grouped(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_planes, op2_line_quality, op3_exact_packing, op4_warc_chunks, op5_lempel_ziv,
         op6_poisson_mix, op7_bond_search, op8_boosted_quality, op9_simhash, op10_tree_sharding,
+        op11_table_clusters, op12_importance_resample, op13_odd_sketch,
     )
 }

@@ -52,8 +52,12 @@ class Words:
 
     @classmethod
     def of(cls, column: pa.Array) -> Words:
-        content, begin = text_bytes(column)
-        solid = ~SPACE[content]
+        return cls.parted(*text_bytes(column), SPACE)
+
+    @classmethod
+    def parted(cls, content: np.ndarray, begin: np.ndarray, apart: np.ndarray) -> Words:
+        """The words of texts that ``apart`` marks the bytes between them of."""
+        solid = ~apart[content]
         opening, closing = solid.copy(), solid.copy()
         opening[1:] &= ~solid[:-1]
         closing[:-1] &= ~solid[1:]
@@ -71,9 +75,9 @@ class Words:
         """The text of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
-    def coded(self) -> tuple[np.ndarray, pa.Array]:
+    def coded(self, apart: np.ndarray = SPACE) -> tuple[np.ndarray, pa.Array]:
         """A number for each word, equal for equal words, and the distinct words."""
-        solid = self.content[~SPACE[self.content]]
+        solid = self.content[~apart[self.content]]
         found = slices(solid, self.ends - self.starts).dictionary_encode()
         return found.indices.to_numpy(zero_copy_only=False), found.dictionary
 

@@ -34,7 +34,7 @@ def docs(con):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
