@@ -12,19 +12,23 @@
    probability 1 - ``MISS``.
 3. What is left is verified on the full sets, as hashes of 64 bits.
 
-A bucket isn't joined with itself.  First its smallest member is compared to all others,
-and each class is linked to the best of these hubs.  Then only members that don't have
-the most frequent label of their bucket are compared to the rest, in blocks of ``WIDE``
-against blocks of ``WIDE``, each offering its best partner of another label, for as long
-as that links any; and last, all pairs of different labels that are left.  So a group of
-near copies costs a few comparisons a member, and no pair that could join two groups is
-left out, however wide the bucket.
+A bucket isn't joined with itself.  First each class is compared to one hub: of the
+smallest members of its buckets, that of most of them.  This links most near copies.
+Then only members that don't have the most frequent label of their bucket are compared to
+the rest, in blocks of about ``WIDE`` against blocks of ``WIDE``, twice: on sketches alone,
+which leaves the members that have a near partner of another label, and for these on
+sketches and full sets.  Only links leave a task.  A pair is verified in the first band
+it shares, and not at all when its labels are already linked in that task.  So no pair
+that could join two groups is left out, however wide the bucket, and what is shuffled
+grows with the members and not with their pairs.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +45,10 @@ BANDS, ROWS = 40, 5  # a pair of similarity 0.8 shares no band with probability
 BITS = 1024
 MISS = 1e-6
 WIDE = 64
+SET_UNIT = 4096  # so many shingles count as much as a member when members are dealt to blocks
 SINGLE = np.uint64(0xC2B2AE3D27D4EB4F)  # sets a lone word apart from longer shingles
 LONGS = BITS // 64
+TOP = np.uint64(1 << 63)  # flipped, unsigned numbers are in the same order as signed ones
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +183,7 @@ class Verifier:
                 values, begin = shingle_sets(rows.column("text"), shingle)
                 data, places = values.astype("<u8").tobytes(), (begin * 8).tolist()
                 digests = [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(places, places[1:], strict=False)]
-                members = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values.view(np.int64)))
+                members = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array((values ^ TOP).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), members], ["digest", "members"])
 
         texts = self.docs.join(wanted.select("first"), F.col("id").eqNullSafe(F.col("first")), "left_semi").select("text")
@@ -188,25 +194,25 @@ class Verifier:
         return self.sets
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) with ``linked``: whether their sets are as similar."""
+        """The pairs (a, b) whose sets are as similar."""
         needed = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
         sets = self.known(needed)
         one, two = sets.select(F.col("c").alias("a"), F.col("members").alias("x")), sets.select(F.col("c").alias("b"), F.col("members").alias("y"))
         both = pairs.select("a", "b").join(two, "b").join(one, "a")
         shared = F.size(F.array_intersect("x", "y"))
         whole = F.size("x") + F.size("y") - shared
-        return settle(both.select("a", "b", (100 * shared >= self.percent * whole).alias("linked")), "verified")
+        return settle(both.where(100 * shared >= self.percent * whole).select("a", "b"), "verified")
 
 
 def hub_pairs(keyed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Each class with those of its buckets' smallest members whose sketches are near: a (the hub), b, bits."""
-    hubs = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("a")).where("n > 1").select("key", "a")
-    pairs = keyed.join(hubs, "key").where("a <> c").select("a", F.col("c").alias("b")).distinct()
+    """Each class with a hub whose sketch is near: that smallest member of its buckets that it shares most of them with."""
+    least = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("a")).where("n > 1").select("key", "a")
+    shared = keyed.join(least, "key").where("a <> c").groupBy("c", "a").agg(F.count("*").alias("n"))
+    hubs = shared.groupBy(F.col("c").alias("b")).agg(F.max_by("a", "n").alias("a"))
     one = classes.select(F.col("c").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("x"))
     two = classes.select(F.col("c").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("y"))
-    compared = pairs.join(two, "b").join(one, "a").where(alike(F.col("n_a"), F.col("n_b"), percent))
-    near = compared.select("a", "b", differing(F.col("x"), F.col("y")).cast("long").alias("bits"))
-    return settle(near.where(F.col("bits") <= most_bits(percent / 100)), "hubs")
+    compared = settle(hubs, "hubs").join(two, "b").join(one, "a").where(alike(F.col("n_a"), F.col("n_b"), percent))
+    return settle(compared.where(differing(F.col("x"), F.col("y")) <= most_bits(percent / 100)).select("a", "b"), "near-hubs")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -217,93 +223,135 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return settle(labels.join(roots, F.col("label") == F.col("node"), "left").select("c", F.coalesce("root", "label").alias("label")), "labels")
 
 
-def open_blocks(keyed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Blocks of members of buckets with several labels: key, block, members, and ``rest``, whether none has the bucket's most frequent label."""
+def open_blocks(keyed: DataFrame, labels: DataFrame, members: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Blocks of members of buckets with several labels: key, block, held, and ``rest``, whether none has the bucket's most frequent label.
+
+    A block holds about ``WIDE`` members, fewer if their sets are large.
+    """
     marked = keyed.join(labels, "c")
-    sizes = marked.groupBy("key", "label").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.max_by("label", "n").alias("most"), F.max("n").alias("n_most"))
-    # In a bucket of two, the hub has met the other member.
-    open_ = marked.join(sizes.where("labels > 1 and n > 2"), "key")
+    # A member counts for more than one where its set is large.
+    load = F.sum(1 + F.col("n_shingles") / F.lit(SET_UNIT))
+    sizes = marked.groupBy("key", "label").agg(F.count("*").alias("n"), load.alias("load"))
+    sizes = sizes.groupBy("key").agg(
+        F.count("*").alias("labels"), F.sum("load").alias("load"), F.max_by("label", "n").alias("most"), F.max_by("load", "n").alias("load_most")
+    )
+    open_ = marked.join(sizes.where("labels > 1"), "key")
     rest = F.col("label") != F.col("most")
-    size = F.when(rest, F.col("n") - F.col("n_most")).otherwise(F.col("n_most"))
+    size = F.when(rest, F.col("load") - F.col("load_most")).otherwise(F.col("load_most"))
     block = F.pmod(F.xxhash64("c"), F.ceil(size / F.lit(WIDE)))
-    members = open_.select("key", "c", "label", rest.alias("rest"), block.alias("block")).join(classes.select("c", "n_shingles", "sketch"), "c")
-    return members.groupBy("key", "rest", "block").agg(F.collect_list(F.struct("c", "label", "n_shingles", "sketch")).alias("members"))
+    placed = open_.select("key", "c", "label", "n_shingles", rest.alias("rest"), block.alias("block")).join(members, "c")
+    held = ["c", "label", "n_shingles", "sketch", "keys"]
+    if sets is not None:
+        placed, held = placed.join(sets, "c"), [*held, "members"]
+    return placed.groupBy("key", "rest", "block").agg(F.collect_list(F.struct(*held)).alias("held"))
+
+
+class Side(NamedTuple):
+    """A block's members, by column."""
 
+    c: np.ndarray
+    label: np.ndarray
+    n: np.ndarray
+    sketch: np.ndarray  # a row for each
+    keys: np.ndarray
+    sets: list[np.ndarray]
 
-def unpacked(column: pa.Array) -> list[tuple[np.ndarray, ...]]:
-    out = []
+
+def unpacked(column: pa.Array) -> Iterator[Side]:
     for row in column:
         held = row.values
-        sketches = held.field("sketch")
+        plain = [held.field(f).to_numpy(zero_copy_only=False) for f in ("c", "label", "n_shingles")]
         # Unsigned, as numpy counts the bits of a negative number's size.
-        flat = sketches.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, LONGS)
-        out.append((*(held.field(f).to_numpy(zero_copy_only=False) for f in ("c", "label", "n_shingles")), flat))
-    return out
+        sketch = held.field("sketch").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, LONGS)
+        keys = held.field("keys").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+        sets = [x.values.to_numpy(zero_copy_only=False) for x in held.field("members")] if held.type.get_field_index("members") >= 0 else []
+        yield Side(*plain, sketch, keys, sets)
+
+
+def near_pairs(key: int, one: Side, two: Side, percent: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (places in one, in two) of other labels whose sketches are near and whose first shared band has this key, nearest first."""
+    differ = np.bitwise_count(one.sketch[:, None, :] ^ two.sketch[None, :, :]).sum(axis=2, dtype=np.int64)
+    fit = (one.label[:, None] != two.label[None, :]) & (differ <= most)
+    fit &= 100 * np.minimum.outer(one.n, two.n) >= percent * np.maximum.outer(one.n, two.n)
+    x, y = np.nonzero(fit)
+    shared = one.keys[x] == two.keys[y]
+    first = one.keys[x, shared.argmax(axis=1)] == key
+    x, y = x[first], y[first]
+    order = np.argsort(differ[x, y], kind="stable")
+    return x[order], y[order]
+
+
+def met(blocks: DataFrame) -> DataFrame:
+    """Each block of rest members beside each block of its bucket."""
+    own = blocks.where("rest").select("key", F.col("block").alias("_one"), F.col("held").alias("one"))
+    all_ = blocks.select("key", "rest", F.col("block").alias("_two"), F.col("held").alias("two"))
+    return own.join(all_, "key").where("not rest or _one <= _two").select("key", "one", "two")
+
+
+def with_partners(blocks: DataFrame, percent: int) -> DataFrame:
+    """The members (key, c) of blocks that have a partner of another label with a near sketch."""
+    most = most_bits(percent / 100)
 
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            for key, one, two in zip(batch.column("key").to_pylist(), unpacked(batch.column("one")), unpacked(batch.column("two")), strict=True):
+                x, y = near_pairs(key, one, two, percent, most)
+                found.update((key, c) for c in np.unique(np.concatenate([one.c[x], two.c[y]])).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([c for _, c in found], pa.int64())], ["key", "c"])
+
+    return mapped(met(blocks), run, [], "key long, c long").distinct()
 
-def offered(blocks: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Pairs (a, b) of different labels whose sketches are near: per member of a block its best partner in another, or all."""
+
+def linked_labels(blocks: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of different labels, which connect all labels that a pair with similar sets connects."""
     most = most_bits(percent / 100)
 
     def run(batches: Batches) -> Batches:
+        parent: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while (above := parent.get(label, label)) != label:
+                parent[label] = parent.get(above, above)
+                label = above
+            return label
+
         for batch in batches:
-            a, b, bits = [], [], []
-            for one, two in zip(unpacked(batch.column("members")), unpacked(batch.column("others")), strict=True):
-                differ = np.bitwise_count(one[3][:, None, :] ^ two[3][None, :, :]).sum(axis=2, dtype=np.int64)
-                low, high = np.minimum.outer(one[2], two[2]), np.maximum.outer(one[2], two[2])
-                fit = (one[1][:, None] != two[1][None, :]) & (differ <= most) & (100 * low >= percent * high)
-                if best:
-                    differ = np.where(fit, differ, BITS + 1)
-                    x = np.flatnonzero(fit.any(axis=1))
-                    y = differ[x].argmin(axis=1)
-                else:
-                    x, y = np.nonzero(fit)
-                a.append(np.minimum(one[0][x], two[0][y]))
-                b.append(np.maximum(one[0][x], two[0][y]))
-                bits.append(differ[x, y])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (a, b, bits)], ["a", "b", "bits"])
-
-    own = blocks.where("rest").select("key", F.col("block").alias("_one"), "members")
-    all_ = blocks.select("key", "rest", F.col("block").alias("_two"), F.col("members").alias("others"))
-    met = own.join(all_, "key").where("not rest or _one <= _two").select("members", "others")
-    return mapped(met, run, [], "a long, b long, bits long")
-
-
-def nearest_each(pairs: DataFrame) -> DataFrame:
-    """Of pairs (a, b, bits), each class's nearest one."""
-    both = pairs.select("a", "b", "bits").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "bits"))
-    best = both.groupBy("a").agg(F.min_by("b", "bits").alias("b"))
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            links = []
+            for key, one, two in zip(batch.column("key").to_pylist(), unpacked(batch.column("one")), unpacked(batch.column("two")), strict=True):
+                for i, j in zip(*(p.tolist() for p in near_pairs(key, one, two, percent, most)), strict=True):
+                    p, q = root(int(one.label[i])), root(int(two.label[j]))
+                    if p == q:
+                        continue
+                    shared = common(one.sets[i], two.sets[j])
+                    if 100 * shared >= percent * (len(one.sets[i]) + len(two.sets[j]) - shared):
+                        parent[max(p, q)] = min(p, q)
+                        links.append((int(one.c[i]), int(two.c[j])))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+
+    return mapped(met(blocks), run, [], "a long, b long")
+
+
+def common(one: np.ndarray, two: np.ndarray) -> int:
+    """How many numbers two sorted arrays without repeats share."""
+    small, large = (one, two) if len(one) <= len(two) else (two, one)
+    at = np.searchsorted(large, small)
+    return int((large[np.minimum(at, len(large) - 1)] == small).sum())
 
 
 def class_links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The label of each class, from links that connect all classes whose sets are as similar."""
-    keyed = classes.select("c", F.explode("keys").alias("key"))
+    keyed = classes.select("c", "n_shingles", F.explode("keys").alias("key"))
     verifier = Verifier(docs, classes, shingle, percent)
-    hubs = hub_pairs(keyed, classes, percent)
-    tried = verifier.verified(hubs.groupBy("b").agg(F.min_by("a", "bits").alias("a")).select("a", "b"))
-    labels = merged(classes.select("c", F.col("c").alias("label")), tried.where("linked"))
-    best = True
-    while True:
-        one, two = (labels.select(F.col("c").alias(x), F.col("label").alias(f"of_{x}")) for x in "ab")
-        open_hubs = hubs.join(two, "b").join(one, "a").where("of_a <> of_b").select("a", "b", "bits")
-        blocks = settle(open_blocks(keyed, classes, labels), "open")
-        near = offered(blocks, percent, best).union(open_hubs).distinct()
-        pairs = settle(near.join(tried.where("not linked"), ["a", "b"], "left_anti"), "offered")
-        if best:
-            pairs = settle(nearest_each(pairs), "nearest")
-        n = pairs.count()
-        if n:
-            found = verifier.verified(pairs)
-            linked = found.where("linked").count()
-            if linked:
-                labels = merged(labels, found.where("linked"))
-            tried = tried.union(found)
-        if not best:
-            return labels
-        # Offering the best pays while it links many; then the rest of the pairs is small.
-        best = n > 0 and 4 * linked >= n
+    labels = merged(classes.select("c", F.col("c").alias("label")), verifier.verified(hub_pairs(keyed, classes, percent)))
+    light = settle(open_blocks(keyed, labels, classes.select("c", "sketch", "keys")), "light")
+    partners = settle(with_partners(light, percent), "partners")
+    asked = partners.select("c").distinct()
+    some = classes.join(asked, "c", "left_semi").select("c", "n_shingles", "sketch", "keys")
+    sets = verifier.known(asked).join(asked, "c", "left_semi")
+    left = partners.join(some.select("c", "n_shingles"), "c")
+    heavy = open_blocks(left, labels.join(asked, "c", "left_semi"), some.select("c", "sketch", "keys"), sets)
+    return merged(labels, settle(linked_labels(heavy, percent), "links"))
 
 
 def grouped(
@@ -325,8 +373,8 @@ def grouped(
     )
     classes = settle(sizes.withColumn("c", F.monotonically_increasing_id()), "classes")
     labels = class_links(docs, classes, shingle, percent)
-    named = classes.select("c", "digest", "first").join(labels, "c")
-    lowest = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = settle(classes.select("c", "digest", "first").join(labels, "c"), "named")
+    lowest = settle(named.groupBy("label").agg(F.min("first").alias("component_id")), "lowest")
     groups = settle(named.join(lowest, "label").select(F.col("digest").alias("_digest"), F.col("component_id").alias("_lowest")), "groups")
     out = rows.select("id", "n_shingles", "digest").join(groups, F.col("digest") == F.col("_digest"), "left")
     component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("_lowest"))
