@@ -920,3 +920,5 @@ from lineitem where l_returnflag in ('A', 'R') and l_linestatus = 'O' group by 1
 
 
 from catalog import runs_oracle as _runs  # noqa: E402, F401 - adds its queries
+
+from catalog import kept_oracle as _kept  # noqa: E402, F401 - adds its queries

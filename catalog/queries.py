@@ -891,3 +891,5 @@ def slicer_counts(spark, sf):
 
 
 from catalog import runs as _runs  # noqa: E402, F401 - registers its queries
+
+from catalog import kept as _kept  # noqa: E402, F401 - registers its queries

@@ -41,22 +41,24 @@ def beside(ranged: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return joined.withColumn(name, F.when(same, F.struct(found["v"].alias("v")))).drop("_near", "_of", "_carried")
 
 
-def scd2(df: DataFrame, keys: Sequence[str], at: str, tracked: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
+def scd2(df: DataFrame, keys: Sequence[str], at: str, tracked: Sequence[str], tiebreak: Sequence[str], since: str | None = None) -> DataFrame:
     """Type-2 versions: (keys, tracked, valid_from, valid_to, is_current).
 
-    A version starts where a tracked value differs from the row before.  All rows are
-    shuffled twice, the starts of versions once more.
+    A version starts where a tracked value differs from the row before, at the time ``at``,
+    or at that of the column ``since``.  All rows are shuffled twice, the starts of versions
+    once more.
     """
     state = F.struct(*tracked)
     order = [at, *tiebreak]
-    rows = in_ranges(df.select(*keys, at, *tiebreak, *tracked), [*keys, *order], "ranges")
+    start = since or at
+    rows = in_ranges(df.select(*dict.fromkeys([*keys, at, *tiebreak, *tracked, start])), [*keys, *order], "ranges")
     seen = beside(rows, keys, order, state, "_before", -1)
     changed = settle(seen.filter(F.col("_before").isNull() | ~F.col("_before.v").eqNullSafe(state)).drop("_before"), "starts")
-    ended = beside(changed, keys, order, F.col(at), "_after", +1)
+    ended = beside(changed, keys, order, F.col(start), "_after", +1)
     return ended.select(
         *keys,
         *tracked,
-        F.col(at).alias("valid_from"),
+        F.col(start).alias("valid_from"),
         F.col("_after.v").alias("valid_to"),
         F.col("_after").isNull().alias("is_current"),
     )

@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import io
 import os
+import threading
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -50,11 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a folder in
-    the warehouse is taken, which every executor reaches as well, and set for the session.
+    the warehouse is taken, and set for the session.  On a cluster, a warehouse on a local
+    disk is an error: other machines can't read it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines reach; the warehouse is a local folder")
         configured = f"{warehouse}/_between"
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
@@ -125,6 +129,8 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.append(spark)
 
 
+_FREEING = threading.Lock()
+_before: list[str] = []  # the setting before, once for each thread that is within
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -135,12 +141,19 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     For queries whose result is written: nothing reads their shuffles again, and the
     disk of a chain of queries is then that of its largest one.
     """
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    with _FREEING:
+        if not _before:
+            _before.append(spark.conf.get(SHUFFLE_CLEANUP, "false"))
+            spark.conf.set(SHUFFLE_CLEANUP, "true")
+        else:
+            _before.append(_before[0])
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        with _FREEING:
+            held = _before.pop()
+            if not _before:
+                spark.conf.set(SHUFFLE_CLEANUP, held)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.sinks import pointers
+
 ROWS_PER_PARTITION = 10_000
 
 
@@ -61,22 +63,27 @@ def write_staging(df: DataFrame, path: str) -> None:
 def write_verified(df: DataFrame, path: str, mode: str = "full") -> dict[str, object]:
     """Write and compare the rows that went in with the rows found afterwards.
 
-    The first number is observed during the write, the second comes from file
-    footers, so the input is computed once.
+    The first number is observed during the write, the second comes from the footers of
+    the files that the write has added, so the input is computed once and older files
+    aren't opened.
     """
     spark = df.sparkSession
-    before = spark.read.parquet(path).count() if mode == "incremental" and _exists(spark, path) else 0
+    before = _files(spark, path) if mode == "incremental" else set()
     seen = Observation()
     write_raw(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
     expected = seen.get["rows"]
-    written = spark.read.parquet(path).count() - before
+    added = sorted(_files(spark, path) - before)
+    written = spark.read.parquet(*added).count() if added else 0
     return {"records": expected, "written": written, "missing": expected - written,
             "status": "success" if expected == written else "mismatch"}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _files(spark: SparkSession, path: str) -> set[str]:
+    """The data files directly in a folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(target) if system.exists(target) else []
+    return {f.getPath().toString() for f in found if f.isFile() and not f.getPath().getName().startswith(("_", "."))}
 
 
 def skip_if_empty(df: DataFrame, write: Callable[[DataFrame], Mapping[str, object]], fail: bool = False) -> dict:
@@ -119,27 +126,38 @@ def write_compact(df: DataFrame, path: str) -> None:
 def register_table(
     spark: SparkSession, database: str, table: str, location: str, partitioned: bool = False
 ) -> str:
-    """Create or replace an external table over a written folder, with its schema."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    name = f"`{database}`.`{table}`"
-    if spark.catalog.tableExists(f"{database}.{table}"):
-        # An external table is its location and schema, which the new folder may keep or change.
-        kept = spark.table(name).schema == spark.read.parquet(location).schema
-        if kept:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-            spark.catalog.refreshTable(name)
-        else:
-            spark.sql(f"DROP TABLE {name}")
-    if not spark.catalog.tableExists(f"{database}.{table}"):
-        spark.catalog.createTable(f"{database}.{table}", path=location, source="parquet")
-    if partitioned:
-        spark.catalog.recoverPartitions(f"{database}.{table}")
-    return name
+    """A name in the catalog for a written folder, with the folder's schema.
+
+    Another folder or schema is registered as a table of its own, and the name is pointed
+    at it in one step, so readers never find it missing.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {pointers.quoted(database)}")
+    name = f"{database}.{table}"
+    known = pointers.target_of(spark, name)
+    if known is None or not _stands_for(spark, known, location):
+        known = pointers.new_version(spark, name)
+        spark.catalog.createTable(known, path=location, source="parquet")
+        if partitioned:
+            spark.catalog.recoverPartitions(known)
+        pointers.point(spark, name, known)
+    else:
+        spark.catalog.refreshTable(known)
+        if partitioned:
+            spark.catalog.recoverPartitions(known)
+    return pointers.quoted(name)
+
+
+def _stands_for(spark: SparkSession, table: str, location: str) -> bool:
+    """Whether a table lies in the folder and has its present schema."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    held = spark.sql(f"DESCRIBE EXTENDED {pointers.quoted(table)}").where("col_name = 'Location'").first()["data_type"]
+    same = path(path(held).toUri().getPath()).equals(path(path(location).toUri().getPath()))
+    return same and spark.table(table).schema == spark.read.parquet(location).schema
 
 
 def add_new_partitions(spark: SparkSession, table: str) -> None:
     """Make partitions written since the last registration visible to pruning."""
-    spark.catalog.recoverPartitions(table)
+    spark.catalog.recoverPartitions(pointers.target_of(spark, table) or table)
 
 
 def define_view(df: DataFrame, name: str) -> DataFrame:
@@ -162,7 +180,9 @@ def refresh_snapshot_tables(
 ) -> list[dict]:
     """Recompute report tables, stamped ``_refreshed_at``; one status row per table.
 
-    A failing table is reported and the others go on.
+    Each is computed beside the one that readers find, and takes its name in one step; the
+    one before stays for ``pointers.rollback``.  A failing table is reported and the others
+    go on.
     """
     unknown = set(only or ()) - set(queries)
     if unknown:
@@ -173,7 +193,9 @@ def refresh_snapshot_tables(
             continue
         try:
             stamp = F.lit(refreshed_at).cast("timestamp")
-            build().withColumn("_refreshed_at", stamp).write.mode("overwrite").format("parquet").saveAsTable(name)
+            version = pointers.new_version(spark, name)
+            build().withColumn("_refreshed_at", stamp).write.format("parquet").saveAsTable(version)
+            pointers.point(spark, name, version)
             report.append({"table": name, "status": "success", "rows": spark.table(name).count()})
         except Exception as problem:  # noqa: BLE001 - the report carries it
             report.append({"table": name, "status": "error", "message": str(problem)})
@@ -181,9 +203,12 @@ def refresh_snapshot_tables(
 
 
 def write_with_layout(df: DataFrame, table: str, distribute: str, sort: Sequence[str], buckets: int) -> None:
-    """A table bucketed and sorted by key: joins on that key need no shuffle."""
-    rows = df.repartition(buckets, distribute)
-    rows.write.mode("overwrite").bucketBy(buckets, distribute).sortBy(*sort).format("parquet").saveAsTable(table)
+    """A table bucketed and sorted by key: joins on that key with a table of as many buckets need no shuffle.
+
+    Rows are gathered by key before, and a task that would get too many of a hot key's is
+    split, so a bucket may be several files.
+    """
+    balanced(df, distribute).write.mode("overwrite").bucketBy(buckets, distribute).sortBy(*sort).format("parquet").saveAsTable(table)
 
 
 def run_log(spark: SparkSession, report: Sequence[Mapping[str, object]], run_ts: str) -> DataFrame:

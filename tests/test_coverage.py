@@ -11,25 +11,25 @@ from catalog.queries import QUERIES
 HERE = pathlib.Path(__file__).parent
 # Operator id -> registered queries and test functions that exercise it.
 COVERED = {
-    "A1": "merged_files extract_read_back test_optional_and_incremental_reads", "A2": "merged_files test_optional_and_incremental_reads",
-    "A3": "incremental_events test_optional_and_incremental_reads", "A4": "extract_run test_sources_run_in_isolation",
-    "A5": "newest_files test_newest_file_per_stem test_list_files_and_table_map", "A6": "curate_sheets test_list_files_and_table_map",
+    "A1": "stored_schema test_schemas_are_kept merged_files extract_read_back test_optional_and_incremental_reads", "A2": "merged_files test_optional_and_incremental_reads",
+    "A3": "incremental_events test_optional_and_incremental_reads", "A4": "extract_run test_sources_run_side_by_side test_sources_run_in_isolation",
+    "A5": "newest_listed_files newest_files test_newest_file_per_stem test_list_files_and_table_map", "A6": "curate_workbooks curate_sheets test_list_files_and_table_map",
     "A7": "star_product_volume test_list_files_and_table_map", "A8": "calendar_staging calendar_curated",
     "B1": "extract_run sinks_read_back test_verified_writes_and_log", "B2": "sinks_read_back test_report_folders_and_sizes", "B3": "snapshot_publish partition_publish test_publish_modes",
-    "B4": "curate_sheets sinks_read_back test_catalog_tables", "B5": "sinks_read_back test_catalog_tables", "B6": "sinks_read_back test_catalog_tables", "B7": "sinks_read_back test_catalog_tables",
+    "B4": "swapped_tables test_readers_never_miss_a_table curate_sheets sinks_read_back test_catalog_tables", "B5": "projected_days test_projection_reads_the_asked_folders_only sinks_read_back test_catalog_tables", "B6": "swapped_tables test_readers_never_miss_a_table sinks_read_back test_catalog_tables", "B7": "sinks_read_back test_catalog_tables",
     "B8": "sinks_read_back buyer_share_detail test_report_folders_and_sizes", "B9": "sinks_read_back test_report_folders_and_sizes", "B10": "sinks_read_back test_report_folders_and_sizes",
-    "B11": "sinks_read_back test_catalog_tables", "B12": "extract_read_back curate_sheets test_report_folders_and_sizes",
+    "B11": "closings_from_buckets test_bucketed_star_joins_without_a_shuffle sinks_read_back test_catalog_tables", "B12": "curate_workbooks extract_read_back curate_sheets test_report_folders_and_sizes",
     "C1": "flatten_document test_flatten_and_canonical", "C2": "canonical_columns", "C3": "duplicate_names test_flatten_and_canonical", "C4": "all_string",
     "C5": "test_ancient_dates_and_union", "C6": "choice_struct test_choice_struct_leaves_real_documents", "C7": "money_values choice_struct",
-    "C8": "backfill_prices test_backfill_fills_only_gaps", "C9": "ancient_dates test_ancient_dates_and_union",
-    "D1": "sheet_without_header grid_header test_header_rules", "D2": "test_numeric_text", "D3": "grid_header", "D4": "grid_rows", "D5": "curate_sheets test_grid_to_table",
+    "C8": "backfill_reduced test_patches_are_reduced_before_their_newest_rows_are_looked_for backfill_prices test_backfill_fills_only_gaps", "C9": "ancient_dates test_ancient_dates_and_union",
+    "D1": "sheet_without_header grid_header test_header_rules", "D2": "test_numeric_text", "D3": "grid_header", "D4": "grid_rows", "D5": "curate_workbooks test_workbooks_keep_their_columns curate_sheets test_grid_to_table",
     "D6": "drop_empty_columns test_empty_columns", "D7": "test_names", "D8": "duplicate_names curate_sheets test_names", "D9": "grid_rows test_grid_to_table",
     "D10": "excel_serial grid_rows test_serial_dates",
     "E1": "money_values test_schema_helpers", "E2": "test_schema_helpers conform_union", "E3": "money_values", "E4": "money_values test_values",
     "E5": "word_domains", "E6": "word_domains", "E7": "word_domains", "E8": "fk_resolution", "E9": "fk_resolution star_correspondents",
     "E10": "star_correspondents", "E11": "ssn_mask star_borrowers", "E12": "date_keys star_loan_status", "E13": "star_conditions",
     "E14": "star_borrowers conversation_positions", "E15": "calendar_staging", "E16": "calendar_curated", "E17": "star_holidays",
-    "E18": "star_dim_loan star_loan_status star_loan_metrics star_users star_condition_events star_exceptions star_documents",
+    "E18": "star_partners_all_columns star_dim_loan star_loan_status star_loan_metrics star_users star_condition_events star_exceptions star_documents",
     "F1": "json_map_fields test_borrowers_in_every_shape", "F2": "json_map_fields document_words", "F3": "star_processing_entries test_nested_partner_and_struct_entries",
     "F4": "star_borrowers", "F5": "star_processing_entries", "F6": "star_condition_documents",
     "G1": "conform_union", "G2": "conform_union", "G3": "norm_keys", "G4": "norm_keys", "G5": "norm_keys", "G6": "norm_keys", "G7": "flex_dates",
@@ -38,13 +38,13 @@ COVERED = {
     "G18": "age_and_condition", "G19": "fact_procurement", "G20": "lender_alias test_alias_table", "G21": "fact_procurement", "G22": "loan_master", "G23": "month_spine",
     "P1": "monthly_closings", "P2": "procurement_analysis", "P3": "kpi_filtered status_and_flood", "P4": "monthly_closings_one_year test_filters_reach_the_scan",
     "P5": "current_overview", "P6": "ytd_by_product", "P7": "kpi_filtered slicer_counts", "P8": "loan_details",
-    "J1": "star_dim_loan", "J2": "monthly_closings", "J3": "loan_details", "J4": "registrations_by_product", "J5": "correspondent_dashboard",
-    "J6": "month_trend test_month_trend_equals_the_or_join", "J7": "avg_coverage_by_month", "J8": "loan_master", "J9": "backfill_prices",
+    "J1": "star_dim_loan", "J2": "closings_from_buckets monthly_closings", "J3": "loan_details", "J4": "registrations_by_product", "J5": "correspondent_dashboard",
+    "J6": "month_trend test_month_trend_equals_the_or_join", "J7": "avg_coverage_by_month", "J8": "loan_master", "J9": "backfill_reduced backfill_prices",
     "H1": "kpi_scorecard", "H2": "monthly_closings", "H3": "kpi_scorecard", "H4": "buyer_pivot", "H5": "monthly_closings monthly_metrics", "H6": "monthly_closings",
     "H7": "avg_premium_by_month", "H8": "growth_of_amounts kpi_scorecard", "H9": "monthly_closings_by_buyer", "H10": "loan_master", "H11": "loan_master", "H12": "loan_master",
     "H13": "loan_master", "H14": "loan_master", "H15": "non_blank_profile",
     "W1": "star_of_versions status_of_versions latest_per_key test_latest_per_key_is_total_and_stable", "W2": "buyer_share test_share_of_the_month", "W3": "staleness",
-    "S1": "test_share_of_the_month", "S2": "month_trend filter_lists", "S3": "month_spine", "S4": "month_spine", "S5": "filter_lists", "S6": "conform_union", "S7": "newest_files test_newest_file_per_stem",
+    "S1": "ordered_closings test_share_of_the_month", "S2": "month_trend filter_lists", "S3": "month_spine", "S4": "month_spine", "S5": "filter_lists", "S6": "conform_union", "S7": "newest_listed_files newest_files test_newest_file_per_stem",
     "R-EEP": "monthly_closings", "R-DPA": "monthly_closings_by_buyer monthly_closings_by_buyer_raw monthly_closings_by_buyer_three_way", "R-DPAP": "buyer_pivot",
     "R-DPAS": "buyer_share buyer_share_detail", "R-DPAY": "buyer_yearly", "R-REG": "registrations_by_product", "R-REGP": "registrations_pivot",
     "R-REGS": "registrations_share", "R-LOAN": "loan_details", "R-LOAND": "product_loan_details", "R-CUR": "current_overview", "R-YTD": "ytd_by_product",
@@ -53,8 +53,8 @@ COVERED = {
     "R-FLOOD": "flood_donut", "R-SRC": "closed_by_source", "R-LIST": "filter_lists", "R-NOW": "current_month_default test_month_default", "R-CHK": "label_check",
     "V1": "extract_run test_verified_writes_and_log", "V2": "extract_run extract_totals test_verified_writes_and_log", "V3": "extract_run test_verified_writes_and_log", "V4": "quality_checks", "V5": "quality_checks",
     "V6": "quality_checks", "V7": "quality_checks duplicate_keys", "V8": "quality_checks", "V9": "dedupe_report",
-    "T1": "stream_latest_events test_stream_upsert",
-    "X1": "privacy_policy test_privacy", "X2": "scd2 test_scd2_equals_brute_force", "X3": "dead_letter", "X4": "servicing_scorecard fico_bands",
+    "T1": "buckets_compacted test_compaction_rewrites_full_buckets_only stream_latest_events test_stream_upsert",
+    "X1": "privacy_policy test_privacy", "X2": "scd2_in_batches test_batches_give_the_whole_history scd2 test_scd2_equals_brute_force", "X3": "dead_letters_reprocessed test_letters_are_merged_back_once dead_letter", "X4": "servicing_scorecard fico_bands",
     "X5": "days_to_clear variance", "X6": "condition_turnaround loan_aging", "X7": "growth_of_amounts yoy_growth corr_driver", "X8": "loan_snapshot partition_publish",
 }
 
