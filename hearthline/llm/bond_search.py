@@ -1,12 +1,13 @@
 """Exact search of the k highest inner products by branch and bound over dimension blocks.
 
 Vectors lie vertically: a block of rows is stored dimension by dimension.  Queries are
-packed in blocks too, and every pair of a query block and a row block is searched on its
-own: the inner products are accumulated one block of dimensions after another; after
-each, the mass that remains in the other dimensions bounds what a row can still gain or
-lose (Cauchy-Schwarz), rows whose best case is below the k-th best worst case of every
-query are dropped, and the survivors are compacted.  What is left at the end has exact
-scores.
+packed in blocks too, and every query meets every row block.  Its inner products with the
+rows are accumulated one block of dimensions after another, its largest components first.
+After each block, the mass that remains in the other dimensions bounds what a row can
+still gain (Cauchy-Schwarz).  The exact scores of the rows that lead so far give the
+query's threshold: rows that can't reach it any more are dropped, and the survivors are
+compacted.  Each query has survivors of its own, and a threshold that goes on from one row
+block to the next.  What is left at the end has exact scores.
 
 The query set is stated, and its blocks meet all row blocks through a join on the lanes
 that row blocks are dealt to.  A task works on one block of each kind at a time.
@@ -26,8 +27,9 @@ from hearthline.session import settle
 
 ROWS = 8192
 QUERIES = 512
-STEP = 16  # dimensions at a time
-LANES = 1024  # tasks of the search at most
+STEP = 8  # dimensions at a time
+PROBES = 64  # leading rows whose exact scores give a threshold
+LANE_BLOCKS = 128  # row blocks that share a copy of the queries, once there are enough for all cores
 MOST = 2**62
 BLOCK = "dim int, number long, ids binary, rows binary, planes binary"
 
@@ -70,36 +72,60 @@ def vector_blocks(df: DataFrame, id_col: str, vector_col: str, scale: float, cho
     return own.mapInArrow(run, BLOCK)
 
 
-def remaining(planes: np.ndarray) -> np.ndarray:
-    """For each block of dimensions, the length of every vector in the blocks from it on, rounded up."""
-    squares = np.array([np.square(planes[at : at + STEP].astype(np.float64)).sum(axis=0) for at in range(0, len(planes), STEP)])
-    return np.sqrt(np.cumsum(squares[::-1], axis=0)[::-1]) * (1 + 1e-9)
-
-
-def best(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that may be among the k best others of some query, and their exact scores (query, row); both are planes."""
-    n = rows.shape[1]
-    alive = np.arange(n)
-    # Sums of whole numbers below 2^53 are exact in doubles, which multiply fastest.
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * len(rows)
-    if bound >= MOST:
-        exact = queries.T.astype(object) @ rows.astype(object)
-        return alive, np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
-    kind = np.float64 if bound < 2**53 else np.int64
-    q, r = queries.astype(kind), rows.astype(kind)
-    mass_q, mass_r = remaining(queries), remaining(rows)
-    score = np.zeros((queries.shape[1], n), kind)
-    for step, at in enumerate(range(0, len(rows), STEP)):
-        score += q[at : at + STEP].T @ r[at : at + STEP]
-        if at + STEP >= len(rows) or len(alive) <= k + 1:
+class Rows:
+    """A block of rows, vertical, in the type that its sums with some queries are exact in."""
+
+    def __init__(self, planes: np.ndarray, kind: type) -> None:
+        self.planes = planes.astype(kind)
+        self.squares = np.square(planes.astype(np.float64))
+        self.mass = self.squares.sum(axis=0)
+
+
+def best(query: np.ndarray, rows: Rows, k: int, own: int | None = None, limit: float = -np.inf) -> tuple[np.ndarray, np.ndarray, float]:
+    """Rows that may be among the k best others of a query, their exact scores, and the query's new threshold.
+
+    ``own`` is the place of the query's own row, which is left out; ``limit`` is a score
+    that k other rows of earlier blocks have reached.
+    """
+    order = np.argsort(-np.abs(query), kind="stable")
+    weights = query.astype(rows.planes.dtype)
+    alive = np.arange(rows.planes.shape[1])
+    if own is not None:
+        alive = np.delete(alive, own)
+    score = np.zeros(len(alive), rows.planes.dtype)
+    mass = rows.mass[alive]
+    rest = float(np.square(query.astype(np.float64)).sum())
+    for at in range(0, len(order), STEP):
+        dims = order[at : at + STEP]
+        part = np.ix_(dims, alive)
+        score += weights[dims] @ rows.planes[part]
+        if at + STEP >= len(order) or len(alive) <= k:
             continue
-        slack = np.outer(mass_q[step + 1], mass_r[step + 1][alive])
-        # One row more than k, as a query's own row may be among the best.
-        worst = np.partition(score - slack, len(alive) - k - 1, axis=1)[:, len(alive) - k - 1]
-        keep = (score + slack >= worst[:, None] - 1).any(axis=0)
-        if keep.sum() < 0.8 * len(alive):
-            alive, score, r = alive[keep], np.ascontiguousarray(score[:, keep]), np.ascontiguousarray(r[:, keep])
-    return alive, score.astype(np.int64)
+        mass -= rows.squares[part].sum(axis=0)
+        rest -= float(np.square(query[dims].astype(np.float64)).sum())
+        if len(alive) > PROBES:
+            lead = alive[np.argpartition(score, len(alive) - PROBES)[-PROBES:]]
+        else:
+            lead = alive
+        exact = weights @ rows.planes[:, lead]
+        if len(lead) >= k:
+            limit = max(limit, float(np.partition(exact, len(lead) - k)[len(lead) - k]))
+        # Rounded up: what is left of the masses, and the scores where they are beyond 2^53.
+        slack = np.sqrt(np.maximum(mass, 0) + rows.mass[alive] * 1e-9) * np.sqrt(max(rest, 0.0) + 1e-9 * float(np.square(query.astype(np.float64)).sum()))
+        keep = score + slack * (1 + 1e-9) + 1 + np.abs(score) * 1e-12 >= limit
+        if not keep.all():
+            alive, score, mass = alive[keep], score[keep], mass[keep]
+    if len(score) >= k:
+        limit = max(limit, float(np.partition(score, len(score) - k)[len(score) - k]))
+    return alive, score.astype(np.int64), limit
+
+
+def dense(query: np.ndarray, planes: np.ndarray, own: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """All other rows and their scores, for numbers whose sums a long may not hold; those beyond it are the nearest long."""
+    alive = np.arange(planes.shape[1])
+    alive = alive if own is None else np.delete(alive, own)
+    exact = query.astype(object) @ planes[:, alive].astype(object) if len(alive) else np.zeros(0, object)
+    return alive, np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
 def search(df: DataFrame, queries: Column, k: int = 10, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 1024.0) -> DataFrame:
@@ -116,30 +142,37 @@ def search(df: DataFrame, queries: Column, k: int = 10, *, id_col: str = "vec_id
     rows = settle(vector_blocks(numbered, id_col, vector_col, scale).withColumn("block", F.monotonically_increasing_id()), "row_blocks")
     asked = settle(vector_blocks(numbered, id_col, vector_col, scale, queries, QUERIES), "query_blocks")
     # Row blocks are dealt to lanes, and query blocks to every lane.
-    lanes = min(LANES, max(1, rows.count()))
+    blocks, cores = rows.count(), 4 * df.sparkSession.sparkContext.defaultParallelism
+    lanes = max(1, min(blocks, cores), -(-blocks // LANE_BLOCKS))
     rows = rows.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
     sent = asked.select("dim", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("planes").alias("q_planes"))
     sent = sent.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     pairs = sent.join(rows, ["dim", "lane"]).select("dim", "q_ids", "q_rows", "q_planes", "ids", "rows", "planes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limits: dict[int, float] = {}
         for batch in batches:
             for k_row in range(batch.num_rows):
-                yield found(*(batch.column(c)[k_row].as_py() for c in ("dim", "q_ids", "q_rows", "q_planes", "ids", "rows", "planes")))
+                yield found(limits, *(batch.column(c)[k_row].as_py() for c in ("dim", "q_ids", "q_rows", "q_planes", "ids", "rows", "planes")))
 
-    def found(dim: int, q_ids, q_rows, q_planes, ids, rows, planes) -> pa.RecordBatch:
+    def found(limits: dict[int, float], dim: int, q_ids, q_rows, q_planes, ids, rows, planes) -> pa.RecordBatch:
         q_id, q_row, r_id, r_row = (np.frombuffer(x, np.int64) for x in (q_ids, q_rows, ids, rows))
         q, r = (np.frombuffer(x, np.int64).reshape(dim, -1) for x in (q_planes, planes))
-        alive, score = best(q, r, k)
-        r_id, r_row = r_id[alive], r_row[alive]
+        # Sums of whole numbers below 2^53 are exact in doubles, which multiply fastest.
+        bound = float(np.abs(q).max(initial=0)) * float(np.abs(r).max(initial=0)) * dim
+        block = Rows(r, np.float64 if bound < 2**53 else np.int64) if bound < MOST else None
+        places = {row: n for n, row in enumerate(r_row.tolist())}
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for j in range(len(q_id)):
-            own = np.flatnonzero(r_row != q_row[j])
-            if len(own) > k:
-                least = np.partition(score[j, own], len(own) - k)[len(own) - k]
-                own = own[score[j, own] >= least]
-            own = own[np.lexsort((r_id[own], -score[j, own]))][:k]
-            for column, values in zip(out, (np.full(len(own), q_id[j]), np.full(len(own), q_row[j]), r_id[own], score[j, own]), strict=True):
+        for j, row in enumerate(q_row.tolist()):
+            if block is None:
+                alive, score = dense(q[:, j], r, places.get(row))
+            else:
+                alive, score, limits[row] = best(q[:, j], block, k, places.get(row), limits.get(row, -np.inf))
+            if len(score) > k:
+                over = score >= np.partition(score, len(score) - k)[len(score) - k]
+                alive, score = alive[over], score[over]
+            first = np.lexsort((r_id[alive], -score))[:k]
+            for column, values in zip(out, (np.full(len(first), q_id[j]), np.full(len(first), row), r_id[alive][first], score[first]), strict=True):
                 column.append(values)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "_row", "vec_id", "score"])
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import io
+import os
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -239,26 +241,40 @@ def test_branch_and_bound(dim, n, k, seed):
     rng = np.random.default_rng(seed)
     rows = np.floor(1024 * rng.normal(size=(dim, n)) * rng.choice([0.01, 1], n)).astype(np.int64)
     queries = rows[:, : min(3, n)]
-    alive, score = bond_search.best(queries, rows, k)
     exact = queries.T @ rows
-    assert (score == exact[:, alive]).all()
+    block = bond_search.Rows(rows, np.float64 if seed % 2 else np.int64)
     for j in range(queries.shape[1]):
         limit = np.sort(np.delete(exact[j], j))[::-1][:k]
-        if len(limit):
-            needed = set(np.flatnonzero(exact[j] >= limit[-1])) - {j}
-            assert needed <= set(alive.tolist())
+        for before in (-np.inf, float(limit[-1]) if len(limit) == k else -np.inf):
+            alive, score, after = bond_search.best(queries[:, j], block, k, j, before)
+            assert (score == exact[j, alive]).all() and j not in alive
+            assert after == (limit[-1] if len(limit) == k else -np.inf)
+            if len(limit):
+                assert set(np.flatnonzero(exact[j] >= limit[-1])) - {j} <= set(alive.tolist())
 
 
 def test_scores_beyond_a_long():
     big = np.array([[2**62], [2**62]], np.int64)
-    alive, score = bond_search.best(big, big, 1)
-    assert alive.tolist() == [0] and score.tolist() == [[2**63 - 1]]
+    alive, score = bond_search.dense(big[:, 0], big, None)
+    assert alive.tolist() == [0] and score.tolist() == [2**63 - 1]
+
+
+def kept_share(rows, places, k):
+    block = bond_search.Rows(rows, np.float64)
+    return np.mean([len(bond_search.best(rows[:, j], block, k, j)[0]) for j in places]) / rows.shape[1]
 
 
 def test_bounds_drop_rows():
     rng = np.random.default_rng(0)
     rows = np.floor(1024 * rng.normal(size=(64, 2000)) * np.exp(-np.arange(64) / 8)[:, None]).astype(np.int64)
-    assert len(bond_search.best(rows[:, :5], rows, 3)[0]) < 500
+    assert kept_share(rows, range(5), 3) < 0.05
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="given tables are not here")
+def test_bounds_drop_rows_of_the_given_table():
+    vectors = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["embedding"]).column(0).to_pylist()
+    rows = np.floor(1024 * np.array([v for v in vectors if v is not None and len(v) == 64 and np.isfinite(v).all()], float)).astype(np.int64).T
+    assert kept_share(rows, range(0, rows.shape[1], 100), 10) < 0.1
 
 
 def test_forest_learns_and_flattens():
