@@ -137,7 +137,7 @@ def cut(lengths: np.ndarray, full: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def token_pieces(
     df: DataFrame, vocabulary: str, full: int = 1024, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text",
-    spaced: bool = True, special: bool = False, folder: str | None = None,
+    spaced: bool = True, special: bool = True, folder: str | None = None,
 ) -> DataFrame:
     """Pieces of all documents: doc_id, piece, start, length, ids_crc32, and the file and place of their ids.
 

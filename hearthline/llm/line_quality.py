@@ -111,18 +111,19 @@ def held_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     candidates = settle(counted_lines(docs, half), "candidates").withColumnRenamed("host", "_host")
     lines = docs.select("host", "doc", F.regexp_count("text", F.lit(WORD)).alias("words"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.select(
-        "host", "doc", "words", "pos", F.xxhash64(normalised(F.col("line"))).alias("_line"), F.regexp_count("line", F.lit(WORD)).alias("own")
+        "host", "doc", "words", "pos", F.xxhash64(normalised(F.col("line"))).alias("_line"), F.regexp_count("line", F.lit(WORD)).alias("own"),
+        F.substring(F.md5(normalised(F.col("line")).cast("binary")), 1, 16).alias("name"),
     )
     found = lines.join(candidates, F.col("host").eqNullSafe(F.col("_host")) & (F.col("_line") == F.col("line")))
     # Exact copies are one text, which holds a line once at each place.
-    once = found.groupBy("host", "doc", "pos").agg(*[F.first(c).alias(c) for c in ("words", "own", "line", "n")])
+    once = found.groupBy("host", "doc", "pos").agg(*[F.first(c).alias(c) for c in ("words", "own", "line", "n", "name")])
     candidate = F.col("n") > limits.least
     texts = once.groupBy("host", "doc").agg(
         F.first("words").alias("words"), F.sum("own").alias("common"),
-        F.min(F.when(candidate, F.struct("n", "line"))).alias("rarest"), F.collect_set(F.when(candidate, F.col("line"))).alias("lines"),
+        F.min(F.when(candidate, F.struct("n", "name"))).alias("rarest"), F.collect_set(F.when(candidate, F.col("line"))).alias("lines"),
     ).where("rarest is not null")
     near = F.col("words") - F.col("common") < limits.min_left * F.col("words")
-    held = settle(texts.select("host", "doc", near.alias("near"), F.when(near, F.col("rarest.line")).otherwise(F.col("doc")).alias("mark"), "lines"), "held")
+    held = settle(texts.select("host", "doc", near.alias("near"), F.when(near, F.col("rarest.name")).otherwise(F.hex("doc")).alias("mark"), "lines"), "held")
     each = held.select("host", "doc", "near", "mark", F.explode("lines").alias("line"))
     over = each.groupBy("host", "line", "near", "mark").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("n"))
     over = over.where(F.col("n") > limits.least)
@@ -202,17 +203,17 @@ def judged(rows: pa.RecordBatch, limits: Limits) -> tuple[dict[str, np.ndarray],
     return found, texts
 
 
-def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
+def judge(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits(), near_once: bool = False) -> DataFrame:
     """All rows with their statistics and verdict, and ``clean_text``, the text without the lines over the limit.
 
     Rejected rows are marked, not dropped.  A null text has no words, fails the base rules
     and stays null.  Rows of a null host belong to one host.  Repeated rows are judged
     alike.  Input columns named like a result are replaced; others pass through.  The
     lines over the limit are written first, so Spark knows their size when it chooses
-    how to join them to the documents.
+    how to join them to the documents.  ``near_once``: near copies count as one document.
     """
     plain, names = numbered(df)
-    return restored(judged_rows(plain, names[host_col], names[text_col], limits), df, names, *STATISTICS, "clean_text")
+    return restored(judged_rows(plain, names[host_col], names[text_col], limits, near_once), df, names, *STATISTICS, "clean_text")
 
 
 def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits, near_once: bool = False) -> DataFrame:

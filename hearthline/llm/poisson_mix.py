@@ -25,6 +25,7 @@ from hearthline.session import settle
 STEP = 8.0
 TERMS = 64  # the mass beyond is below 1e-30 for a mean of STEP
 DIGITS = 13  # of a hexadecimal hash: 52 bits, exact in a double
+DECADES = (6, 9, 12, 15, 18, 21, 24, 27)  # decimals that a rate is held to, the more the smaller it is
 
 
 def uniform(*parts: Column) -> Column:
@@ -46,6 +47,17 @@ def poisson_cdf(mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS - 1)), start, add, lambda state: state["all"])
 
 
+def rounded(rate: Column) -> Column:
+    """The rate with six significant digits at least, so that it doesn't depend on the order of a sum; down to 1e-27, then 0."""
+    scale = F.lit(float(f"1e{DECADES[-1]}"))
+    out = F.floor(rate * scale).cast("double") / scale
+    for digits in reversed(DECADES[:-1]):
+        scale = F.lit(float(f"1e{digits}"))
+        cut = F.floor(rate * scale).cast("double") / scale
+        out = F.when(rate >= F.lit(float(f"1e{6 - digits}")), cut).otherwise(out)
+    return out
+
+
 def source_rates(docs: DataFrame, weights: dict[str, float] | None, temperature: float, epochs: float) -> DataFrame:
     """One row per source of ``docs`` (_source, _size): its rate, the number of draws and the distribution function of one draw.
 
@@ -64,8 +76,7 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, temperature:
     if not total["weight"]:
         weighted, total = weighted.where(F.lit(False)), {"size": 0, "weight": 1.0}
     rate = F.col("_weight") / F.lit(total["weight"]) * F.lit(float(epochs)) * F.lit(total["size"]).cast("double") / F.col("_size").cast("double")
-    # Rates are held to a millionth, so that they don't depend on the order of a sum.
-    rated = weighted.withColumn("_rate", F.floor(rate * F.lit(1e6)).cast("double") / F.lit(1e6))
+    rated = weighted.withColumn("_rate", rounded(rate))
     rated = rated.withColumn("_draws", F.greatest(F.lit(1), F.ceil(F.col("_rate") / STEP).cast("int")))
     return rated.select("_source", "_rate", "_draws", poisson_cdf(F.col("_rate") / F.col("_draws")).alias("_cdf"))
 

@@ -25,18 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as byte planes and read back."""
-    manifest = token_planes.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), special=True)
+    manifest = token_planes.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return token_planes.read_ids(manifest)
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics and verdict of all documents, after the lines that a source's documents share."""
-    return line_quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *line_quality.STATISTICS)
+    """Statistics and verdict of all documents, after the lines that more than 20 documents of a source share, near copies counted as one."""
+    limits = line_quality.Limits(share=0.0)
+    return line_quality.judge(table(spark, sf_dir, "documents"), limits=limits, near_once=True).select("doc_id", *line_quality.STATISTICS)
 
 
 def op3_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
-    pieces = exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
+    pieces = exact_packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return exact_packing.pack(pieces.drop("file", "at"))
 
 

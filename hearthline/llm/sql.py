@@ -11,6 +11,12 @@ WORD = r"'[^\x20\x09-\x0D]+'"
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 NORMALISED = f"trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), {BLANKS})"
 
+def rounded(rate: str) -> str:
+    """A rate with six significant digits at least."""
+    cuts = [f"when r >= 1e{6 - d} then floor(r * 1e{d}) / 1e{d}" for d in range(6, 27, 3)]
+    return f"(select case {' '.join(cuts)} else floor(r * 1e27) / 1e27 end from (select {rate} as r))"
+
+
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
@@ -40,15 +46,27 @@ SQL: dict[str, str] = {
 with docs as (
     select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), {WORD}) as words from documents
 ), lines as (
-    select doc_id, source, md5(text) as body, line, {NORMALISED} as plain, len(regexp_extract_all(line, {WORD})) as n
-    from (select doc_id, source, text, unnest(string_split(text, chr(10))) as line from docs)
+    select doc_id, source, md5(text) as body, pos, line, {NORMALISED} as plain, len(regexp_extract_all(line, {WORD})) as n
+    from (select doc_id, source, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from docs)
+), candidates as (
+    select source, plain, count(distinct body) as holders from lines where plain <> '' group by source, plain having count(distinct body) > 10
+), texts as (
+    select source, md5(text) as body, any_value(len(words)) as words from docs group by 1, 2
+), found as (
+    select l.source, l.body, l.plain, l.n, holders
+    from (select distinct source, body, pos, plain, n from lines) l join candidates c on l.source is not distinct from c.source and l.plain = c.plain
+), held as (
+    select source, body, sum(n) as common, min(row(holders, substr(md5(plain), 1, 16))) filter (holders > 20) as rarest from found group by source, body
+), marked as (
+    select h.source, h.body, words - common < 0.3 * words as near, case when words - common < 0.3 * words then rarest[2]::varchar else h.body end as mark
+    from held h join texts t on h.source is not distinct from t.source and h.body = t.body where rarest is not null
 ), over as (
-    select source, plain from lines where plain <> '' group by source, plain
-    having count(distinct body) > 20 and count(distinct body) > 0.1 * (select count(distinct md5(d.text)) from docs d where d.source = lines.source)
+    select f.source, plain from found f join marked m on f.source is not distinct from m.source and f.body = m.body where holders > 20
+    group by f.source, plain having count(distinct (near, mark)) > 20
 ), per_line as (
     select doc_id, count(*) filter (n > 0) - count(distinct line) filter (n > 0) as n_dup_lines,
         count(*) filter (o.plain is not null) as n_lines_removed, sum(case when o.plain is null then n else 0 end)::bigint as n_words_left
-    from lines l left join over o on o.source = l.source and o.plain = l.plain group by doc_id
+    from lines l left join over o on o.source is not distinct from l.source and o.plain = l.plain group by doc_id
 ), grams as (
     select doc_id, i, array_to_string(words[i:i + 7], ' ') as gram from (select doc_id, words, unnest(range(1, len(words) - 6)) as i from docs)
 ), again as (
@@ -95,12 +113,11 @@ with docs as (
 select doc_id, len(words)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
 from docs left join removed using (doc_id) left join kept using (doc_id)
 """,
-    "op6_poisson_mix": """
+    "op6_poisson_mix": f"""
 with recursive sizes as (
     select source, sum(length(coalesce(text, '')) + 1)::bigint as size from documents group by source
 ), rates as (
-    select source, floor(sqrt(size::double) / (select sum(sqrt(size::double)) from sizes) * 1.0 * (select sum(size) from sizes)::double / size::double * 1e6)
-        / 1e6 as rate
+    select source, {rounded("sqrt(size::double) / (select sum(sqrt(size::double)) from sizes) * 1.0 * (select sum(size) from sizes)::double / size::double")} as rate
     from sizes
 ), means as (
     select source, rate, greatest(1, ceil(rate / 8.0)::int) as draws, rate / greatest(1, ceil(rate / 8.0)::int) as mean from rates

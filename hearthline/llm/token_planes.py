@@ -156,7 +156,7 @@ def new_file(folder: str):
 
 def write_ids(
     df: DataFrame, vocabulary: str, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text",
-    spaced: bool = False, special: bool = False, planes: str = "byte", block: int = BLOCK, folder: str | None = None,
+    spaced: bool = False, special: bool = True, planes: str = "byte", block: int = BLOCK, folder: str | None = None,
 ) -> DataFrame:
     """Encode all texts and write their ids in files; returns the manifest.
 

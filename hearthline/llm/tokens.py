@@ -54,7 +54,7 @@ class TextEncoder:
     text.
     """
 
-    def __init__(self, file: str, end_id: int, spaced: bool, special: bool = False):
+    def __init__(self, file: str, end_id: int, spaced: bool, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
@@ -174,6 +174,6 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(file: str, end_id: int, spaced: bool, special: bool = False) -> TextEncoder:
+def encoder(file: str, end_id: int, spaced: bool, special: bool = True) -> TextEncoder:
     """One encoder for all tasks of a Python worker."""
     return TextEncoder(file, end_id, spaced, special)

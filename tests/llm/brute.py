@@ -22,7 +22,6 @@ def words(text):
 @cache
 def tokenizer(vocabulary):
     t = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    t.encode_special_tokens = True
     return t
 
 
@@ -152,7 +151,9 @@ def copies(docs, weights=None, temperature=2.0, epochs=1.0, seed=17):
     total = sum(weight.values())
     out = []
     for name, source, _ in docs:
-        rate = math.floor(weight[source] / total * epochs * sum(sizes.values()) / sizes[source] * 1e6) / 1e6 if total else 0.0
+        rate = weight[source] / total * epochs * sum(sizes.values()) / sizes[source] if total else 0.0
+        scale = next((float(f"1e{d}") for d in range(6, 27, 3) if rate >= float(f"1e{6 - d}")), 1e27)
+        rate = math.floor(rate * scale) / scale
         draws = max(1, math.ceil(rate / 8))
         key = "" if name is None else str(name)
         out.append(sum(poisson(rate / draws, uniform(key, str(seed), str(j))) for j in range(1, draws + 1)))
