@@ -2,11 +2,14 @@
 
 Only the number of pieces of each length matters for a plan, and lengths are bounded by
 the sequence length.  The plan is therefore made from one row per length, however large
-the corpus: repeatedly, for the longest length that is left, the gap up to the sequence
-length is looked up among single lengths, sums of pairs and sums of triples of what is
-still there, and the combination is used as often as its scarcest length allows.  Lengths
-without an exact complement are packed best fit decreasing.  A plan line says which
-lengths lie in a sequence and how many sequences are like that.
+the corpus.  An index has, for every sum, the pairs and triples of lengths that are still
+there.  Pieces that a single other piece completes are used up first.  Then, from the
+lengths just over half a sequence to the longest and on to short ones, the gap is looked
+up among the sums of pairs, then of triples, and the combination is used as often as its
+scarcest length allows and as the surplus does: of the pieces up to a length, the mass
+that the gaps up to that length can't take.  So long pieces are not left without the short
+ones that fit them.  What has no exact complement is packed best fit decreasing.  A plan
+line says which lengths lie in a sequence and how many sequences are like that.
 
 Pieces then find their place by their number among the pieces of their length.
 """
@@ -29,62 +32,110 @@ from hearthline.llm.tokens import SLICE_BYTES, encoder
 from hearthline.session import opened, scratch_path, settle
 
 Line = tuple[tuple[int, ...], int]
+SHARES = (0.1, 0.03, 0.01, 0.003, 0.001, 0.0)  # of the surplus that one line of pairs or triples may take
 
 
 class SumIndex:
-    """Lengths that are left, with lookups of one, two or three of them by their sum."""
+    """Lengths that are left, with the single lengths, pairs and triples of them by their sum.
+
+    ``pairs[sum]`` and ``triples[sum]`` have the longest length of each combination, from the
+    longest on; those that counts rule out are taken off when a sum is looked up.
+    """
 
     def __init__(self, left: np.ndarray):
         self.left = left
+        self.pairs: dict[int, np.ndarray] = {}
+        self.triples: dict[int, np.ndarray] = {}
 
     def has(self, *lengths: int) -> bool:
         return all(self.left[k] >= n for k, n in Counter(lengths).items())
 
-    def pair(self, total: int, most: int, besides: tuple[int, ...] = ()) -> tuple[int, int] | None:
-        """The pair with the longest first length, at most ``most``, that sums to ``total``."""
-        longer = np.arange(min(most, total - 1), (total - 1) // 2, -1)
-        longer = longer[(self.left[longer] > 0) & (self.left[total - longer] > 0)]
-        return next(((int(a), int(total - a)) for a in longer if self.has(a, total - a, *besides)), None)
-
-    def complement(self, length: int, full: int, terms: int) -> tuple[int, ...] | None:
-        """What fills a sequence that holds ``length``: up to ``terms`` lengths no longer than it."""
+    def pairs_of(self, total: int, most: int, least: int = 1, besides: tuple[int, ...] = ()) -> Iterator[tuple[int, int]]:
+        """Pairs that sum to ``total``, with the longest first length first; lengths are from ``least`` to ``most``."""
+        longer = self.pairs.get(total)
+        if longer is None:
+            longer = np.arange(total - 1, (total - 1) // 2, -1)
+        self.pairs[total] = longer = longer[(self.left[longer] > 0) & (self.left[total - longer] > 0)]
+        for a in longer[(longer <= most) & (total - longer >= least)].tolist():
+            if self.has(a, total - a, *besides):
+                yield a, total - a
+
+    def complement(self, length: int, full: int, terms: int, least: int = 1) -> tuple[int, ...] | None:
+        """What fills a sequence that holds ``length``: up to ``terms`` lengths no longer than it and, for two or more, from ``least`` on."""
         gap = full - length
         if terms >= 1 and gap <= length and self.has(length, gap):
             return (gap,)
-        if terms >= 2 and (found := self.pair(gap, length, (length,))):
+        if terms >= 2 and (found := next(self.pairs_of(gap, length, least, (length,)), None)):
             return found
-        for a in range(min(length, gap - 2), (gap - 1) // 3, -1) if terms >= 3 else ():
-            if self.left[a] > 0 and (found := self.pair(gap - a, a, (length, a))):
-                return (a, *found)
+        if terms >= 3:
+            longest = self.triples.get(gap)
+            if longest is None:
+                longest = np.arange(gap - 2, (gap - 1) // 3, -1)
+            self.triples[gap] = longest = longest[self.left[longest] > 0]
+            for a in longest[(longest <= length) & (gap - longest >= 2 * least)].tolist():
+                if found := next(self.pairs_of(gap - a, a, least, (length, a)), None):
+                    return (a, *found)
         return None
 
 
+def surplus(left: np.ndarray) -> np.ndarray:
+    """For each length, the mass of the pieces up to it that the gaps up to it, of sequences of one long piece, can't take."""
+    full = len(left) - 1
+    lengths = np.arange(full + 1)
+    gaps = np.where(lengths < full - full // 2, left[::-1] * lengths, 0)
+    return np.cumsum(left * lengths) - np.cumsum(gaps)
+
+
 def packing_plan(counts: dict[int, int], full: int) -> list[Line]:
     """Lengths of the sequences and how many there are of each kind, for so many pieces of each length.
 
-    Using up short pieces in sums of three can leave too few for the rest, so plans with
-    sums of at most three, two, one and no lengths are made, and the shortest is taken.
+    A line of pairs or triples takes at most a share of the surplus.  Where even that costs
+    a sequence against best fit alone, smaller shares are tried.
     """
-    return min((plan_with(counts, full, terms) for terms in (3, 2, 1, 0)), key=lambda plan: sum(times for _, times in plan))
-
-
-def plan_with(counts: dict[int, int], full: int, terms: int) -> list[Line]:
     left = np.zeros(full + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
+    limit = sum(times for _, times in best_fit(left, full))
+    for share in SHARES:
+        plan = exact_plan(left.copy(), full, share)
+        if sum(times for _, times in plan) <= limit:
+            return plan
+    return best_fit(left, full)
+
+
+def exact_plan(left: np.ndarray, full: int, share: float) -> list[Line]:
+    """The plan with exact complements of one, two and three lengths, these within ``share`` of the surplus."""
     plan: list[Line] = []
     if left[full]:
         plan.append(((full,), int(left[full])))
         left[full] = 0
     index = SumIndex(left)
+
+    def use(line: tuple[int, ...], most: int) -> None:
+        need = Counter(line)
+        times = min(most, *(int(left[k]) // n for k, n in need.items()))
+        for k, n in need.items():
+            left[k] -= times * n
+        plan.append((line, times))
+
     for length in range(full - 1, 0, -1):
-        while left[length] and (rest := index.complement(length, full, terms)):
-            line = (length, *rest)
-            need = Counter(line)
-            times = int(min(left[k] // n for k, n in need.items()))
-            for k, n in need.items():
-                left[k] -= times * n
-            plan.append((line, times))
+        while left[length] and (rest := index.complement(length, full, 1)):
+            use((length, *rest), int(left[length]))
+    half = full // 2
+    for length in [*range(half + 1, full), *range(half, 0, -1)] if share else ():
+        gap = full - length
+        while left[length]:
+            spare = share * surplus(left)
+            # Below the last length that has too little to spare, nothing is taken.
+            short = np.flatnonzero(spare[:gap] < gap)
+            rest = index.complement(length, full, 3, int(short[-1]) + 1 if len(short) else 1)
+            if rest is None:
+                break
+            taken = np.zeros(gap, np.int64)
+            for part in rest:
+                taken[part:] += part
+            held = taken > 0
+            use((length, *rest), max(1, int((spare[:gap][held] // taken[held]).min(initial=left[length]))))
     return plan + best_fit(left, full)
 
 

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+
 import corpus_pipeline
+from hearthline.llm import exact_packing
+from hearthline.llm.tokens import encoder
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
 COPIES = 4
@@ -34,3 +42,16 @@ def test_odd_rows(spark):
     found = corpus_pipeline.packing(spark, spark.createDataFrame(rows, SHAPE), "").collect()
     assert Counter(x.doc_id for x in found) == {None: 3, 1: 2, 2: 1}
     assert len({(x.sequence_id, x.offset) for x in found}) == 6
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="given tables are not here")
+def test_complements_of_the_given_table():
+    """On the given documents, pairs and triples fill sequences exactly, and cost none against best fit."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    _, counts = encoder(public_tokenizers.path("byte_bpe_50k.json"), 2, True).encode(texts)
+    sizes = exact_packing.cut(counts, 1024)[3]
+    plan = exact_packing.packing_plan({int(k): int(n) for k, n in zip(*np.unique(sizes, return_counts=True), strict=True)}, 1024)
+    used = {n: sum(times for line, times in plan if len(line) == n and sum(line) == 1024) for n in (2, 3, 4)}
+    assert used[2] > 100 and used[3] > 10 and used[4] > 0
+    total, limit = sum(times for _, times in plan), sum(times for _, times in exact_packing.best_fit(np.bincount(sizes, minlength=1025), 1024))
+    assert total <= limit
