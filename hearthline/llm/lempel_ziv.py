@@ -5,22 +5,28 @@ word and cut into blocks (range partitions); a place in it is one number.
 
 Index.  From every run of ``reach`` grams of ``gram`` words the smallest hash is an
 anchor, and ``reach + gram - 1`` is the shortest factor, so equal stretches of that many
-words have an anchor in common.  Anchors that occur once in all blocks are dropped.  For
-what is left, the window of the shortest factor's length around an anchor is indexed with
-the first place in any block that holds it.
-
-Parse.  A document is read from left to right.  Where the window at a word lies earlier
-in some block, a factor begins there, and it is prolonged greedily as long as the next
-window does too; else the word is a literal.  The windows across the border of two
-factors are looked up like all others, so a stretch that two blocks hold in part and a
-third one whole isn't missed.  Factors are at least the shortest factor's length; their
-words are the duplicate spans.
+words have an anchor in common.  Anchors that occur once in all blocks are dropped; of the
+others, the index has the first place.
+
+Parse.  The anchors of a document that lie at one distance from their places in one source
+are a chain.  The source's block hands out its words around the chain, a shortest factor's length
+to each side, where the next chain begins if the text goes on as in another source.  The
+document is matched with them word by word, to the left and to the right of the anchors as
+far as the words are equal.  Of the matches of at least the shortest factor's length, each next
+factor is that which reaches furthest; it is told by its source's place.
+
+Borders.  An anchor's first place need not be that of the longest match.  So the windows
+of the shortest factor's length that lie around repeated anchors and in no match, across
+the borders of factors above all, are looked up among each other by hash: one that lies
+earlier in any block is a duplicate as well.  The earliest window of its kind is in no
+match, so none is missed.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -84,30 +90,136 @@ def reference(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
 
 
 def repeated_anchors(corpus: DataFrame) -> DataFrame:
-    """(_place, repeated): the anchors of each document that occur elsewhere too."""
+    """(_place, _repeated): the anchors of each document that occur elsewhere too, each with its first place, as a document and a word of it."""
     listed = corpus.select("_place", F.explode(F.arrays_zip("_anchors", "_hashes")).alias("a")).select(
         "_place", F.col("a._anchors").alias("at"), F.col("a._hashes").alias("hash")
     )
+    # Documents are in the order of their places, so the smallest of each belong together.
+    firsts = listed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.col("_place") + F.col("at")).alias("first"), F.min("_place").alias("source"))
     # Written, so that the join's shuffles are its own and a hot anchor's rows can be split among tasks.
-    shared = settle(listed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "shared")
-    return listed.join(shared, "hash").groupBy("_place").agg(F.collect_list("at").alias("_repeated"))
+    shared = settle(firsts.where("n > 1").select("hash", "source", (F.col("first") - F.col("source")).cast("int").alias("source_at")), "shared")
+    return listed.join(shared, "hash").groupBy("_place").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("_repeated"))
+
+
+def chains(repeated: DataFrame) -> DataFrame:
+    """Runs of a document's anchors at one distance from one source: _place, at, until, source, source_at, source_until."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            lists = rows.column("_repeated")
+            doc = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            at, source, source_at = (lists.flatten().field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("at", "source", "source_at"))
+            place = rows.column("_place").to_numpy()[doc]
+            later = (source != place) | (source_at != at)
+            doc, at, source, source_at, place = (x[later] for x in (doc, at, source, source_at, place))
+            order = np.lexsort((at, doc))
+            doc, at, source, source_at, place = (x[order] for x in (doc, at, source, source_at, place))
+            fresh = np.ones(len(doc), bool)
+            fresh[1:] = (doc[1:] != doc[:-1]) | (source[1:] != source[:-1]) | (np.diff(source_at) != np.diff(at))
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(doc)) - 1 if len(first) else first
+            columns = [place[first], at[first], at[last], source[first], source_at[first], source_at[last]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], CHAIN)
+
+    return mapped(repeated, run, [], ", ".join(f"{c} long" for c in CHAIN))
+
+
+CHAIN = ["_place", "at", "until", "source", "source_at", "source_until"]
+
+
+def handed_out(corpus: DataFrame, found: DataFrame, text_col: str, length: int) -> DataFrame:
+    """(_place, _given): of each document, its chains with the hashes of the source's words around them.
+
+    A passage that many documents ask for is cut out of its source once.
+    """
+    asked = found.select("source", "source_at", "source_until").distinct()
+    asked = asked.groupBy("source").agg(F.collect_list(F.struct("source_at", "source_until")).alias("_asked"))
+    texts = corpus.where(F.col("_words") >= length).select("_place", F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in sliced(batches, "text"):
+            words = Words.of(rows.column("text"))
+            hashes, lists = words.hashes(SEEDS[0]), rows.column("_asked")
+            doc = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            first, last = (lists.flatten().field(f).to_numpy(zero_copy_only=False) for f in ("source_at", "source_until"))
+            begin = words.first[doc] + np.maximum(first - length, 0)
+            end = np.minimum(words.first[doc] + last + GRAM + length, words.first[doc + 1])
+            passages = [hashes[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            lead = words.first[doc] + first - begin
+            columns = [pa.array(rows.column("_place").to_numpy()[doc]), pa.array(first), pa.array(last), pa.array(lead), pa.array(passages, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["source", "source_at", "source_until", "lead", "passage"])
+
+    sources = texts.join(asked, F.col("_place") == F.col("source")).select("_place", "text", "_asked")
+    shape = "source long, source_at long, source_until long, lead long, passage binary"
+    passages = settle(mapped(sources, run, [], shape), "passages")
+    given = found.join(passages, ["source", "source_at", "source_until"])
+    entry = F.struct("at", (F.col("source") + F.col("source_at")).alias("from"), "lead", "passage")
+    return given.groupBy("_place").agg(F.collect_list(entry).alias("_given"))
+
+
+def matches(words: Words, hashes: np.ndarray, given: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end, and the source's place of all matches of at least ``length`` words with the passages handed out, by first word."""
+    lists = given.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    entries = given.flatten()
+    doc = np.repeat(np.arange(len(lists)), lists)
+    at, source, lead = (entries.field(f).to_numpy(zero_copy_only=False) for f in ("at", "from", "lead"))
+    begin, end = words.first[doc], words.first[doc + 1]
+    # Where the passage's first word would lie in the document.
+    origin = begin + at - lead
+    found: list[tuple[int, int, int]] = []
+    for o, lo, hi, s, n, passage in zip(origin.tolist(), begin.tolist(), end.tolist(), source.tolist(), lead.tolist(), entries.field("passage"), strict=True):
+        theirs = np.frombuffer(passage.as_buffer(), np.uint64)
+        a, b = max(o, lo), min(o + len(theirs), hi)
+        equal = np.zeros(b - a + 2, bool)
+        equal[1:-1] = hashes[a:b] == theirs[a - o : b - o]
+        edges = np.flatnonzero(equal[1:] != equal[:-1]).tolist()
+        for x, y in zip(edges[::2], edges[1::2], strict=True):
+            if y - x >= length:
+                found.append((a + x, a + y, s - n + a + x - o))
+    found.sort()
+    return tuple(np.array([m[i] for m in found], np.int64) for i in range(3))
+
+
+def inside(first: np.ndarray, end: np.ndarray, n: int, length: int) -> np.ndarray:
+    """For each of n + 1 words, whether the window from it on lies in a match."""
+    edges = np.zeros(n + 2, np.int64)
+    np.add.at(edges, first, 1)
+    np.add.at(edges, end - length + 1, -1)
+    return np.cumsum(edges)[: n + 1] > 0
+
+
+def greedy(first: np.ndarray, end: np.ndarray) -> list[int]:
+    """The matches that are factors: from each place on that which reaches furthest, for matches ordered by first word."""
+    out: list[int] = []
+    firsts, ends = first.tolist(), end.tolist()
+    k, at = 0, -1
+    while k < len(ends):
+        at, best = max(at, firsts[k]), -1
+        while k < len(ends) and firsts[k] <= at:
+            if ends[k] > (ends[best] if best >= 0 else at):
+                best = k
+            k += 1
+        if best >= 0:
+            out.append(best)
+            at = ends[best]
+    return out
 
 
 def candidates(words: Words, repeated: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The first words of the windows whose anchor is repeated, and the hashes of all words.
 
-    ``repeated`` lists, per text, the words its repeated anchors begin at.
+    ``repeated`` lists, per text, its repeated anchors.
     """
     hashes = words.hashes(SEEDS[0])
     window, at, _ = anchors(words, hashes, length)
     flags = np.zeros(len(hashes) + 1, bool)
     sizes = repeated.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    flags[np.repeat(words.first[:-1], sizes) + repeated.flatten().to_numpy(zero_copy_only=False)] = True
+    flags[np.repeat(words.first[:-1], sizes) + repeated.flatten().field("at").to_numpy(zero_copy_only=False)] = True
     return window[flags[at]], hashes
 
 
-def first_windows(corpus: DataFrame, repeated: DataFrame, text_col: str, length: int) -> DataFrame:
-    """(_place, firsts): of each document, the windows around repeated anchors that lie nowhere before.
+def first_windows(corpus: DataFrame, lists: DataFrame, text_col: str, length: int) -> DataFrame:
+    """(_place, firsts): of each document, the windows around repeated anchors that lie in no match and nowhere before.
 
     The windows are compared by 96 bits of hash.
     """
@@ -117,6 +229,8 @@ def first_windows(corpus: DataFrame, repeated: DataFrame, text_col: str, length:
         for rows in sliced(batches, "text"):
             words = Words.of(rows.column("text"))
             found, hashes = candidates(words, rows.column("_repeated"), length)
+            first, end, _ = matches(words, hashes, rows.column("_given"), length)
+            found = found[~inside(first, end, len(hashes), length)[found]]
             doc = np.searchsorted(words.first, found, "right") - 1
             place = rows.column("_place").to_numpy()[doc]
             one, two = (gram_hashes(h, length)[found] for h in (hashes, words.hashes(SEEDS[1])))
@@ -125,39 +239,64 @@ def first_windows(corpus: DataFrame, repeated: DataFrame, text_col: str, length:
                 [*codes, pa.array(place), pa.array(place + found - words.first[doc])], ["one", "two", "doc", "at"]
             )
 
-    windows = own.join(repeated, "_place").select("text", "_place", "_repeated").mapInArrow(run, "one long, two int, doc long, at long")
+    windows = own.join(lists, "_place").select("text", "_place", "_repeated", "_given").mapInArrow(run, "one long, two int, doc long, at long")
     firsts = windows.groupBy("one", "two").agg(F.min("at").alias("at"), F.min("doc").alias("doc"))
     return firsts.groupBy(F.col("doc").alias("_place")).agg(F.collect_list((F.col("at") - F.col("doc")).cast("int")).alias("_firsts"))
 
 
-def parsed(rows: pa.RecordBatch, text_col: str, length: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the rows' texts, which of them lie in factors, and each factor's first word and end."""
+class Parse(NamedTuple):
+    """Words of a batch, which of them are duplicates, the spans of these, and the factors."""
+
+    words: Words
+    gone: np.ndarray
+    opens: np.ndarray
+    closes: np.ndarray
+    first: np.ndarray  # of each factor, as its end and its source's place (-1: found at a border)
+    end: np.ndarray
+    source: np.ndarray
+
+
+def parsed(rows: pa.RecordBatch, text_col: str, length: int) -> Parse:
     words = Words.of(rows.column(text_col))
-    found, _ = candidates(words, rows.column("_repeated"), length)
+    found, hashes = candidates(words, rows.column("_repeated"), length)
+    first, end, source = matches(words, hashes, rows.column("_given"), length)
+    covered = inside(first, end, len(hashes), length)
     firsts = rows.column("_firsts")
     sizes = firsts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    earlier = np.zeros(len(words.starts) + 1, bool)
-    earlier[found] = True
-    earlier[np.repeat(words.first[:-1], sizes) + firsts.flatten().to_numpy(zero_copy_only=False)] = False
-    # A factor runs over consecutive windows that lie earlier, and never into the next text.
-    window = np.flatnonzero(earlier)
-    opens = window[np.flatnonzero(np.diff(window, prepend=-2) > 1)]
-    closes = window[np.flatnonzero(np.diff(window, append=len(earlier) + 1) > 1)] + length
-    edges = np.zeros(len(words.starts) + 1, np.int64)
+    border = np.zeros(len(hashes) + 1, bool)
+    border[found] = True
+    border[covered] = False
+    border[np.repeat(words.first[:-1], sizes) + firsts.flatten().to_numpy(zero_copy_only=False)] = False
+    opens, closes = spans(covered | border, length)
+    at_borders = spans(border, length)
+    chosen = greedy(first, end)
+    first, end = np.concatenate([first[chosen], at_borders[0]]), np.concatenate([end[chosen], at_borders[1]])
+    source = np.concatenate([source[chosen], np.full(len(at_borders[0]), -1)])
+    order = np.argsort(first, kind="stable")
+    edges = np.zeros(len(hashes) + 1, np.int64)
     np.add.at(edges, opens, 1)
     np.add.at(edges, closes, -1)
-    return words, np.cumsum(edges)[:-1] > 0, opens, closes
+    return Parse(words, np.cumsum(edges)[:-1] > 0, opens, closes, first[order], end[order], source[order])
+
+
+def spans(windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and ends of the stretches that consecutive windows cover; none reaches into the next text."""
+    window = np.flatnonzero(windows)
+    opens = window[np.flatnonzero(np.diff(window, prepend=-2) > 1)]
+    closes = window[np.flatnonzero(np.diff(window, append=len(windows) + 1) > 1)] + length
+    return opens, closes
 
 
 RESULTS = ["n_words", "n_removed", "kept_sha256", "factors", "clean_text"]
-TYPES = "n_words long, n_removed long, kept_sha256 string, factors array<struct<first:int,last:int>>"
+TYPES = "n_words long, n_removed long, kept_sha256 string, factors array<struct<first:int,last:int,source:long>>"
 
 
 def parse(df: DataFrame, length: int = 20, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """All rows with their duplicate spans.
 
     Adds n_words, n_removed, kept_sha256 (of the kept words joined by a space), factors
-    (first word and end of each duplicate span) and clean_text: the text without the
+    (first word, end and the place of the source in the corpus, null for those found at
+    borders; together they are the duplicate spans) and clean_text: the text without the
     spans, each cut up to the next kept word.  Null texts have no words and stay null.
     Of repeated rows the first in order is the source of the others.  Columns named like
     a result are replaced.
@@ -172,33 +311,41 @@ def parsed_rows(df: DataFrame, length: int, id_col: str, text_col: str, with_tex
         raise ValueError(f"factors have more than {GRAM} words")
     corpus = reference(df, id_col, text_col, length)
     repeated = settle(repeated_anchors(corpus), "repeated")
-    firsts = settle(first_windows(corpus, repeated, text_col, length), "firsts")
+    found = settle(chains(repeated), "chains")
+    given = settle(handed_out(corpus, found, text_col, length), "given")
+    lists = repeated.join(given, "_place", "left")
+    firsts = settle(first_windows(corpus, lists, text_col, length), "firsts")
     kept = df.columns
     # Documents without a window may share their place with others and have no entry in either list;
     # they get keys of their own, which no place has, so that they don't meet in one task.
     listed = F.when(F.col("_words") >= length, F.col("_place")).otherwise(F.least(F.lit(-1), F.xxhash64(id_col, text_col)))
     own = corpus.select(*kept, listed.alias("_listed"))
-    lists = repeated.join(firsts, "_place", "left")
+    lists = lists.join(firsts, "_place", "left")
     joined = own.join(lists, F.col("_listed") == F.col("_place"), "left").drop("_listed", "_place")
     added = TYPES + ", clean_text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, text_col):
-            words, gone, opens, closes = parsed(rows, text_col, length)
+            found = parsed(rows, text_col, length)
+            words, gone = found.words, found.gone
             counts = words.counts()
             total = np.concatenate(([0], np.cumsum(gone)))
             removed = total[words.first[1:]] - total[words.first[:-1]]
-            doc = np.searchsorted(words.first, opens, "right") - 1
-            spans = pa.StructArray.from_arrays(
-                [pa.array(opens - words.first[doc], pa.int32()), pa.array(closes - words.first[doc], pa.int32())], ["first", "last"]
-            )
-            edges = pa.array(np.searchsorted(opens, words.first), pa.int32())
+            doc = np.searchsorted(words.first, found.first, "right") - 1
+            factors = pa.StructArray.from_arrays(
+                [
+                    pa.array(found.first - words.first[doc], pa.int32()), pa.array(found.end - words.first[doc], pa.int32()),
+                    pa.array(found.source, pa.int64(), mask=found.source < 0),
+                ],
+                ["first", "last", "source"],
+            )
+            edges = pa.array(np.searchsorted(found.first, words.first), pa.int32())
             columns = [
                 *(rows.column(c) for c in kept), pa.array(counts), pa.array(removed), pa.array(digests(words, gone)),
-                pa.ListArray.from_arrays(edges, spans),
+                pa.ListArray.from_arrays(edges, factors),
             ]
             if with_text:
-                columns.append(pa.array(cleaned(words, removed, opens, closes, rows.column(text_col)), pa.string()))
+                columns.append(pa.array(cleaned(words, removed, found.opens, found.closes, rows.column(text_col)), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [*kept, *RESULTS[: 4 + with_text]])
 
     return mapped(joined, run, kept, added)
