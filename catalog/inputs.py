@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -329,13 +329,17 @@ INPUTS = {
 }
 
 
+def _submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    # Both tables grow alike, so they are shuffled at every size, as they would be at scale.
+    return lines.join(orders.hint("shuffle_merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input as a Spark frame."""
     source, columns, where = INPUTS[name]
     if source == SUBMISSIONS:
-        lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-        # Both tables grow alike, so they are shuffled at every size, as they would be at scale.
-        df = lines.join(orders.hint("shuffle_merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        df = _submissions(spark, sf_dir)
     else:
         df = table(spark, sf_dir, source)
     if where:
@@ -343,6 +347,31 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.select(*[F.expr(e).alias(n) for n, e in columns])
 
 
+def raw_sheets(spark: SparkSession, sf_dir: str, sheets: dict[str, str]) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Inputs over one source in one frame, read once: the rows with a ``sheet`` tag, and the columns of each tag.
+
+    ``sheets`` maps a tag to an input.  What a column that a row's own input lacks holds is not told.
+    """
+    columns: dict[str, dict[str, str]] = {tag: {n: e for n, e in INPUTS[name][1]} for tag, name in sheets.items()}
+    (source,) = {INPUTS[name][0] for name in sheets.values()}
+    df = _submissions(spark, sf_dir) if source == SUBMISSIONS else table(spark, sf_dir, source)
+    tag = F.lit(None).cast("string")
+    for label, name in sheets.items():
+        tag = F.when(F.expr(INPUTS[name][2]), label).otherwise(tag)
+    marked = df.withColumn("sheet", tag)
+
+    def value(name: str) -> Column:
+        having = {label: F.expr(own[name]) for label, own in columns.items() if name in own}
+        # No row of another sheet is asked for the columns of one.
+        out = None if len(having) > 1 else next(iter(having.values()))
+        for label, own in having.items() if out is None else ():
+            out = F.when(F.col("sheet") == label, own) if out is None else out.when(F.col("sheet") == label, own)
+        return out.alias(name)
+
+    every = dict.fromkeys(n for own in columns.values() for n in own)
+    return marked.select("sheet", *[value(n) for n in every]), {label: list(own) for label, own in columns.items()}
+
+
 def raw_sql(name: str) -> str:
     """The same input as a SQL query."""
     source, columns, where = INPUTS[name]

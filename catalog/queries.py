@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.inputs import raw, table
+from catalog.inputs import raw, raw_sheets, table
 from hearthline.functions import dates, domains, numbers, text
 from hearthline.operators import calendar, dedupe, history, privacy, quality, rollup, trends
 from hearthline.operators.lookup import backfill_nulls
@@ -263,8 +263,8 @@ def volume_by_product(spark, sf):
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    sheets = raw(spark, sf, "external_sheet"), raw(spark, sf, "internal_sheet")
-    return procurement.fact_procurement(procurement.conform_union(*sheets))
+    rows, sheets = raw_sheets(spark, sf, {procurement.EXTERNAL: "external_sheet", procurement.INTERNAL: "internal_sheet"})
+    return procurement.fact_procurement(procurement.conform_tagged(rows, "sheet", sheets))
 
 
 def _view(spark: SparkSession, sf: str) -> DataFrame:

@@ -96,6 +96,27 @@ def conform_union(external: DataFrame | None, internal: DataFrame | None, **opti
     return union_all(parts)
 
 
+def conform_tagged(df: DataFrame, tag: str, sheets: Mapping[str, Sequence[str]], also: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """As ``conform_union``, for rows of several sheets that lie in one frame, which is then read once.
+
+    ``tag`` names the column that says which source a row is from, and ``sheets`` has the
+    columns of each source: a standard column is taken from the first accepted name that
+    the row's own sheet has.  Rows of other tags are left out.
+    """
+    extra = also or {}
+    records = {source: Record.of(df.select(*[F.col(f"`{c}`") for c in own])) for source, own in sheets.items()}
+
+    def picked(target: str, names: str) -> Column:
+        own = {s: first_existing(r, *names.split(), *extra.get(target, ()), ignore_case=True) for s, r in records.items()}
+        (_, out), *others = own.items()
+        for source, value in others:
+            out = F.when(F.col(tag) == source, value).otherwise(out)
+        return out.alias(target)
+
+    known = df.filter(F.col(tag).isin(list(sheets)))
+    return known.select(F.col(tag).alias("source_type"), *[picked(t, n) for t, n in SHEET_COLUMNS.items()])
+
+
 def address_key(address: Column, zip_code: Column) -> Column:
     """``address|zip`` with blanks for unknown parts; NULL when both are unknown."""
     both = F.concat_ws("|", F.coalesce(address, F.lit("")), F.coalesce(zip_code, F.lit("")))
