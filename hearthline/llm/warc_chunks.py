@@ -46,7 +46,8 @@ def dedup_plan(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     skew handling.  A null payload is empty.  A null id revisits, if there is another id;
     rows that share the largest id are all responses.
     """
-    payload = F.coalesce(F.encode(col(payload_col).cast("string"), "utf-8"), F.lit(b""))
+    # A string's own bytes, which are UTF-8: encoding would take copies of the whole payload.
+    payload = F.coalesce(col(payload_col).cast("string").cast("binary"), F.lit(b""))
     rows = pages.select(col(id_col).cast("long").alias("page_id"), col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
     large = rows.where(F.col("payload_bytes") >= least)
@@ -61,13 +62,17 @@ def dedup_plan(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 def chunk_rows(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Rows of (record, chunk number, bytes); a revisit and an empty payload have one empty chunk."""
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    n = F.greatest(F.lit(1), F.ceil(F.octet_length(body) / chunk)).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substring(body, k * chunk + 1, F.lit(chunk)))
-    listed = records.select(*[c for c in records.columns if c != "payload"], n.alias("_n"), F.posexplode(parts).alias("chunk", "data"))
+    """Rows of (record, chunk number, bytes); a revisit and an empty payload have one empty chunk.
+
+    Chunk numbers are listed and each cuts its own bytes, so beside the payload itself there
+    is one chunk of it at a time.
+    """
+    response = F.col("record_type") == "response"
+    n = F.when(response, F.greatest(F.lit(1), F.ceil(F.col("payload_bytes") / chunk))).otherwise(1).cast("int")
+    listed = records.withColumn("_n", n).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    data = F.when(response, F.substring("payload", F.col("chunk") * chunk + 1, F.lit(chunk))).otherwise(F.lit(b""))
     return listed.select(
-        "record_type", "page_id", "refers_to", "url", "digest", "payload_bytes", "chunk", (F.col("chunk") == F.col("_n") - 1).alias("last"), "data"
+        "record_type", "page_id", "refers_to", "url", "digest", "payload_bytes", "chunk", (F.col("chunk") == F.col("_n") - 1).alias("last"), data.alias("data")
     )
 
 
@@ -96,13 +101,15 @@ def header(row: dict) -> bytes:
 def write_archives(chunks: DataFrame, level: int = 3, folder: str | None = None) -> DataFrame:
     """Write the chunks' records; returns the manifest (file, records).
 
-    A record's chunks must follow each other in their partition, as ``chunk_rows`` leaves them.
+    A record's chunks must follow each other in their partition, as ``chunk_rows`` leaves
+    them.  The writer carries each record's SHA-1 and length from chunk to chunk and compares
+    them with the record's at its end, so a header never tells of other bytes than follow it.
     """
     folder = folder or scratch_path(chunks.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
-        out, n, pack = None, 0, None
+        out, n, pack, digest, length = None, 0, None, hashlib.sha1(), 0
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
@@ -112,8 +119,13 @@ def write_archives(chunks: DataFrame, level: int = 3, folder: str | None = None)
                 if row["chunk"] == 0:
                     pack = zlib.compressobj(level, zlib.DEFLATED, 31)
                     out.write(pack.compress(header(row)))
+                    digest, length = hashlib.sha1(), 0
                 out.write(pack.compress(row["data"]))
+                digest.update(row["data"])
+                length += len(row["data"])
                 if row["last"]:
+                    if row["record_type"] == "response" and (digest.hexdigest(), length) != (row["digest"], row["payload_bytes"]):
+                        raise ValueError(f"the chunks of page {row['page_id']} are not its payload")
                     out.write(pack.compress(b"\r\n\r\n") + pack.flush())
                     n += 1
         if out is not None:
