@@ -86,6 +86,16 @@ def drop_written() -> None:
             continue
 
 
+def release(*settled: DataFrame) -> None:
+    """Delete tables that ``settle`` has written, once nothing will read them any more."""
+    for df in settled:
+        path = getattr(df, "_settled_at", None)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+            system, place = opened(path)
+            system.delete_dir(place)
+
+
 def opened(path: str) -> tuple[FileSystem, str]:
     """The store that a path lies in, and the path within it, for file access from tasks."""
     from pyarrow import fs
@@ -166,4 +176,6 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     with freed_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._settled_at = path
+    return stored
