@@ -36,10 +36,11 @@ from pyspark.sql import functions as F
 
 from hearthline.llm.common import mapped, numbered, restored, sliced
 from hearthline.llm.words import Words, fits, gram_hashes, lowest_of
-from hearthline.session import settle
+from hearthline.session import release, settle
 
 GRAM = 8
 SEEDS = (11, 23)
+FAR = 200  # words between anchors of one chain at most
 
 
 def anchors(words: Words, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,11 +99,17 @@ def repeated_anchors(corpus: DataFrame) -> DataFrame:
     firsts = listed.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.col("_place") + F.col("at")).alias("first"), F.min("_place").alias("source"))
     # Written, so that the join's shuffles are its own and a hot anchor's rows can be split among tasks.
     shared = settle(firsts.where("n > 1").select("hash", "source", (F.col("first") - F.col("source")).cast("int").alias("source_at")), "shared")
-    return listed.join(shared, "hash").groupBy("_place").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("_repeated"))
+    out = settle(listed.join(shared, "hash").groupBy("_place").agg(F.collect_list(F.struct("at", "source", "source_at")).alias("_repeated")), "repeated")
+    release(shared)
+    return out
 
 
 def chains(repeated: DataFrame) -> DataFrame:
-    """Runs of a document's anchors at one distance from one source: _place, at, until, source, source_at, source_until."""
+    """Anchors of a document at one distance from one source, from the first to the last: _place, at, until, source, source_at, source_until.
+
+    Chains with many anchors come first, and one that lies within those before isn't asked
+    for: its words are most likely theirs as well, and if not, they are looked up as windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -111,19 +118,37 @@ def chains(repeated: DataFrame) -> DataFrame:
             at, source, source_at = (lists.flatten().field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("at", "source", "source_at"))
             place = rows.column("_place").to_numpy()[doc]
             later = (source != place) | (source_at != at)
-            doc, at, source, source_at, place = (x[later] for x in (doc, at, source, source_at, place))
-            order = np.lexsort((at, doc))
-            doc, at, source, source_at, place = (x[order] for x in (doc, at, source, source_at, place))
+            doc, at, source, place, distance = (x[later] for x in (doc, at, source, place, source_at - at))
+            order = np.lexsort((at, distance, source, doc))
+            doc, at, source, place, distance = (x[order] for x in (doc, at, source, place, distance))
             fresh = np.ones(len(doc), bool)
-            fresh[1:] = (doc[1:] != doc[:-1]) | (source[1:] != source[:-1]) | (np.diff(source_at) != np.diff(at))
+            fresh[1:] = (np.diff(doc) != 0) | (np.diff(source) != 0) | (np.diff(distance) != 0) | (np.diff(at) > FAR)
             first = np.flatnonzero(fresh)
             last = np.append(first[1:], len(doc)) - 1 if len(first) else first
-            columns = [place[first], at[first], at[last], source[first], source_at[first], source_at[last]]
+            kept = outermost(doc[first], at[first], at[last], last - first)
+            first, last = first[kept], last[kept]
+            columns = [place[first], at[first], at[last], source[first], at[first] + distance[first], at[last] + distance[first]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], CHAIN)
 
     return mapped(repeated, run, [], ", ".join(f"{c} long" for c in CHAIN))
 
 
+def outermost(doc: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The stretches that aren't within heavier ones of their document."""
+    kept = []
+    covered, current = np.zeros(0, bool), -1
+    until = np.zeros(int(doc.max(initial=-1)) + 1, np.int64)
+    np.maximum.at(until, doc, last + 1)
+    order = np.lexsort((first, -weight, doc))
+    for k, d, a, b in zip(order.tolist(), doc[order].tolist(), first[order].tolist(), last[order].tolist(), strict=True):
+        if d != current:
+            covered, current = np.zeros(int(until[d]), bool), d
+        if not covered[a : b + 1].all():
+            covered[a : b + 1] = True
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
 CHAIN = ["_place", "at", "until", "source", "source_at", "source_until"]
 
 
@@ -154,7 +179,9 @@ def handed_out(corpus: DataFrame, found: DataFrame, text_col: str, length: int)
     passages = settle(mapped(sources, run, [], shape), "passages")
     given = found.join(passages, ["source", "source_at", "source_until"])
     entry = F.struct("at", (F.col("source") + F.col("source_at")).alias("from"), "lead", "passage")
-    return given.groupBy("_place").agg(F.collect_list(entry).alias("_given"))
+    out = settle(given.groupBy("_place").agg(F.collect_list(entry).alias("_given")), "given")
+    release(passages)
+    return out
 
 
 def matches(words: Words, hashes: np.ndarray, given: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,13 +235,13 @@ def greedy(first: np.ndarray, end: np.ndarray) -> list[int]:
 def candidates(words: Words, repeated: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The first words of the windows whose anchor is repeated, and the hashes of all words.
 
-    ``repeated`` lists, per text, its repeated anchors.
+    ``repeated`` lists, per text, the words its repeated anchors begin at.
     """
     hashes = words.hashes(SEEDS[0])
     window, at, _ = anchors(words, hashes, length)
     flags = np.zeros(len(hashes) + 1, bool)
     sizes = repeated.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    flags[np.repeat(words.first[:-1], sizes) + repeated.flatten().field("at").to_numpy(zero_copy_only=False)] = True
+    flags[np.repeat(words.first[:-1], sizes) + repeated.flatten().to_numpy(zero_copy_only=False)] = True
     return window[flags[at]], hashes
 
 
@@ -310,10 +337,11 @@ def parsed_rows(df: DataFrame, length: int, id_col: str, text_col: str, with_tex
     if length <= GRAM:
         raise ValueError(f"factors have more than {GRAM} words")
     corpus = reference(df, id_col, text_col, length)
-    repeated = settle(repeated_anchors(corpus), "repeated")
+    repeated = repeated_anchors(corpus)
     found = settle(chains(repeated), "chains")
-    given = settle(handed_out(corpus, found, text_col, length), "given")
-    lists = repeated.join(given, "_place", "left")
+    given = handed_out(corpus, found, text_col, length)
+    release(found)
+    lists = repeated.select("_place", F.col("_repeated.at").alias("_repeated")).join(given, "_place", "left")
     firsts = settle(first_windows(corpus, lists, text_col, length), "firsts")
     kept = df.columns
     # Documents without a window may share their place with others and have no entry in either list;
