@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog.inputs import raw, table
-from catalog.queries import MONEY, _loans, parts_grid, query
+from catalog.queries import MONEY, _loans, dropped_after, query
 from hearthline.functions.text import as_text
 from hearthline.operators import quality
+from hearthline.operators.lookup import backfill_nulls
 from hearthline.plans import reports, runs, star
 from hearthline.schema import Record, safe_col
 from hearthline.session import scratch_path, settle
@@ -25,13 +26,6 @@ RUN = "2024-01-20 00:00:00"
 BUCKETS = 4
 
 
-def dropped_after(df: DataFrame, database: str, label: str) -> DataFrame:
-    """The result, computed and written, after which the query's database goes."""
-    out = settle(df, label)
-    df.sparkSession.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-    return out
-
-
 @query
 def scd2_in_batches(spark, sf):
     """Type-2 versions of all events, merged into a kept table in three batches by time; one batch is sent twice."""
@@ -124,8 +118,7 @@ def closings_from_buckets(spark, sf):
     """Monthly closings over three star tables that are stored by loan in equal buckets, and joined as they lie."""
     database = f"star_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {database}")
-    out = dropped_after(reports.monthly_closings(bucketed_base(spark, sf, database), "EEP"), database, "closings")
-    return out
+    return dropped_after(reports.monthly_closings(bucketed_base(spark, sf, database), "EEP"), database, "closings")
 
 
 def bucketed_base(spark: SparkSession, sf: str, database: str) -> DataFrame:
@@ -227,8 +220,6 @@ def star_partners_all_columns(spark, sf):
 @query
 def backfill_reduced(spark, sf):
     """Gaps of a few orders, filled from a patch that holds every order three times."""
-    from hearthline.operators.lookup import backfill_nulls
-
     orders = table(spark, sf, "orders")
     holed = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, as_text(F.col("o_orderpriority"))).alias("priority"))
     version = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("version")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.inputs import raw, table
-from catalog.queries import MONEY, _calendar, parts_grid, query
+from catalog.queries import MONEY, _calendar, dropped_after, parts_grid, query
 from hearthline.functions import names
 from hearthline.operators import trends
 from hearthline.plans import reports, runs, star
@@ -130,8 +130,8 @@ def curate_sheets(spark, sf):
         )
         out = back if out is None else out.unionByName(back)
     if out is None:
-        return spark.sql("select '' as sheet, '' as dt, 0L as parts, 0L as sizes, '' as numbers where false")
-    return out
+        out = spark.sql("select '' as sheet, '' as dt, 0L as parts, 0L as sizes, '' as numbers where false")
+    return dropped_after(out, database, "curated-back")
 
 
 @query
@@ -179,6 +179,8 @@ def sinks_read_back(spark, sf):
     for name, rows in targets.items():
         added = rows.agg(F.lit(name).alias("target"), F.count(F.lit(1)).alias("rows"), F.sum("price").alias("total"))
         out = added if out is None else out.unionByName(added)
+    out = dropped_after(out, database, "sinks-back")
+    spark.catalog.dropTempView(f"{database}_view")
     return out
 
 

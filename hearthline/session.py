@@ -91,9 +91,9 @@ def release(*settled: DataFrame) -> None:
     for df in settled:
         path = getattr(df, "_settled_at", None)
         if path in _WRITTEN:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
             _WRITTEN.remove(path)
-            system, place = opened(path)
-            system.delete_dir(place)
 
 
 def opened(path: str) -> tuple[FileSystem, str]:
