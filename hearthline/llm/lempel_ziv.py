@@ -9,8 +9,8 @@ words have an anchor in common.  Anchors that occur once in all blocks are dropp
 others, the index has the first place.
 
 Parse.  The anchors of a document that lie at one distance from their places in one source
-are a chain.  The source's block hands out its words around the chain, a shortest factor's length
-to each side, where the next chain begins if the text goes on as in another source.  The
+are a chain.  The source's block hands out its words around the chain, as far as windows with
+its anchors reach, where the next chain begins if the text goes on as in another source.  The
 document is matched with them word by word, to the left and to the right of the anchors as
 far as the words are equal.  Of the matches of at least the shortest factor's length, each next
 factor is that which reaches furthest; it is told by its source's place.
@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import mapped, numbered, restored, sliced
-from hearthline.llm.words import Words, fits, gram_hashes, lowest_of
+from hearthline.llm.words import Words, fits, gram_hashes, lowest_of, mixed
 from hearthline.session import release, settle
 
 GRAM = 8
-SEEDS = (11, 23)
+SEED = 11
+OTHER = np.uint64(0xD6E8FEB86659FD93)  # for a second hash of the same words
 FAR = 200  # words between anchors of one chain at most
 
 
@@ -65,7 +66,7 @@ def reference(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
         part, before = TaskContext.get().partitionId(), 0
         for rows in sliced(batches, text_col):
             words = Words.of(rows.column(text_col))
-            _, at, grams = anchors(words, words.hashes(SEEDS[0]), length)
+            _, at, grams = anchors(words, words.hashes(SEED), length)
             at = at[np.flatnonzero(np.diff(at, prepend=-1))]
             edges = pa.array(np.searchsorted(at, words.first), pa.int32())
             inner = at - words.first[np.searchsorted(words.first, at, "right") - 1]
@@ -105,8 +106,10 @@ def repeated_anchors(corpus: DataFrame) -> DataFrame:
 
 
 def chains(repeated: DataFrame) -> DataFrame:
-    """Anchors of a document at one distance from one source, from the first to the last: _place, at, until, source, source_at, source_until.
+    """Anchors of a document at one distance from one source: _place, and ``at``, where ``source_at`` of ``source`` lies in it.
 
+    The source's words from ``source_at`` to ``source_until`` hold the chain; in long chains
+    they reach further, and ``at`` may lie before the document.
     Chains with many anchors come first, and one that lies within those before isn't asked
     for: its words are most likely theirs as well, and if not, they are looked up as windows.
     """
@@ -127,7 +130,11 @@ def chains(repeated: DataFrame) -> DataFrame:
             last = np.append(first[1:], len(doc)) - 1 if len(first) else first
             kept = outermost(doc[first], at[first], at[last], last - first)
             first, last = first[kept], last[kept]
-            columns = [place[first], at[first], at[last], source[first], at[first] + distance[first], at[last] + distance[first]]
+            # Ends are rounded outwards, the more the longer a chain, so that few different passages are asked of a source.
+            step = 1 << np.maximum(3, np.log2(np.maximum(at[last] - at[first], 1)).astype(np.int64) - 2)
+            begin, until = at[first] + distance[first], at[last] + distance[first]
+            more = begin % step
+            columns = [place[first], at[first] - more, source[first], begin - more, -(-until // step) * step]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], CHAIN)
 
     return mapped(repeated, run, [], ", ".join(f"{c} long" for c in CHAIN))
@@ -149,7 +156,7 @@ def outermost(doc: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.n
     return np.array(kept, np.int64)
 
 
-CHAIN = ["_place", "at", "until", "source", "source_at", "source_until"]
+CHAIN = ["_place", "at", "source", "source_at", "source_until"]
 
 
 def handed_out(corpus: DataFrame, found: DataFrame, text_col: str, length: int) -> DataFrame:
@@ -164,11 +171,13 @@ def handed_out(corpus: DataFrame, found: DataFrame, text_col: str, length: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, "text"):
             words = Words.of(rows.column("text"))
-            hashes, lists = words.hashes(SEEDS[0]), rows.column("_asked")
+            hashes, lists = words.hashes(SEED), rows.column("_asked")
             doc = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
             first, last = (lists.flatten().field(f).to_numpy(zero_copy_only=False) for f in ("source_at", "source_until"))
-            begin = words.first[doc] + np.maximum(first - length, 0)
-            end = np.minimum(words.first[doc] + last + GRAM + length, words.first[doc + 1])
+            # A window around an anchor has so many words beside it at most.
+            beside = length - GRAM
+            begin = words.first[doc] + np.maximum(first - beside, 0)
+            end = np.minimum(words.first[doc] + last + GRAM + beside, words.first[doc + 1])
             passages = [hashes[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
             lead = words.first[doc] + first - begin
             columns = [pa.array(rows.column("_place").to_numpy()[doc]), pa.array(first), pa.array(last), pa.array(lead), pa.array(passages, pa.binary())]
@@ -237,7 +246,7 @@ def candidates(words: Words, repeated: pa.Array, length: int) -> tuple[np.ndarra
 
     ``repeated`` lists, per text, the words its repeated anchors begin at.
     """
-    hashes = words.hashes(SEEDS[0])
+    hashes = words.hashes(SEED)
     window, at, _ = anchors(words, hashes, length)
     flags = np.zeros(len(hashes) + 1, bool)
     sizes = repeated.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -260,7 +269,7 @@ def first_windows(corpus: DataFrame, lists: DataFrame, text_col: str, length: in
             found = found[~inside(first, end, len(hashes), length)[found]]
             doc = np.searchsorted(words.first, found, "right") - 1
             place = rows.column("_place").to_numpy()[doc]
-            one, two = (gram_hashes(h, length)[found] for h in (hashes, words.hashes(SEEDS[1])))
+            one, two = (gram_hashes(h, length)[found] for h in (hashes, mixed(hashes ^ OTHER)))
             codes = pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [*codes, pa.array(place), pa.array(place + found - words.first[doc])], ["one", "two", "doc", "at"]
