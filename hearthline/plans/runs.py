@@ -42,7 +42,7 @@ def extract_run(
         stamped = publish.lineage_columns(land(rows), publish.extraction_stamps(run_ts, "documents", source.collection))
         outcome = publish.skip_if_empty(stamped, lambda df: publish.write_verified(df, source.output(base), mode))
         if outcome.get("written"):
-            remember_schema(spark, source.output(base), run_ts)
+            remember_schema(spark, source.output(base), run_ts, replaced=mode == "full")
         return outcome
 
     return publish.run_log(spark, run_each(sources, job, at_once, spark), run_ts)

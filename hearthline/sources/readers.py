@@ -40,7 +40,7 @@ def _schema_log(spark: SparkSession, path: str) -> CommitLog:
     return CommitLog(spark, f"{folder}/_schemas/{name}")
 
 
-def remember_schema(spark: SparkSession, path: str, run_ts: str | None = None) -> dict:
+def remember_schema(spark: SparkSession, path: str, run_ts: str | None = None, replaced: bool = False) -> dict:
     """Keep the merged schema of a folder's files, and when which columns came; returns the state.
 
     The state holds the schema, the newest modification time that it covers, the files of
@@ -50,7 +50,7 @@ def remember_schema(spark: SparkSession, path: str, run_ts: str | None = None) -
     log = _schema_log(spark, path)
 
     def merged(state: dict) -> dict | None:
-        mark, known = state.get("mark"), set(state.get("at_mark", []))
+        mark, known = (None, set()) if replaced else (state.get("mark"), set(state.get("at_mark", [])))
         files = list_files(spark, path).filter(F.col("path").endswith(".parquet")).select("path", "modificationTime")
         fresh = files if mark is None else files.filter(F.unix_millis("modificationTime") >= mark)
         newest = fresh.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
@@ -64,16 +64,18 @@ def remember_schema(spark: SparkSession, path: str, run_ts: str | None = None) -
             if not paths:
                 return None
             found = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*paths).schema
-        before = T.StructType.fromJson(state["schema"]) if state else T.StructType()
+        stored = T.StructType.fromJson(state["schema"]) if state else T.StructType()
+        before = T.StructType() if replaced else stored
         kinds = {f.name: f.dataType for f in before.fields}
         changed = [f.name for f in found.fields if f.name in kinds and kinds[f.name] != f.dataType]
         if changed:
             raise ValueError(f"columns of {path} have changed their type: {changed}")
         added = [f for f in found.fields if f.name not in kinds]
-        entry = {"run_ts": run_ts, "added": {f.name: f.dataType.simpleString() for f in added}}
+        fresh_fields = [f for f in added if f not in stored.fields]
+        entry = {"run_ts": run_ts, "added": {f.name: f.dataType.simpleString() for f in fresh_fields}}
         return {
             "schema": T.StructType([*before.fields, *added]).jsonValue(), "mark": newest, "at_mark": at_mark,
-            "history": [*state.get("history", []), *([entry] if added else [])],
+            "history": [*state.get("history", []), *([entry] if fresh_fields else [])],
         }
 
     return log.change(merged)

@@ -316,6 +316,9 @@ def test_schemas_are_kept(spark, tmp_path):
     spark.range(1).select(F.col("id").cast("string").alias("id")).write.mode("append").parquet(path)
     with pytest.raises(ValueError, match="changed their type"):
         readers.read_raw(spark, path)
+    spark.range(4).select(F.col("id").cast("string").alias("id")).write.mode("overwrite").parquet(path)
+    assert readers.remember_schema(spark, path, "r3", replaced=True)["history"][-1] == {"run_ts": "r3", "added": {"id": "string"}}
+    assert readers.read_raw(spark, path).columns == ["id"] and readers.read_raw(spark, path).count() == 4
 
 
 def test_sources_run_side_by_side(spark):
