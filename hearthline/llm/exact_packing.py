@@ -32,7 +32,7 @@ from hearthline.llm.tokens import SLICE_BYTES, encoder
 from hearthline.session import opened, scratch_path, settle
 
 Line = tuple[tuple[int, ...], int]
-SHARES = (0.1, 0.03, 0.01, 0.003, 0.001, 0.0)  # of the surplus that one line of pairs or triples may take
+SHARES = (0.1, 0.003, 0.0003, 0.00003, 0.0)  # of the surplus that one line of pairs or triples may take
 
 
 class SumIndex:
@@ -90,7 +90,8 @@ def packing_plan(counts: dict[int, int], full: int) -> list[Line]:
     """Lengths of the sequences and how many there are of each kind, for so many pieces of each length.
 
     A line of pairs or triples takes at most a share of the surplus.  Where even that costs
-    a sequence against best fit alone, smaller shares are tried.
+    a sequence against best fit alone, smaller shares are tried, which make more lines: the
+    larger the counts, the smaller the share that pays.
     """
     left = np.zeros(full + 1, np.int64)
     for length, n in counts.items():
