@@ -8,10 +8,11 @@ verified there.  (Blocks taken one at a time would be keys of 21 bits, which lar
 corpora fill; three of five blocks are 38 bits or more.)
 
 A bucket of more than ``wide`` fingerprints isn't joined with itself.  There, every
-fingerprint is listed under each value that differs from it in at most ``k / 2`` bits (k
-is even), and the fingerprints listed under a value, all within k bits of each other,
-are linked to the smallest of them.  Every pair within k bits shares such a value, so
-the groups are the same, and the rows grow with the bucket and not with its square.
+fingerprint is listed under each value that differs from it in at most half of ``k`` bits,
+rounded up, and the fingerprints listed under a value are linked to the smallest of those
+that are within half of k, rounded down: these and any other are within k bits of each
+other.  Every pair within k bits shares a value that is so near to one of them, so the
+groups are the same, and the rows grow with the bucket and not with its square.
 
 Groups are found by repeatedly giving each fingerprint the smallest label near it.
 """
@@ -118,13 +119,13 @@ def links(distinct: DataFrame, k: int, wide: int) -> DataFrame:
 
 def wide_links(shared: DataFrame, k: int) -> DataFrame:
     """Links among the fingerprints of wide buckets, through the values between them."""
-    if k % 2:
-        raise ValueError("wide buckets need an even number of differing bits")
-    flips = F.array(*[F.lit(v) for v in variants(k // 2)])
+    flips = F.array(*[F.lit(v) for v in variants((k + 1) // 2)])
     listed = shared.select("fp").distinct().select(F.col("fp"), F.explode(flips).alias("flip"))
-    near = listed.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"))
-    least = near.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("value", "a")
-    return near.join(least, "value").where("fp <> a").select("a", F.col("fp").alias("b"))
+    near = listed.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"), (F.bit_count("flip") <= k // 2).alias("inner"))
+    least = near.groupBy("value").agg(F.min(F.when(F.col("inner"), F.col("fp"))).alias("a"), F.count("*").alias("n"))
+    least = least.where("n > 1 and a is not null").select("value", "a")
+    found = near.join(least, "value").where("fp <> a")
+    return found.select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
+
 from hearthline.llm import simhash
 
 from . import brute
@@ -25,3 +29,23 @@ def test_groups_of_odd_rows(spark):
 def test_groups_of_nothing(spark):
     found = simhash.grouped(spark.createDataFrame([], SHAPE))
     assert found.collect() == [] and found.columns == ["doc_id", "fp", "root", "component_id"]
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_wide_buckets_of_any_distance(spark, k):
+    """Clouds of near fingerprints, pair by pair and through the values between them: the same groups as by brute force."""
+    r = random.Random(k)
+    prints = set()
+    for _ in range(6):
+        base = r.getrandbits(64)
+        for _ in range(25):
+            near = base
+            for _ in range(r.randint(0, k + 1)):
+                near ^= 1 << r.randrange(64)
+            prints.add(near)
+    prints = sorted(simhash.signed(p) for p in prints)
+    expected = brute.groups([p % (1 << 64) for p in prints], k)
+    distinct = spark.createDataFrame([(p,) for p in prints], "fp long").repartition(2)
+    for wide in (1, 1000):
+        roots = {x.node: x.root for x in simhash.components(simhash.links(distinct, k, wide)).collect()}
+        assert [roots.get(p, p) for p in prints] == [min(q for q, h in zip(prints, expected, strict=True) if h == g) for g in expected]
