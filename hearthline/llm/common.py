@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -65,6 +67,30 @@ def restored(found: DataFrame, df: DataFrame, names: dict[str, str], *results: s
 Batches = Iterator[pa.RecordBatch]
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's call that gives free memory back to the machine, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def returned(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The same work, after which a task's memory goes back to the machine.
+
+    Workers outlive their tasks, and what array code has used would stay theirs while others
+    on the machine, the executor's heap first, need it.
+    """
+
+    def run_and_return(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if (trim := _trim()) is not None:
+                trim(0)
+
+    return run_and_return
+
+
 def mapped(df: DataFrame, run: Callable[[Batches], Batches], kept: Sequence[str], added: str) -> DataFrame:
     """``mapInArrow`` for columns of any name: ``kept`` columns of the input, then those of the DDL string ``added``.
 

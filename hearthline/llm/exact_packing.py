@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.llm.common import col, mapped, placed, sliced
+from hearthline.llm.common import col, mapped, placed, returned, sliced
 from hearthline.llm.token_planes import PlaneReader, PlaneWriter, new_file
 from hearthline.llm.tokens import SLICE_BYTES, encoder
 from hearthline.session import opened, scratch_path, settle
@@ -229,7 +229,7 @@ def token_pieces(
             out.close()
 
     own = df.select(col(id_col).alias("doc"), col(text_col).cast("string").alias("text"))
-    return settle(own.mapInArrow(encode, shape), "pieces")
+    return settle(own.mapInArrow(returned(encode), shape), "pieces")
 
 
 def with_ids(pieces: DataFrame) -> DataFrame:
@@ -255,7 +255,7 @@ def with_ids(pieces: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), pa.array(found, pa.binary())], [*kept, "ids"])
 
     ordered = pieces.repartition("file").sortWithinPartitions("file", "at")
-    return mapped(ordered, read, kept, "ids binary")
+    return mapped(ordered, returned(read), kept, "ids binary")
 
 
 PLAN = T.StructType(

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import mapped, numbered, restored, sliced
+from hearthline.llm.common import mapped, numbered, restored, returned, sliced
 from hearthline.llm.words import Words, fits, gram_hashes, lowest_of, mixed
 from hearthline.session import release, settle
 
@@ -82,7 +82,7 @@ def reference(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
             )
             before += int(counts.sum())
 
-    stored = settle(mapped(ordered, run, kept, "_part int, _place long, _words long, _anchors array<int>, _hashes array<long>"), "reference")
+    stored = settle(mapped(ordered, returned(run), kept, "_part int, _place long, _words long, _anchors array<int>, _hashes array<long>"), "reference")
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = stored.groupBy(F.col("_part").alias("_block")).agg(F.sum("_words").alias("_n"))
     # One row per block; their number is that of Spark's partitions.
@@ -137,7 +137,7 @@ def chains(repeated: DataFrame) -> DataFrame:
             columns = [place[first], at[first] - more, source[first], begin - more, -(-until // step) * step]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], CHAIN)
 
-    return mapped(repeated, run, [], ", ".join(f"{c} long" for c in CHAIN))
+    return mapped(repeated, returned(run), [], ", ".join(f"{c} long" for c in CHAIN))
 
 
 def outermost(doc: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -185,7 +185,7 @@ def handed_out(corpus: DataFrame, found: DataFrame, text_col: str, length: int)
 
     sources = texts.join(asked, F.col("_place") == F.col("source")).select("_place", "text", "_asked")
     shape = "source long, source_at long, source_until long, lead long, passage binary"
-    passages = settle(mapped(sources, run, [], shape), "passages")
+    passages = settle(mapped(sources, returned(run), [], shape), "passages")
     given = found.join(passages, ["source", "source_at", "source_until"])
     entry = F.struct("at", (F.col("source") + F.col("source_at")).alias("from"), "lead", "passage")
     out = settle(given.groupBy("_place").agg(F.collect_list(entry).alias("_given")), "given")
@@ -275,7 +275,7 @@ def first_windows(corpus: DataFrame, lists: DataFrame, text_col: str, length: in
                 [*codes, pa.array(place), pa.array(place + found - words.first[doc])], ["one", "two", "doc", "at"]
             )
 
-    windows = own.join(lists, "_place").select("text", "_place", "_repeated", "_given").mapInArrow(run, "one long, two int, doc long, at long")
+    windows = own.join(lists, "_place").select("text", "_place", "_repeated", "_given").mapInArrow(returned(run), "one long, two int, doc long, at long")
     firsts = windows.groupBy("one", "two").agg(F.min("at").alias("at"), F.min("doc").alias("doc"))
     return firsts.groupBy(F.col("doc").alias("_place")).agg(F.collect_list((F.col("at") - F.col("doc")).cast("int")).alias("_firsts"))
 
@@ -385,7 +385,7 @@ def parsed_rows(df: DataFrame, length: int, id_col: str, text_col: str, with_tex
                 columns.append(pa.array(cleaned(words, removed, found.opens, found.closes, rows.column(text_col)), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [*kept, *RESULTS[: 4 + with_text]])
 
-    return mapped(joined, run, kept, added)
+    return mapped(joined, returned(run), kept, added)
 
 
 def digests(words: Words, gone: np.ndarray) -> list[str]:

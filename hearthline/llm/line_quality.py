@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, mapped, numbered, restored, sliced
+from hearthline.llm.common import col, mapped, numbered, restored, returned, sliced
 from hearthline.llm.words import SPACE, Words, fits, gram_hashes, mixed
 from hearthline.session import settle
 
@@ -235,7 +235,7 @@ def judged_rows(df: DataFrame, host_col: str, text_col: str, limits: Limits, nea
             columns = [rows.column(c) for c in kept] + [pa.array(v) for v in found.values()]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*kept, *found, "clean_text"])
 
-    return mapped(joined, run, kept, added)
+    return mapped(joined, returned(run), kept, added)
 
 
 def accepted(df: DataFrame, host_col: str = "source", text_col: str = "text", limits: Limits = Limits(), near_once: bool = False) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import col, mapped, numbered, others, restored, sliced
+from hearthline.llm.common import col, mapped, numbered, others, restored, returned, sliced
 from hearthline.llm.words import SPACE, Words
 from hearthline.session import settle
 
@@ -83,7 +83,7 @@ def with_fingerprints(df: DataFrame, shingle: int, text_col: str = "text", name:
             found = fingerprints(rows.column(text_col), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), pa.array(found)], [*kept, name])
 
-    return mapped(df.select(*[col(c) for c in kept]), run, kept, f"{name} long")
+    return mapped(df.select(*[col(c) for c in kept]), returned(run), kept, f"{name} long")
 
 
 def block_masks(k: int) -> list[int]:
