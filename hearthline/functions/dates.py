@@ -21,14 +21,20 @@ def flex_date(c: Column) -> Column:
     """Date from mixed spreadsheet spellings; NULL for anything else, never an error.
 
     The whole text must be a day with an optional time, so remarks such as
-    ``pending`` or ``n/a`` anywhere in the cell give NULL.  The day is respelled
-    as yyyy-M-d and cast once; failed date parsers cost far more than patterns.
+    ``pending`` or ``n/a`` anywhere in the cell give NULL.  One pattern tells the
+    spellings; the day is then cut out and respelled as yyyy-M-d without patterns
+    and cast once; failed date parsers cost far more.
     """
     value = F.trim(as_text(c))
-    long_year = F.regexp_replace(value, r"^(\d{1,2}/\d{1,2}/)(\d{2})(?!\d)", "$120$2")
-    iso = F.regexp_replace(long_year, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-    day = F.regexp_extract(iso, r"^[0-9-]+", 0).try_cast("date")
-    return F.when(value.rlike(f"^({DAY})({TIME_OF_DAY})?$"), day)
+    year = F.substring_index(value, "/", -1)
+    # The third character of a long year is a digit; after a short one comes a time or nothing.
+    long_year = F.when(F.substring(year, 3, 1).between("0", "9"), F.substring(year, 1, 4)).otherwise(
+        F.concat(F.lit("20"), F.substring(year, 1, 2))
+    )
+    month_day = F.substring_index(value, "/", 2)
+    slashed = F.concat_ws("-", long_year, F.substring_index(month_day, "/", 1), F.substring_index(month_day, "/", -1))
+    day = F.when(F.substring(value, 5, 1) == "-", F.substring(value, 1, 10)).otherwise(slashed)
+    return F.when(value.rlike(f"^({DAY})({TIME_OF_DAY})?$"), day.try_cast("date"))
 
 
 def date_key(c: Column) -> Column:

@@ -92,7 +92,11 @@ def status_title(normalized: Column) -> Column:
 
 def flood_code(raw: Column) -> Column:
     """REQ, NOT_REQ or UNK from free text; ``not required`` wins over ``required``."""
-    word = upper_text(raw)
+    return flood_word_code(upper_text(raw))
+
+
+def flood_word_code(word: Column) -> Column:
+    """As ``flood_code``, from an ``upper_text``."""
     return (
         F.when(word.isin(*FLOOD_NO) | word.contains("NOT REQUIRED"), "NOT_REQ")
         .when(word.isin(*FLOOD_YES) | word.contains("REQUIRED"), "REQ")
@@ -111,17 +115,22 @@ def flood_by_policy(policy_type: Column) -> Column:
 
 def flood_by_zone(zone: Column) -> Column:
     word = upper_text(zone)
-    return F.when(word.rlike("^[AV]"), "REQ").when(
-        word.rlike("^X") | word.isin("B", "C", "B/X"), "NOT_REQ"
+    return F.when(word.startswith("A") | word.startswith("V"), "REQ").when(
+        word.startswith("X") | word.isin("B", "C", "B/X"), "NOT_REQ"
     )
 
 
 def flood_evidence(raw: Column, policy_type: Column, zone: Column) -> Column:
     """struct(code, source): the first rule that gives an answer, and its name."""
+    return flood_choice(flood_code(raw), flood_by_policy(policy_type), flood_by_zone(zone))
+
+
+def flood_choice(code: Column, by_policy: Column, by_zone: Column) -> Column:
+    """As ``flood_evidence``, from the three rules' codes."""
     rules = (
-        ("raw", F.nullif(flood_code(raw), F.lit("UNK"))),
-        ("policy-type-inferred", flood_by_policy(policy_type)),
-        ("zone-inferred", flood_by_zone(zone)),
+        ("raw", F.nullif(code, F.lit("UNK"))),
+        ("policy-type-inferred", by_policy),
+        ("zone-inferred", by_zone),
     )
     answers = [
         F.when(code.isNotNull(), F.struct(code.alias("code"), F.lit(name).alias("source")))

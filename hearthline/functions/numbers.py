@@ -29,14 +29,29 @@ def safe_double(c: Column) -> Column:
 EXACT = "decimal(28,6)"
 
 
+def bare_number(c: Column) -> Column:
+    """The text without dollar signs, commas and white space."""
+    return F.translate(as_text(c), "$, \t\n\x0b\f\r", "")
+
+
+def number_text(value: Column) -> Column:
+    """As ``money_text``, from a ``bare_number``."""
+    readable = value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$")
+    number = value.cast("double")
+    return F.when(F.when(readable, F.abs(number) < 1e22), number)
+
+
 def money_text(c: Column) -> Column:
     """``$1,234.50`` as a double; NULL for blanks, unreadable text and numbers of 10^22 or more.
 
     Numbers are told by pattern, so that placeholders do not cost a failed cast.
     """
-    value = F.regexp_replace(as_text(c), r"[$,\s]", "")
-    number = F.when(value.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"), value.cast("double"))
-    return F.when(F.abs(number) < 1e22, number)
+    return number_text(bare_number(c))
+
+
+def year_digits(c: Column) -> Column:
+    """A number without its fraction, else the first run of four digits, else empty."""
+    return F.regexp_extract(F.trim(as_text(c)), r"^[+-]?\d{1,9}(?=(\.\d*)?$)|\d{4}", 0)
 
 
 def year_in_text(c: Column) -> Column:
@@ -45,10 +60,7 @@ def year_in_text(c: Column) -> Column:
     Matched by pattern rather than by a cast that fails: a failed cast raises and
     catches an exception per row.
     """
-    value = F.trim(as_text(c))
-    number = F.regexp_extract(value, r"^([+-]?\d{1,9})(\.\d*)?$", 1)
-    year = F.regexp_extract(value, r"\d{4}", 0)
-    return F.coalesce(F.nullif(number, F.lit("")), F.nullif(year, F.lit(""))).cast("int")
+    return F.nullif(year_digits(c), F.lit("")).cast("int")
 
 
 def exact_avg(c: Column) -> Column:

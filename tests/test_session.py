@@ -58,3 +58,14 @@ def test_freed_shuffles_of_threads(spark):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert spark.conf.get(session.SHUFFLE_CLEANUP) == "false"
+
+
+def test_small_methods(spark):
+    kept = spark.conf.get(session.METHOD_BYTES)
+    try:
+        for given, then in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(session.METHOD_BYTES, given)
+            session.small_methods(spark)
+            assert spark.conf.get(session.METHOD_BYTES) == then
+    finally:
+        spark.conf.set(session.METHOD_BYTES, kept)
