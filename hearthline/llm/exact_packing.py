@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.llm.common import col, mapped, placed, returned, sliced
+from hearthline.llm.common import SLICE_BYTES, col, mapped, placed, returned, sliced
 from hearthline.llm.token_planes import PlaneReader, PlaneWriter, new_file
-from hearthline.llm.tokens import SLICE_BYTES, encoder
+from hearthline.llm.tokens import encoder
 from hearthline.session import opened, scratch_path, settle
 
 Line = tuple[tuple[int, ...], int]

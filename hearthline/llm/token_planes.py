@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.llm.common import col, sliced
-from hearthline.llm.tokens import SLICE_BYTES, encoder
+from hearthline.llm.common import SLICE_BYTES, col, returned, sliced
+from hearthline.llm.tokens import encoder
 from hearthline.session import opened, scratch_path, settle
 
 MAGIC = b"IDPLANE1"
@@ -189,7 +189,7 @@ def write_ids(
                 ["part", "file", "n_docs", "n_ids"],
             )
 
-    return settle(ordered.mapInArrow(write, MANIFEST), "manifest")
+    return settle(ordered.mapInArrow(returned(write), MANIFEST), "manifest")
 
 
 def read_ids(manifest: DataFrame, id_type: T.DataType | str = "long", with_ids: bool = False) -> DataFrame:
@@ -236,4 +236,4 @@ def read_ids(manifest: DataFrame, id_type: T.DataType | str = "long", with_ids:
         names = ["doc_id", "start", "n_tokens", "ids_crc32"]
         yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
 
-    return files.repartitionByRange(n, "part").mapInArrow(read, shape)
+    return files.repartitionByRange(n, "part").mapInArrow(returned(read), shape)
