@@ -40,32 +40,23 @@ def month_roles(
 
     A row counts in its ``worked`` month and, when flagged, in its ``closed``
     month.  This replaces a join on ``worked = month OR closed = month``: rows
-    are added up per (key, both months), unpivoted into (month, role), and added
-    up again.  With ``value``, its largest amount per role is carried along as
+    are unpivoted into (month, role) and added up once, combined in their task before
+    the one shuffle.  With ``value``, its largest amount per role is carried along as
     ``worked_top`` and ``closed_top``.  The flags stay 0 for the NULL key.
     """
-    flagged = F.col(closed_flag) == 1
-    top = F.col(value) if value else F.lit(None).cast("double")
-    pairs = df.groupBy(grain, F.col(worked).alias("_w"), F.col(closed).alias("_c")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max(flagged.cast("int")).alias("_closed"),
-        F.max(top).alias("_worked_top"),
-        F.max(F.when(flagged, top)).alias("_closed_top"),
-    )
-    none = F.lit(None).cast("double")
-    known = F.col(grain).isNotNull().cast("int")
+    names = ("month_start", "worked", "closed", "submissions", *(("worked_top", "closed_top") if value else ()))
+    known, zero = F.col(grain).isNotNull().cast("int"), F.lit(0)
 
-    def entry(month: str, did: tuple[Column, Column], rows: Column, tops: tuple[Column, Column]) -> Column:
-        names = ("month_start", "worked", "closed", "submissions", "worked_top", "closed_top")
-        parts = (F.col(month).cast("date"), *did, rows, *tops)
+    def entry(month: str, did: tuple[Column, Column], rows: int, tops: tuple[Column, Column]) -> Column:
+        parts = (F.col(month).cast("date"), *did, F.lit(rows).cast("bigint"), *(tops if value else ()))
         return F.struct(*[part.alias(name) for part, name in zip(parts, names, strict=True)])
 
-    zero = F.lit(0)
-    as_worked = entry("_w", (known, zero), F.col("_rows"), (F.col("_worked_top").cast("double"), none))
-    as_closed = entry("_c", (zero, known), F.lit(0).cast("bigint"), (none, F.col("_closed_top").cast("double")))
-    roles = F.array(as_worked, F.when(F.col("_closed") == 1, as_closed))
-    rows = pairs.select(grain, F.inline(roles)).filter("month_start is not null")
-    tops = [F.max(c).alias(c) for c in ("worked_top", "closed_top")] if value else []
+    none = F.lit(None).cast("double")
+    top = F.col(value).cast("double") if value else none
+    as_worked = F.when(F.col(worked).isNotNull(), entry(worked, (known, zero), 1, (top, none)))
+    as_closed = F.when(F.col(closed).isNotNull() & (F.col(closed_flag) == 1), entry(closed, (zero, known), 0, (none, top)))
+    rows = df.select(grain, F.inline(F.array(as_worked, as_closed))).filter("month_start is not null")
+    tops = [F.max(c).alias(c) for c in names[4:]]
     return rows.groupBy("month_start", grain).agg(
         F.max("worked").alias("worked"), F.max("closed").alias("closed"), F.sum("submissions").alias("submissions"), *tops
     )
