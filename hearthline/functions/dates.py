@@ -25,7 +25,11 @@ def flex_date(c: Column) -> Column:
     spellings; the day is then cut out and respelled as yyyy-M-d without patterns
     and cast once; failed date parsers cost far more.
     """
-    value = F.trim(as_text(c))
+    return read_day(F.trim(as_text(c)))
+
+
+def read_day(value: Column) -> Column:
+    """As ``flex_date``, from a trimmed text, which is used eight times."""
     year = F.substring_index(value, "/", -1)
     # The third character of a long year is a digit; after a short one comes a time or nothing.
     long_year = F.when(F.substring(year, 3, 1).between("0", "9"), F.substring(year, 1, 4)).otherwise(

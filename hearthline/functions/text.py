@@ -16,6 +16,8 @@ LENDER_SUFFIXES = (
     "ISAOA",
     "ATIMA",
 )
+# The characters that tokens and postal codes keep.
+TOKEN, DIGITS = "A-Z0-9", "0-9"
 
 
 def as_text(c: Column) -> Column:
@@ -50,20 +52,25 @@ def known(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def _only(c: Column, kept: str) -> Column:
+def only(c: Column, kept: str) -> Column:
     """Without the characters that a class such as ``A-Z0-9`` leaves out.
 
-    ASCII texts are translated, which takes less than half a pattern's time.
+    ASCII texts are translated, which takes less than half a pattern's time.  The text is
+    used four times, so a wide plan works it out in a step before.
     """
     others = "".join(chr(i) for i in range(128) if not re.fullmatch(f"[{kept}]", chr(i)))
     plain = F.octet_length(c) == F.length(c)
     return F.when(plain, F.translate(c, others, "")).otherwise(F.regexp_replace(c, f"[^{kept}]+", ""))
 
 
+def token_text(c: Column, legacy_case: bool = False) -> Column:
+    """What ``token`` strips."""
+    return as_text(c) if legacy_case else F.upper(as_text(c))
+
+
 def token(c: Column, legacy_case: bool = False) -> Column:
     """As ``norm_token``, but empty when nothing is left."""
-    value = as_text(c) if legacy_case else F.upper(as_text(c))
-    return _only(value, "A-Z0-9")
+    return only(token_text(c, legacy_case), TOKEN)
 
 
 def norm_token(c: Column, legacy_case: bool = False) -> Column:
@@ -75,21 +82,21 @@ def norm_token(c: Column, legacy_case: bool = False) -> Column:
     return known(token(c, legacy_case))
 
 
-def _words(c: Column) -> Column:
+def words(c: Column) -> Column:
+    """Capitals and digits in words one space apart."""
     # No mark is left in the text, so marks can stand for its spaces while runs of them close up.
-    marked = F.replace(F.trim(_only(c, "A-Z0-9 ")), F.lit(" "), F.lit("<>"))
+    marked = F.replace(F.trim(only(c, "A-Z0-9 ")), F.lit(" "), F.lit("<>"))
     return F.replace(F.replace(marked, F.lit("><"), F.lit("")), F.lit("<>"), F.lit(" "))
 
 
+def lender_text(c: Column) -> Column:
+    """A lender's name in capitals without legal phrases."""
+    return reduce(lambda name, phrase: F.replace(name, F.lit(phrase), F.lit(" ")), LENDER_SUFFIXES, upper_text(c))
+
+
 def lender_words(c: Column) -> Column:
     """As ``norm_lender``, but empty when nothing is left."""
-    return _words(
-        reduce(
-            lambda name, phrase: F.replace(name, F.lit(phrase), F.lit(" ")),
-            LENDER_SUFFIXES,
-            upper_text(c),
-        )
-    )
+    return words(lender_text(c))
 
 
 def norm_lender(c: Column) -> Column:
@@ -99,7 +106,7 @@ def norm_lender(c: Column) -> Column:
 
 def address_words(c: Column) -> Column:
     """As ``norm_address``, but empty when nothing is left."""
-    return _words(upper_text(c))
+    return words(upper_text(c))
 
 
 def norm_address(c: Column) -> Column:
@@ -107,7 +114,7 @@ def norm_address(c: Column) -> Column:
 
 
 def digits(c: Column) -> Column:
-    return _only(as_text(c), "0-9")
+    return only(as_text(c), DIGITS)
 
 
 def five_digits(digits: Column) -> Column:

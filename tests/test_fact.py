@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from hearthline.functions import dates, numbers, text
+from hearthline.operators import rollup
 from hearthline.plans import procurement
 
 
@@ -48,3 +49,33 @@ def test_texts_within_and_beyond_ascii(spark):
     assert words == ("A1 B2", "A 1 SSX", None, "2 34 567", None, None, "1 2 3 4")
     assert codes == (None, None, None, "23456", None, None, None)
     assert empty == (False, False, True, False, True, True, False)
+
+
+def test_texts_are_raised_and_trimmed_once(spark):
+    """Before patterns are matched, however often a pattern's step uses them."""
+    sheet = spark.range(3).select(*[F.col("id").cast("string").alias(names.split()[0]) for names in procurement.SHEET_COLUMNS.values()])
+    fact = procurement.fact_procurement(procurement.conform_union(sheet, None)).select("loan_number_norm", "lender_name_norm", "address_norm", "request_date")
+    held = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", 500)
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.debug.maxToStringFields", held)
+    assert plan.count("ISAOA") == 1 and plan.count("RLIKE(") == 1
+    # Nothing between the pattern's name and the text's: it was trimmed in the step before.
+    assert "RLIKE(_request_date_text" in plan and "translate(_loan_text" in plan
+
+
+def test_months_take_one_shuffle_per_loan_and_month(spark):
+    rows = [
+        ("a", date(2024, 1, 1), date(2024, 2, 1), 1, 5.0), ("a", date(2024, 1, 1), date(2024, 2, 1), 0, 9.0), ("a", date(2024, 1, 1), None, 1, None),
+        (None, date(2024, 1, 1), date(2024, 1, 1), 1, 7.0), ("b", None, date(2024, 2, 1), 1, 2.0), ("b", None, None, None, 3.0), ("c", date(2024, 2, 1), date(2024, 2, 1), None, None),
+    ]
+    df = spark.createDataFrame(rows, "k string, w date, c date, f int, v double")
+    out = rollup.month_roles(df, "k", "w", "c", "f", "v")
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2
+    found = {(r.month_start.month, r.k): tuple(r)[2:] for r in out.collect()}
+    assert found == {
+        (1, "a"): (1, 0, 3, 9.0, None), (2, "a"): (0, 1, 0, None, 5.0), (1, None): (0, 0, 1, 7.0, 7.0),
+        (2, "b"): (0, 1, 0, None, 2.0), (2, "c"): (1, 0, 1, None, None),
+    }
+    assert rollup.month_roles(df, "k", "w", "c", "f").columns == ["month_start", "k", "worked", "closed", "submissions"]
